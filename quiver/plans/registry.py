@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quiver.session import tune
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
@@ -27,6 +29,12 @@ def register(key: str, sql: str | None = None):
     def deco(fn: Builder) -> Builder:
         if key in QUERIES:
             raise KeyError(f"query {key!r} registered twice")
-        QUERIES[key] = Query(key, fn, sql, (fn.__doc__ or "").strip())
+
+        def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, sf_dir)
+        build.__name__ = fn.__name__
+        build.__doc__ = fn.__doc__
+        QUERIES[key] = Query(key, build, sql, (fn.__doc__ or "").strip())
         return fn
     return deco

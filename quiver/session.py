@@ -39,7 +39,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    return spark
+    return tune(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -63,3 +63,16 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A location under the shared checkpoint folder for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Session settings the plans of this package rely on.
+
+    Constraint propagation is switched off: with dozens of forward-filled
+    columns re-aliased under their own names (the 37-column processed table)
+    the optimizer's constraint sets grow exponentially and planning stalls.
+    """
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
