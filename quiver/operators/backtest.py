@@ -113,3 +113,130 @@ def ensemble_summary(table: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def drawdown_curve(table: DataFrame, equity: str = "cum_strategy", keys: Sequence[str] = KEYS) -> DataFrame:
     """Equity / running maximum - 1."""
     return table.withColumn("drawdown", F.col(equity) / F.max(equity).over(expanding(keys)) - 1.0)
+
+
+# ---------------------------------------------------------------------------
+# Regime-aware backtest
+# ---------------------------------------------------------------------------
+
+# Inner thresholds of the regime signal rules.
+UP_FALLBACK, DOWN_FALLBACK, DOWNTREND_UP = 0.56, 0.44, 0.65
+ARIMA_FLOOR = -0.05
+MIN_CONFIDENCE = 0.20
+
+
+def regime_signal(prob: str = "predicted_probability_up", arima: str = "arima_mean_forecast_percent",
+                  regime: str = "market_regime", vol: str = GARCH_COL, cutoff: str = "volatility_cutoff",
+                  upper: float = 0.55, lower: float = 0.45, threshold: float = 0.08):
+    """Risk filters, then the uptrend and downtrend rule lists, then no
+    signal against the trend (ordered exactly as the source loop)."""
+    p, a, rg = F.col(prob), F.col(arima), F.col(regime)
+    up_rules = (F.when((p > upper) & (a > ARIMA_FLOOR), "UP").when((p < lower) & (a < 0), "DOWN")
+                .when(p > UP_FALLBACK, "UP").when(p < DOWN_FALLBACK, "DOWN").otherwise("NO TRADE"))
+    down_rules = (F.when((p < lower) & (a < 0), "DOWN").when((p > DOWNTREND_UP) & (a > ARIMA_FLOOR), "UP")
+                  .when(p < DOWN_FALLBACK, "DOWN").when(p > UP_FALLBACK, "UP").otherwise("NO TRADE"))
+    decision = (F.when(p.isNull() | a.isNull() | F.col(vol).isNull(), "NO TRADE")
+                .when(rg == R.RISK_OFF, "NO TRADE")
+                .when(F.col(vol) > F.col(cutoff), "NO TRADE")
+                .when(F.abs(p - 0.5) < threshold, "NO TRADE")
+                .when(rg == R.LOW_VOL_UP, up_rules)
+                .when(rg == R.LOW_VOL_DOWN, down_rules)
+                .otherwise("NO TRADE"))
+    return (F.when((rg == R.LOW_VOL_UP) & (decision == "DOWN"), "NO TRADE")
+            .when((rg == R.LOW_VOL_DOWN) & (decision == "UP"), "NO TRADE")
+            .otherwise(decision))
+
+
+def confidence_position(df: DataFrame, prob: str = "predicted_probability_up", signal: str = "_signal",
+                        corrected: bool = False) -> DataFrame:
+    """confidence = 2|p - 0.5|, size = min(2 * confidence, 1), negative for DOWN.
+
+    As in the source, a confidence below 0.20 relabels the signal NO TRADE
+    but keeps the (unsigned) size; ``corrected=True`` sets that size to 0.
+    """
+    conf = F.abs(F.col(prob) - 0.5) * 2
+    traded = F.col(signal).isin("UP", "DOWN")
+    label = F.when(traded & (conf < MIN_CONFIDENCE), "NO TRADE").otherwise(F.col(signal))
+    size = F.least(conf * 2, F.lit(1.0))
+    if corrected:
+        size = F.when(conf < MIN_CONFIDENCE, F.lit(0.0)).otherwise(size)
+    position = F.when(traded, F.when(label == "DOWN", -size).otherwise(size)).otherwise(F.lit(0.0))
+    return df.withColumns({"regime_aware_signal": label, "position": position})
+
+
+def regime_backtest_table(predictions: DataFrame, forecasts: DataFrame, market: DataFrame,
+                          keys: Sequence[str] = KEYS, upper: float = 0.55, lower: float = 0.45,
+                          threshold: float = 0.08, vol_quantile: float = 0.75,
+                          corrected: bool = False) -> DataFrame:
+    """J16 daily table.
+
+    predictions: (keys, date, predicted_probability_up) on evaluation dates.
+    forecasts:   (keys, date, arima_mean_forecast_percent).
+    market:      (keys, date, log_return, garch col, market_regime, ...) on all dates.
+    C4 and C5 are left joins on (ticker, date); the global volatility
+    quantile (D2, looks ahead as in the source) is a per-ticker aggregate.
+    """
+    w = series_window(keys)
+    mk = market.withColumn("next_day_log_return", F.lead("log_return").over(w))
+    cutoff = mk.groupBy(*keys).agg(F.percentile(GARCH_COL, vol_quantile).alias("volatility_cutoff"))
+    regime_cols = [c for c in ("volatility_regime", "vix_regime", "trend_regime", "market_regime") if c in mk.columns]
+    side = mk.select(*keys, "date", "next_day_log_return", GARCH_COL, *regime_cols)
+    bt = (predictions.join(forecasts.select(*keys, "date", "arima_mean_forecast_percent"), [*keys, "date"], "left")
+          .join(side, [*keys, "date"], "left")
+          .join(cutoff, list(keys), "left"))
+    bt = bt.withColumn("_signal", regime_signal(upper=upper, lower=lower, threshold=threshold))
+    bt = confidence_position(bt, corrected=corrected).drop("_signal")
+    bt = bt.withColumns({
+        "strategy_log_return": F.col("position") * F.col("next_day_log_return"),
+        "buy_hold_log_return": F.col("next_day_log_return"),
+    })
+    fr = expanding(keys)
+    bt = bt.withColumns({
+        "strategy_equity": F.exp(F.sum(F.coalesce("strategy_log_return", F.lit(0.0))).over(fr)),
+        "buy_hold_equity": F.exp(F.sum(F.coalesce("buy_hold_log_return", F.lit(0.0))).over(fr)),
+    })
+    return bt.withColumn("drawdown", F.col("strategy_equity") / F.max("strategy_equity").over(fr) - 1.0)
+
+
+def backtest_summary(bt: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per ticker with D3 and D12-D16 in a single aggregation."""
+    pos, nxt = F.col("position"), F.col("next_day_log_return")
+    traded = pos != 0
+    correct = F.when(((pos > 0) & (nxt > 0)) | ((pos < 0) & (nxt < 0)), 1).otherwise(0)
+    agg = bt.groupBy(*keys).agg(
+        F.count_if(traded).alias("trade_count"),
+        F.count(F.lit(1)).alias("_days"),
+        F.avg(F.when(traded, correct)).alias("hit_rate_on_trades"),
+        F.max_by("strategy_equity", "date").alias("_se"),
+        F.max_by("buy_hold_equity", "date").alias("_be"),
+        F.avg("strategy_log_return").alias("_m"),
+        F.stddev_samp("strategy_log_return").alias("_s"),
+        F.min("drawdown").alias("max_drawdown"),
+        *[F.count_if(F.col("market_regime") == r).alias(f"{r}_days")
+          for r in (R.RISK_OFF, R.LOW_VOL_UP, R.LOW_VOL_DOWN, R.NEUTRAL)],
+    )
+    return agg.select(
+        *keys, "trade_count", (F.col("trade_count") / F.col("_days")).alias("trade_rate"),
+        "hit_rate_on_trades", (F.col("_se") - 1.0).alias("strategy_total_return"),
+        (F.col("_be") - 1.0).alias("buy_hold_total_return"),
+        (F.try_divide(F.col("_m"), F.col("_s")) * F.sqrt(F.lit(252.0))).alias("annualized_sharpe"),
+        "max_drawdown", *[f"{r}_days" for r in (R.RISK_OFF, R.LOW_VOL_UP, R.LOW_VOL_DOWN, R.NEUTRAL)])
+
+
+def market_regimes(df: DataFrame, keys: Sequence[str] = KEYS, vix_level: float = 25.0,
+                   vol_quantile: float = 0.75, min_periods: int = 252) -> DataFrame:
+    """J5 (J1-J3 on the GARCH column): volatility, VIX and trend regimes and
+    the combined regime; the cutoff is the expanding quantile carried forward
+    over dates without a volatility value (C2)."""
+    step = df.withColumns({
+        "vol_cutoff": R.expanding_quantile(GARCH_COL, vol_quantile, min_periods, keys),
+        "sma_20": rolling_mean("price", 20, keys),
+        "sma_50": rolling_mean("price", 50, keys),
+    })
+    step = step.withColumn("vol_cutoff", F.last("vol_cutoff", ignorenulls=True).over(expanding(keys)))
+    step = step.withColumns({
+        "volatility_regime": R.volatility_regime(GARCH_COL, "vol_cutoff"),
+        "vix_regime": R.vix_regime(step, vix_level),
+        "trend_regime": R.trend_regime(),
+    })
+    return step.withColumn("market_regime", R.market_regime(vix="vix_regime"))

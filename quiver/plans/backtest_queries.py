@@ -12,10 +12,9 @@ from quiver.plans.sqltext import W, frame, guarded, guarded_expanding, returns_c
 from quiver.sources.views import bars, sql_with
 
 
-def ensemble_ctes(src: str = "bars") -> list[str]:
+def ensemble_ctes(src: str = "bars", base: bool = True) -> list[str]:
     """The ensemble backtest chain as DuckDB CTEs ending in ``ens``."""
-    return [
-        returns_cte(src, "ret"),
+    return ([returns_cte(src, "ret")] if base else []) + [
         f"""f1 AS (SELECT *,
     {guarded('avg', 'log_return', 5)} AS rolling_mean_5,
     {guarded('stddev_samp', 'log_return', 20)} AS rolling_std_20,

@@ -238,11 +238,11 @@ GARCH_GRID_SQL = f"ggrid(pid, a, b) AS (VALUES {_values([(i, a, b) for i, (a, b)
 ARMA_GRID_SQL = f"agrid(pid, phi, theta) AS (VALUES {_values([(i, p, t) for i, (p, t) in enumerate(RC.ARMA_GRID)])})"
 
 
-def garch_sql_ctes(min_window: int = RC.GARCH_MIN_WINDOW) -> list[str]:
-    """Recursive twin of I13 ending in ``gvol`` (ticker, date, garch_conditional_volatility)."""
-    return [
-        SQL_VIEWS["bars"], returns_cte("bars", "ret"),
-        f"gr AS (SELECT ticker, date, 100.0 * log_return AS r, row_number() OVER ({W}) - 1 AS i FROM ret)",
+def garch_sql_ctes(min_window: int = RC.GARCH_MIN_WINDOW, src: str = "ret", base: bool = True) -> list[str]:
+    """Recursive twin of I13 over the return rows in ``src``, ending in
+    ``gvol`` (ticker, date, garch_conditional_volatility)."""
+    return ([SQL_VIEWS["bars"], returns_cte("bars", "ret")] if base else []) + [
+        f"gr AS (SELECT ticker, date, 100.0 * log_return AS r, row_number() OVER ({W}) - 1 AS i FROM {src})",
         f"""gi AS (SELECT ticker, avg(r) FILTER (WHERE i < {min_window}) AS mu,
     var_samp(r) FILTER (WHERE i < {min_window}) AS v0 FROM gr GROUP BY ticker HAVING count(*) > {min_window})""",
         GARCH_GRID_SQL,
@@ -296,10 +296,9 @@ def q_volatility_lags(spark, sf_dir):
     return finish(RC.garch_features(_ret(spark, sf_dir)), ["ticker", "date", *_GF[1:]])
 
 
-def arma_sql_ctes(min_rows: int = RC.ARMA_MIN_ROWS) -> list[str]:
+def arma_sql_ctes(min_rows: int = RC.ARMA_MIN_ROWS, base: bool = True) -> list[str]:
     """Recursive twin of I6 ending in ``afc`` (ticker, date, i, y, arima_mean_forecast_percent)."""
-    return [
-        SQL_VIEWS["bars"], returns_cte("bars", "ret"),
+    return ([SQL_VIEWS["bars"], returns_cte("bars", "ret")] if base else []) + [
         f"ar AS (SELECT ticker, date, 100.0 * log_return AS y, row_number() OVER ({W}) - 1 AS i FROM ret)",
         f"""ai AS (SELECT ticker, avg(y) FILTER (WHERE i < {min_rows}) AS mu FROM ar GROUP BY ticker
   HAVING count(*) >= {min_rows})""",
