@@ -226,3 +226,67 @@ def ar1_forecast(returns: DataFrame, min_rows: int = ARMA_MIN_ROWS, keys: Sequen
     })
     fc = F.when(F.col("_n") >= min_rows, F.col("ar_intercept") + F.col("ar_slope") * F.col("_y"))
     return out.withColumn("ar1_forecast_percent", fc).drop("_y", "_x", "_n")
+
+
+def arma_grid(p: int, q: int, step: float = 0.3, bound: float = 0.9) -> tuple[tuple[float, ...], ...]:
+    """Grid of (phi_1..phi_p, theta_1..theta_q) points with coefficients from
+    -bound to bound in ``step`` increments (a parameter, not a table)."""
+    import itertools
+    k = int(round(2 * bound / step))
+    vals = tuple(round(-bound + step * i, 6) for i in range(k + 1))
+    return tuple(itertools.product(vals, repeat=p + q)) if p + q else ((),)
+
+
+def _arma_pq_group(p: int, d: int, q: int, grid, min_rows: int, keys: Sequence[str]):
+    g = np.array(grid, dtype=float).reshape(len(grid), p + q)
+    phi, theta = g[:, :p], g[:, p:]
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date").reset_index(drop=True)
+        n = len(pdf)
+        _check_bound(n)
+        y = pdf["y"].to_numpy(dtype=float)
+        x = np.diff(y, n=d) if d else y
+        fc = np.full(n, np.nan)
+        m = len(x)
+        if m >= min_rows:
+            mu = x[:min_rows].mean()
+            z = x - mu
+            e = np.zeros((m, len(grid)))
+            start = max(p, q, 1)
+            for t in range(start, m):
+                acc = np.full(len(grid), z[t])
+                for i in range(p):
+                    acc -= phi[:, i] * z[t - 1 - i]
+                for j in range(q):
+                    acc -= theta[:, j] * e[t - 1 - j]
+                e[t] = acc
+            best = _best_by(np.cumsum(e * e, axis=0), maximize=False)
+            f = np.full(m, mu)
+            for i in range(p):
+                zi = np.concatenate([np.full(i, np.nan), z[: m - i]])
+                f = f + phi[best, i] * zi
+            for j in range(q):
+                ej = np.concatenate([np.full((j, len(grid)), np.nan), e[: m - j]])[np.arange(m), best]
+                f = f + theta[best, j] * ej
+            if d:
+                # undo the differencing: the level forecast adds the last level(s)
+                level = y[d:]
+                f = f + level if d == 1 else f + 2 * level - y[d - 1:-1]
+            fc[n - m + min_rows - 1:] = f[min_rows - 1:]
+        out = pdf[[*keys, "date"]].copy()
+        out["forecast_percent"] = fc
+        return out
+    return fn
+
+
+def forecast_orders(returns: DataFrame, order: tuple[int, int, int] = (2, 0, 2), step: float = 0.3,
+                    min_rows: int = ARMA_MIN_ROWS, keys: Sequence[str] = KEYS, col: str = "log_return") -> DataFrame:
+    """The rolling forecast for a general (p, d, q) order: d by differencing,
+    then the same one-pass grid estimator over (phi_1..p, theta_1..q)."""
+    p, d, q = order
+    grid = arma_grid(p, q, step)
+    src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("y"))
+    key_schema = ", ".join(f"{k} string" for k in keys)
+    schema = f"{key_schema}, date date, forecast_percent double"
+    return src.groupBy(*keys).applyInPandas(_arma_pq_group(p, d, q, grid, min_rows, keys), schema)
