@@ -49,10 +49,8 @@ def ensemble_table(df: DataFrame, keys: Sequence[str] = KEYS, corrected: bool =
         "next_day_return": F.lead("log_return", 1).over(w),
     })
     vol = GARCH_COL if GARCH_COL in df.columns else "rolling_std_20"
-    step2 = step1.withColumns({
-        "vol": F.col(vol),
-        "vol_cutoff": R.expanding_quantile(vol, vol_quantile, min_periods, keys),
-    })
+    step2 = R.with_expanding_quantile(step1.withColumn("vol", F.col(vol)), "vol", "vol_cutoff",
+                                      vol_quantile, min_periods, keys)
     step3 = step2.withColumns({
         "volatility_regime": R.volatility_regime("vol", "vol_cutoff"),
         "trend_regime": R.trend_regime("sma_20", "sma_50"),
@@ -229,10 +227,10 @@ def market_regimes(df: DataFrame, keys: Sequence[str] = KEYS, vix_level: float =
     the combined regime; the cutoff is the expanding quantile carried forward
     over dates without a volatility value (C2)."""
     step = df.withColumns({
-        "vol_cutoff": R.expanding_quantile(GARCH_COL, vol_quantile, min_periods, keys),
         "sma_20": rolling_mean("price", 20, keys),
         "sma_50": rolling_mean("price", 50, keys),
     })
+    step = R.with_expanding_quantile(step, GARCH_COL, "vol_cutoff", vol_quantile, min_periods, keys)
     step = step.withColumn("vol_cutoff", F.last("vol_cutoff", ignorenulls=True).over(expanding(keys)))
     step = step.withColumns({
         "volatility_regime": R.volatility_regime(GARCH_COL, "vol_cutoff"),

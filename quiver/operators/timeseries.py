@@ -93,33 +93,37 @@ def _maxlag_expr(n):
     return F.least(F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25)), F.floor(n / 2) - 2).cast("int")
 
 
-def _moments(df: DataFrame, nreg: int, keys: Sequence[str], in_sample, regressors) -> DataFrame:
-    """Grouped cross-product sums of (regressors, dy) over the sample rows."""
-    aggs = [F.sum(F.when(in_sample, F.lit(1))).alias("_cnt"),
-            F.sum(F.when(in_sample, F.col("_dy") * F.col("_dy"))).alias("_yy")]
-    for a in range(nreg):
-        aggs.append(F.sum(F.when(in_sample, regressors[a] * F.col("_dy"))).alias(f"_xy{a}"))
-        for b in range(a, nreg):
-            aggs.append(F.sum(F.when(in_sample, regressors[a] * regressors[b])).alias(f"_m{a}_{b}"))
-    return df.groupBy(*keys).agg(*aggs)
-
-
-def _unpack(row, nreg: int):
-    m = np.zeros((nreg, nreg))
-    xy = np.zeros(nreg)
-    for a in range(nreg):
-        xy[a] = row[f"_xy{a}"] or 0.0
-        for b in range(a, nreg):
-            m[a, b] = m[b, a] = row[f"_m{a}_{b}"] or 0.0
-    return m, xy
+def _long_moments(df: DataFrame, regs, in_sample, keys: Sequence[str], extra: Sequence[str] = (),
+                  keep=None) -> DataFrame:
+    """Cross-product sums of (regressors..., dy) over the sample rows, in long
+    form (keys, extra, a, b, s) with a <= b: each row is fanned out to its
+    (k+1)(k+2)/2 products and summed by one plain grouped aggregation."""
+    vals = F.array(*regs, F.col("_dy"))
+    rows = df.filter(in_sample).select(*keys, *extra, vals.alias("_v"))
+    one = rows.select(*keys, *extra, F.posexplode("_v").alias("_a", "_xa"), "_v")
+    two = one.select(*keys, *extra, "_a", "_xa", F.posexplode("_v").alias("_b", "_xb")).filter("_b >= _a")
+    if keep is not None:
+        two = two.filter(keep)
+    return two.groupBy(*keys, *extra, "_a", "_b").agg(F.sum(F.col("_xa") * F.col("_xb")).alias("_s"))
+
+
+def _matrix(pdf: pd.DataFrame, size: int) -> np.ndarray:
+    m = np.zeros((size, size))
+    a, b, v = pdf["_a"].to_numpy(), pdf["_b"].to_numpy(), pdf["_s"].to_numpy(dtype=float)
+    v = np.nan_to_num(v)
+    m[a, b] = v
+    m[b, a] = v
+    return m
 
 
 def adf_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS) -> DataFrame:
     """Augmented Dickey-Fuller with constant, lag length by AIC over
     0..maxlag on a common sample, then the refit with the chosen lag.
 
+    Spark builds the lag columns (one sort) and the cross-product sums (one
+    aggregation per pass); the per-series solves see only the (k x k) sums.
     One small action sizes the lag columns: the largest ``maxlag`` over all
-    series (a single integer, computed from series lengths).
+    series (a single integer computed from series lengths).
     """
     base = _prep(df, value, keys)
     w = series_window(keys)
@@ -129,64 +133,56 @@ def adf_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS) ->
     lmax = max(int(lmax), 0)
     base = base.withColumns({f"_d{j}": F.lag("_dy", j).over(w) for j in range(1, lmax + 1)})
     regs = [F.lit(1.0), F.col("_lv")] + [F.col(f"_d{j}") for j in range(1, lmax + 1)]
-    nreg = lmax + 2
-
-    # pass 1: common sample for every candidate lag (rows i >= maxlag + 2)
-    m1 = _moments(base, nreg, keys, F.col("_i") >= F.col("_ml") + 2, regs)
-    ml = base.groupBy(*keys).agg(F.max("_ml").alias("_ml"))
-    m1 = m1.join(ml, list(keys))
+    size = lmax + 3          # regressors + dy
+    dy = lmax + 2
     key_schema = ", ".join(f"{k} string" for k in keys)
 
-    def choose(it):
-        for pdf in it:
-            out = []
-            for _, row in pdf.iterrows():
-                m, xy = _unpack(row, nreg)
-                nobs, yy, top = float(row["_cnt"] or 0), float(row["_yy"] or 0.0), int(row["_ml"])
-                best = (math.inf, 0)
-                for p in range(0, top + 1):
-                    k = p + 2
-                    try:
-                        b = np.linalg.solve(m[:k, :k], xy[:k])
-                    except np.linalg.LinAlgError:
-                        continue
-                    ssr = max(yy - float(b @ xy[:k]), 1e-300)
-                    llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
-                    best = min(best, (-2.0 * llf + 2.0 * k, p))
-                out.append({**{k_: row[k_] for k_ in keys}, "_p": int(best[1])})
-            yield pd.DataFrame(out, columns=[*keys, "_p"])
-
-    chosen = m1.mapInPandas(choose, f"{key_schema}, _p int")
+    # pass 1: common sample for every candidate lag (rows i >= maxlag + 2)
+    m1 = _long_moments(base, regs, F.col("_i") >= F.col("_ml") + 2, keys, ["_ml"])
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        mat = _matrix(pdf, size)
+        top = int(pdf["_ml"].iloc[0])
+        nobs, yy = mat[0, 0], mat[dy, dy]
+        best = (math.inf, 0)
+        for p in range(0, top + 1):
+            k = p + 2
+            try:
+                b = np.linalg.solve(mat[:k, :k], mat[:k, dy])
+            except np.linalg.LinAlgError:
+                continue
+            ssr = max(yy - float(b @ mat[:k, dy]), 1e-300)
+            llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
+            best = min(best, (-2.0 * llf + 2.0 * k, p))
+        return pd.DataFrame([{**{k_: pdf[k_].iloc[0] for k_ in keys}, "_p": int(best[1])}])
+
+    chosen = m1.groupBy(*keys).applyInPandas(choose, f"{key_schema}, _p int")
 
     # pass 2: refit with the chosen lag on its own sample (rows i >= p + 2)
     b2 = base.join(chosen, list(keys))
-    regs2 = [F.lit(1.0), F.col("_lv")] + [F.when(F.lit(j) <= F.col("_p"), F.col(f"_d{j}")).otherwise(F.lit(0.0))
-                                          for j in range(1, lmax + 1)]
-    m2 = _moments(b2, nreg, keys, F.col("_i") >= F.col("_p") + 2, regs2).join(chosen, list(keys))
-
-    def refit(it):
-        for pdf in it:
-            out = []
-            for _, row in pdf.iterrows():
-                m, xy = _unpack(row, nreg)
-                p = int(row["_p"])
-                k = p + 2
-                nobs, yy = float(row["_cnt"] or 0), float(row["_yy"] or 0.0)
-                stat = pv = math.nan
-                try:
-                    inv = np.linalg.inv(m[:k, :k])
-                    b = inv @ xy[:k]
-                    ssr = yy - float(b @ xy[:k])
-                    s2 = ssr / (nobs - k)
-                    stat = float(b[1] / math.sqrt(s2 * inv[1, 1]))
-                    pv = mackinnon_p(stat)
-                except (np.linalg.LinAlgError, ValueError, ZeroDivisionError):
-                    pass
-                out.append({**{k_: row[k_] for k_ in keys}, "statistic": stat, "p_value": pv,
-                            "lags_used": p, "observations": int(nobs)})
-            yield pd.DataFrame(out, columns=[*keys, "statistic", "p_value", "lags_used", "observations"])
-
-    res = m2.mapInPandas(refit, f"{key_schema}, statistic double, p_value double, lags_used int, observations long")
+    keep = (((F.col("_a") <= F.col("_p") + 1) | (F.col("_a") == dy))
+            & ((F.col("_b") <= F.col("_p") + 1) | (F.col("_b") == dy)))
+    m2 = _long_moments(b2, regs, F.col("_i") >= F.col("_p") + 2, keys, ["_p"], keep)
+
+    def refit(pdf: pd.DataFrame) -> pd.DataFrame:
+        mat = _matrix(pdf, size)
+        p = int(pdf["_p"].iloc[0])
+        k = p + 2
+        nobs, yy = mat[0, 0], mat[dy, dy]
+        stat = pv = math.nan
+        try:
+            inv = np.linalg.inv(mat[:k, :k])
+            b = inv @ mat[:k, dy]
+            s2 = (yy - float(b @ mat[:k, dy])) / (nobs - k)
+            stat = float(b[1] / math.sqrt(s2 * inv[1, 1]))
+            pv = mackinnon_p(stat)
+        except (np.linalg.LinAlgError, ValueError, ZeroDivisionError):
+            pass
+        return pd.DataFrame([{**{k_: pdf[k_].iloc[0] for k_ in keys}, "statistic": stat, "p_value": pv,
+                              "lags_used": p, "observations": int(nobs)}])
+
+    res = m2.groupBy(*keys).applyInPandas(
+        refit, f"{key_schema}, statistic double, p_value double, lags_used int, observations long")
     return res.withColumn("stationary", F.col("p_value") <= 0.05)
 
 
