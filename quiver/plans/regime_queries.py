@@ -8,8 +8,10 @@ twin; the classifier-driven variant lives in ``classifier_queries``.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quiver.functions.windows import series_window
 from quiver.operators import backtest as B
 from quiver.operators import recursions as RC
 from quiver.plans.backtest_queries import ensemble_ctes
@@ -275,3 +277,42 @@ def q_trade_recommendation(spark, sf_dir):
     rec = (F.when(F.col("cur") > F.col("q"), "NO TRADE").when(F.col("probability") > 0.53, "TRADE (UP)")
            .when(F.col("probability") < 0.47, "TRADE (DOWN)").otherwise("NO TRADE"))
     return finish(j.select("ticker", "probability", rec.alias("trade_recommendation")))
+
+
+@register("align_forecasts", with_recursive(SQL_VIEWS["bars"], returns_cte("bars", "ret"),
+                                            *arma_sql_ctes(base=False)) + """
+SELECT e.ticker, e.date, round(e.log_return, 6) + 0.0 AS log_return,
+       round(a.arima_mean_forecast_percent, 6) + 0.0 AS arima_forecast_pct
+FROM (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM ret) e
+LEFT JOIN afc a ON e.ticker = a.ticker AND e.date = a.date WHERE e.back <= 30""")
+def q_align_forecasts(spark, sf_dir):
+    """Forecasts attached to the evaluation dates (last 30 per ticker) by (ticker, date)."""
+    ret = _ret(spark, sf_dir)
+    last = Window.partitionBy("ticker").orderBy(F.col("date").desc())
+    ev = ret.withColumn("_b", F.row_number().over(last)).filter("_b <= 30").select("ticker", "date", "log_return")
+    fc = RC.rolling_forecast(ret).select("ticker", "date", F.col("arima_mean_forecast_percent").alias("arima_forecast_pct"))
+    return finish(ev.join(fc, ["ticker", "date"], "left"))
+
+
+@register("join_forecasts", with_recursive(*backtest_sql_ctes()) + """
+SELECT ticker, date, round(predicted_probability_up, 6) + 0.0 AS predicted_probability_up,
+       round(arima_mean_forecast_percent, 6) + 0.0 AS arima_mean_forecast_percent FROM bt0""")
+def q_join_forecasts(spark, sf_dir):
+    """C4: classifier-side predictions LEFT JOIN forecasts on (ticker, date)."""
+    pred, fc, _ = backtest_inputs(spark, sf_dir)
+    j = pred.join(fc.select("ticker", "date", "arima_mean_forecast_percent"), ["ticker", "date"], "left")
+    return finish(j, ["ticker", "date", "predicted_probability_up", "arima_mean_forecast_percent"])
+
+
+@register("join_regimes", with_recursive(*backtest_sql_ctes()) + f"""
+SELECT ticker, date, volatility_regime, vix_regime, trend_regime, market_regime,
+       {rnd(['next_day_log_return', G])} FROM bt0""")
+def q_join_regimes(spark, sf_dir):
+    """Predictions LEFT JOIN next-day return, volatility and regime labels (pruned columns)."""
+    pred, _, market = backtest_inputs(spark, sf_dir)
+    mk = market.withColumn("next_day_log_return", F.lead("log_return").over(series_window()))
+    side = mk.select("ticker", "date", "next_day_log_return", G, "volatility_regime", "vix_regime",
+                     "trend_regime", "market_regime")
+    return finish(pred.join(side, ["ticker", "date"], "left"),
+                  ["ticker", "date", "volatility_regime", "vix_regime", "trend_regime", "market_regime",
+                   "next_day_log_return", G])
