@@ -54,9 +54,14 @@ def instrument_returns(long: DataFrame) -> DataFrame:
 def calendar_align(long: DataFrame, names: Sequence[str] = INSTRUMENTS) -> DataFrame:
     """One row per date of the first instrument, other instruments aligned
     (missing where they have no bar that day)."""
-    wide = (instrument_returns(long.filter(F.col("name").isin(list(names))))
-            .groupBy("date").pivot("name", list(names))
-            .agg(F.first("close").alias("close"), F.first("ret").alias("return")))
+    # conditional aggregation = a pivot with known values (one shuffle on date,
+    # partial aggregation; no distinct-values job, simpler plan than Pivot)
+    aggs = []
+    for n in names:
+        hit = F.col("name") == n
+        aggs += [F.max(F.when(hit, F.col("close"))).alias(f"{n}_close"),
+                 F.max(F.when(hit, F.col("ret"))).alias(f"{n}_return")]
+    wide = instrument_returns(long.filter(F.col("name").isin(list(names)))).groupBy("date").agg(*aggs)
     return wide.filter(F.col(f"{names[0]}_close").isNotNull()).select("date", *market_columns(names))
 
 
