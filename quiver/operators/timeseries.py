@@ -35,6 +35,8 @@ KPSS_PVALS = (0.10, 0.05, 0.025, 0.01)
 KPSS_GAMMA = 1.1447
 
 Z975 = 1.959963984540054
+# int(n ** (2/9)) for the largest series a grouped job accepts (200 000 rows)
+COVLAGS_MAX = 15
 
 
 def _prep(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
@@ -206,26 +208,34 @@ def kpss_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS,
     automatic lag rule (or a fixed ``nlags``); p-value interpolated in the
     critical-value table and clipped to [0.01, 0.10]."""
     base = _prep(df, value, keys)
-    base = base.withColumn("_s", F.sum("_c").over(expanding(keys)))
-    stats = base.groupBy(*keys).agg(
+    w = series_window(keys)
+    # covlags = int(n ** (2/9)) <= COVLAGS_MAX for every series within MAX_SERIES_ROWS,
+    # so the first-stage autocovariances are lag columns summed in the same pass
+    lagged = base.withColumns({"_s": F.sum("_c").over(expanding(keys)),
+                               **{f"_l{j}": F.lag("_c", j).over(w) for j in range(1, COVLAGS_MAX + 1)}})
+    stats = lagged.groupBy(*keys).agg(
         F.max("_n").alias("_n"), F.sum(F.col("_s") * F.col("_s")).alias("_ss"),
-        F.sum(F.col("_c") * F.col("_c")).alias("_g0"))
+        F.sum(F.col("_c") * F.col("_c")).alias("_g0"),
+        *[F.sum(F.col("_c") * F.col(f"_l{j}")).alias(f"_a{j}") for j in range(1, COVLAGS_MAX + 1)])
     n = F.col("_n")
     if nlags is None:
-        cov = base.withColumn("_cl", F.floor(F.pow(F.col("_n"), 2.0 / 9.0)).cast("int"))
-        g1 = _autocov(cov, "_cl", keys)
-        s = (g1.join(stats, list(keys))
-             .groupBy(*keys).agg(F.sum(F.col("_g") / (n / 2.0)).alias("_sp"),
-                                 F.sum(F.col("_j") * F.col("_g") / (n / 2.0)).alias("_s1"),
-                                 F.first("_g0").alias("_g0"), F.first("_n").alias("_n")))
-        s0 = F.col("_g0") / F.col("_n") + F.coalesce(F.col("_sp"), F.lit(0.0))
-        s_hat = F.coalesce(F.col("_s1"), F.lit(0.0)) / s0
-        auto = F.floor(F.lit(KPSS_GAMMA) * F.pow(s_hat * s_hat, 1.0 / 3.0) * F.pow(F.col("_n"), 1.0 / 3.0))
-        lags = s.select(*keys, F.least(auto, F.col("_n") - 1).cast("int").alias("_lags"))
-        stats = stats.join(lags, list(keys), "left")
-        stats = stats.withColumn("_lags", F.coalesce("_lags", F.lit(0)))
+        cl = F.floor(F.pow(n, 2.0 / 9.0)).cast("int")
+        cl = F.when(cl > COVLAGS_MAX, F.raise_error(F.lit(
+            "KPSS: series longer than the grouped-job bound; resample before testing"))).otherwise(cl)
+        terms = [F.when(F.lit(j) <= cl, F.coalesce(F.col(f"_a{j}"), F.lit(0.0)) / (n / 2.0)).otherwise(F.lit(0.0))
+                 for j in range(1, COVLAGS_MAX + 1)]
+        sp = terms[0]
+        s1 = terms[0] * 1
+        for j, t in enumerate(terms[1:], start=2):
+            sp = sp + t
+            s1 = s1 + t * j
+        s0 = F.col("_g0") / n + sp
+        s_hat = s1 / s0
+        auto = F.floor(F.lit(KPSS_GAMMA) * F.pow(s_hat * s_hat, 1.0 / 3.0) * F.pow(n, 1.0 / 3.0))
+        stats = stats.withColumn("_lags", F.least(auto, n - 1).cast("int"))
     else:
         stats = stats.withColumn("_lags", F.least(F.lit(nlags), n - 1).cast("int"))
+    stats = stats.select(*keys, "_n", "_ss", "_g0", "_lags")
     g = _autocov(base.join(stats.select(*keys, "_lags"), list(keys)), "_lags", keys)
     lr = (g.join(stats.select(*keys, "_lags"), list(keys))
           .groupBy(*keys).agg(F.sum(2.0 * F.col("_g") * (1.0 - F.col("_j") / (F.col("_lags") + 1.0))).alias("_w")))

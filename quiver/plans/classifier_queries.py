@@ -139,13 +139,20 @@ def q_validation_tail(spark, sf_dir):
 # model fit and everything scored by it (rows-only checks)
 # ---------------------------------------------------------------------------
 
+_FITS: dict[tuple[str, str], tuple] = {}
+
+
 def fitted(spark, sf_dir):
     """Fit once on materialised samples: ``checkpoint`` writes them to the
     cluster's shared checkpoint folder and cuts the lineage, so optimizer
-    iterations and later scoring do not recompute the feature plan."""
-    ensure_checkpoint_dir(spark)
-    samples = C.prepare_samples(features(spark, sf_dir)).checkpoint(eager=True)
-    return C.train_direction(samples), samples
+    iterations and later scoring do not recompute the feature plan. The fit is
+    shared by the queries of one application (same session, same input)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        ensure_checkpoint_dir(spark)
+        samples = C.prepare_samples(features(spark, sf_dir)).checkpoint(eager=True)
+        _FITS[key] = (C.train_direction(samples), samples)
+    return _FITS[key]
 
 
 @register("train_direction")

@@ -131,7 +131,7 @@ lab AS (SELECT DISTINCT ticker, y AS label FROM cm UNION SELECT DISTINCT ticker,
 SELECT a.ticker, a.label AS y, b.label AS yhat, CAST(coalesce(cm.n, 0) AS BIGINT) AS count
 FROM lab a JOIN lab b ON a.ticker = b.ticker
 LEFT JOIN cm ON cm.ticker = a.ticker AND cm.y = a.label AND cm.yhat = b.label""".replace(
-    "WITH ", "WITH ", 1).replace("\n,\ncm AS", ",\ncm AS"))
+    "\n,\ncm AS", ",\ncm AS"))
 def q_confusion_matrix(spark, sf_dir):
     """Counts per (true, predicted) label pair, empty cells as 0."""
     return finish(EV.confusion_matrix(naive_pairs(_ret(spark, sf_dir))))
