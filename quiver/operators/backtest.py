@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiver.functions.windows import KEYS, expanding, rolling_mean, rolling_std, rolling_sum, series_window
@@ -175,13 +175,16 @@ def regime_backtest_table(predictions: DataFrame, forecasts: DataFrame, market:
     quantile (D2, looks ahead as in the source) is a per-ticker aggregate.
     """
     w = series_window(keys)
-    mk = market.withColumn("next_day_log_return", F.lead("log_return").over(w))
-    cutoff = mk.groupBy(*keys).agg(F.percentile(GARCH_COL, vol_quantile).alias("volatility_cutoff"))
+    # the global quantile is a whole-partition window: computed once per
+    # ticker in the same pass, no second branch over the market table
+    mk = market.withColumns({
+        "next_day_log_return": F.lead("log_return").over(w),
+        "volatility_cutoff": F.percentile(GARCH_COL, vol_quantile).over(Window.partitionBy(*keys)),
+    })
     regime_cols = [c for c in ("volatility_regime", "vix_regime", "trend_regime", "market_regime") if c in mk.columns]
-    side = mk.select(*keys, "date", "next_day_log_return", GARCH_COL, *regime_cols)
+    side = mk.select(*keys, "date", "next_day_log_return", GARCH_COL, *regime_cols, "volatility_cutoff")
     bt = (predictions.join(forecasts.select(*keys, "date", "arima_mean_forecast_percent"), [*keys, "date"], "left")
-          .join(side, [*keys, "date"], "left")
-          .join(cutoff, list(keys), "left"))
+          .join(side, [*keys, "date"], "left"))
     bt = bt.withColumn("_signal", regime_signal(upper=upper, lower=lower, threshold=threshold))
     bt = confidence_position(bt, corrected=corrected).drop("_signal")
     bt = bt.withColumns({

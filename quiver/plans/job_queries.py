@@ -11,6 +11,7 @@ from quiver.plans.finish import finish
 from quiver.plans.io_queries import scratch, write_price_files
 from quiver.plans.model_queries import arma_sql_ctes, with_recursive
 from quiver.plans.registry import register
+from quiver.session import materialize
 from quiver.sources.views import bars, sql_with, table
 from quiver.streaming.bars_stream import read_bars, run_bars_stream
 
@@ -42,7 +43,7 @@ def q_forecast_orders(spark, sf_dir):
 @register("baseline_report")
 def q_baseline_report(spark, sf_dir):
     """Summary statistics, ADF/KPSS, naive and rolling-forecast metrics as long rows."""
-    return finish(J.baseline_report(B.prepare_returns(bars(spark, sf_dir))))
+    return finish(J.baseline_report(materialize(B.prepare_returns(bars(spark, sf_dir)))))
 
 
 @register("full_pipeline")

@@ -18,6 +18,7 @@ from quiver.plans.backtest_queries import ensemble_ctes
 from quiver.plans.finish import finish
 from quiver.plans.registry import register
 from quiver.plans.sqltext import W, frame, returns_cte, rnd
+from quiver.session import materialize
 from quiver.sources.views import SQL_VIEWS, bars
 
 # ---------------------------------------------------------------------------
@@ -29,6 +30,11 @@ def _ret(spark, sf_dir):
     return B.prepare_returns(bars(spark, sf_dir))
 
 
+def _ret_shared(spark, sf_dir):
+    """Returns materialised once for plans that read them in several branches."""
+    return materialize(_ret(spark, sf_dir))
+
+
 def with_recursive(*ctes: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
@@ -365,7 +371,7 @@ SELECT c.ticker, {', '.join(f'round(c.{m}, 6) + 0.0 AS {m}' for m in _CLF)},
 FROM clf c JOIN reg r ON c.ticker = r.ticker""".replace("\n,\nwf0", ",\nwf0"))
 def q_walk_forward(spark, sf_dir):
     """Walk-forward test on the last 20 %: sign metrics and value metrics per ticker."""
-    p = walk_forward_pairs(_ret(spark, sf_dir))
+    p = walk_forward_pairs(_ret_shared(spark, sf_dir))
     clf = EV.classification_report(p.select("ticker", (F.col("actual") > 0).cast("int").alias("y"),
                                             (F.col("forecast") > 0).cast("int").alias("yhat")))
     reg = EV.regression_report(p.select("ticker", F.col("actual").alias("y"), F.col("forecast").alias("yhat")))
@@ -387,9 +393,10 @@ FROM clf c JOIN reg r ON c.ticker = r.ticker""".replace("\n,\nrb0", ",\nrb0"))
 def q_rolling_baseline(spark, sf_dir):
     """Rolling forecasts over the last 60 days; direction metrics vs the next day,
     value metrics vs the same day (as in the source)."""
-    f = RC.rolling_forecast(_ret(spark, sf_dir)).withColumn(
+    ret = _ret_shared(spark, sf_dir)
+    f = RC.rolling_forecast(ret).withColumn(
         "_back", F.row_number().over(Window.partitionBy("ticker").orderBy(F.col("date").desc())))
-    r = _ret(spark, sf_dir).join(f, ["ticker", "date"], "inner").filter(
+    r = ret.join(f, ["ticker", "date"], "inner").filter(
         (F.col("_back") <= 60) & F.col("arima_mean_forecast_percent").isNotNull())
     y = F.col("log_return") * 100.0
     w = series_window()

@@ -21,6 +21,7 @@ from quiver.plans.market_queries import processed, processed_ctes
 from quiver.plans.model_queries import arma_sql_ctes, garch_sql_ctes, with_recursive
 from quiver.plans.registry import register
 from quiver.plans.sqltext import W, frame, guarded, returns_cte, rnd
+from quiver.session import materialize
 from quiver.sources.views import SQL_VIEWS, bars
 
 G = B.GARCH_COL
@@ -30,7 +31,8 @@ FIXTURE_VIX_LEVEL = 40000.0
 
 
 def _ret(spark, sf_dir):
-    return B.prepare_returns(bars(spark, sf_dir))
+    """Returns per ticker, materialised once: they feed several branches."""
+    return materialize(B.prepare_returns(bars(spark, sf_dir)))
 
 
 def regimes_frame(spark, sf_dir):

@@ -10,6 +10,7 @@ from quiver.operators import timeseries as TS
 from quiver.plans.finish import finish
 from quiver.plans.registry import register
 from quiver.plans.sqltext import W, frame, returns_cte, rnd
+from quiver.session import materialize
 from quiver.sources.views import SQL_VIEWS, bars
 
 THIRD = repr(1.0 / 3.0)
@@ -17,7 +18,8 @@ TWO_NINTHS = repr(2.0 / 9.0)
 
 
 def _series(spark, sf_dir, col="log_return"):
-    return B.prepare_returns(bars(spark, sf_dir)).select("ticker", "date", F.col(col).alias("value"))
+    """One series per ticker, materialised once: the tests read it in several passes."""
+    return materialize(B.prepare_returns(bars(spark, sf_dir)).select("ticker", "date", F.col(col).alias("value")))
 
 
 def _with(*ctes: str) -> str:
@@ -97,7 +99,7 @@ def q_kpss_test(spark, sf_dir):
 @register("stationarity_report")
 def q_stationarity_report(spark, sf_dir):
     """ADF and KPSS on price and on log return for every ticker, stacked."""
-    r = B.prepare_returns(bars(spark, sf_dir))
+    r = materialize(B.prepare_returns(bars(spark, sf_dir)))
     return finish(TS.stationarity_report(r))
 
 
@@ -108,8 +110,7 @@ SELECT ticker, series, 'KPSS' AS test, {rnd(['statistic', 'p_value'])}, lags AS
   CAST(n AS BIGINT) AS observations, p_value > 0.05 AS stationary FROM kp""")
 def q_stack_results(spark, sf_dir):
     """Test results of several series stacked into one table (KPSS on price and log return)."""
-    r = B.prepare_returns(bars(spark, sf_dir))
-    long = TS.stack_series(r, ["price", "log_return"])
+    long = materialize(TS.stack_series(B.prepare_returns(bars(spark, sf_dir)), ["price", "log_return"]))
     k = TS.kpss_test(long, "value", ["ticker", "series"])
     return finish(k.select("ticker", "series", F.lit("KPSS").alias("test"), "statistic", "p_value",
                            "lags_used", "observations", "stationary"))
@@ -143,7 +144,7 @@ _SQ = """sq AS (SELECT ticker, date, s.series, s.value FROM ret,
 
 def _sq_series(spark, sf_dir):
     r = B.prepare_returns(bars(spark, sf_dir)).withColumn("log_return_squared", F.pow("log_return", 2))
-    return TS.stack_series(r, ["log_return", "log_return_squared"])
+    return materialize(TS.stack_series(r, ["log_return", "log_return_squared"]))
 
 
 @register("acf", _with(_SQ, *acf_sql("sq", "value", "ticker, series")) + f"""

@@ -76,3 +76,15 @@ def tune(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def materialize(df):
+    """Write a DataFrame that feeds several branches of one plan to the
+    shared checkpoint folder and read it back (``checkpoint(eager=True)``).
+
+    Without it every branch re-scans and re-aggregates the raw tables (Spark
+    reuses an exchange only for identical sub-plans). Used on the small
+    aggregated series tables (bars, returns), never on raw input.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
