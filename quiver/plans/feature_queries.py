@@ -362,10 +362,10 @@ def q_global_quantile(spark, sf_dir):
 
 
 @register("regime_counts", sql_with("bars", extra=ensemble_ctes("bars")) + """
-SELECT ticker, count_if(market_regime = 'risk_off') AS risk_off_days,
-  count_if(market_regime = 'low_vol_uptrend') AS low_vol_uptrend_days,
-  count_if(market_regime = 'low_vol_downtrend') AS low_vol_downtrend_days,
-  count_if(market_regime = 'neutral') AS neutral_days FROM ens GROUP BY ticker""")
+SELECT ticker, CAST(count_if(market_regime = 'risk_off') AS BIGINT) AS risk_off_days,
+  CAST(count_if(market_regime = 'low_vol_uptrend') AS BIGINT) AS low_vol_uptrend_days,
+  CAST(count_if(market_regime = 'low_vol_downtrend') AS BIGINT) AS low_vol_downtrend_days,
+  CAST(count_if(market_regime = 'neutral') AS BIGINT) AS neutral_days FROM ens GROUP BY ticker""")
 def q_regime_counts(spark, sf_dir):
     """D3: days per regime (0 when absent)."""
     t = B.ensemble_table(B.prepare_returns(bars(spark, sf_dir)))

@@ -117,12 +117,12 @@ def q_classification_report(spark, sf_dir):
 
 
 @register("per_class_report", _base(NAIVE_CTE, clf_sql("np")) + f"""
-SELECT ticker, CAST(label AS VARCHAR) AS label, {rnd(['precision', 'recall', 'f1'])}, support
+SELECT ticker, CAST(label AS VARCHAR) AS label, {rnd(['precision', 'recall', 'f1'])}, CAST(support AS BIGINT) AS support
 FROM pc WHERE support + predicted > 0
-UNION ALL SELECT ticker, 'macro avg', {rnd(['p', 'r', 'f'])}, s FROM (
+UNION ALL SELECT ticker, 'macro avg', {rnd(['p', 'r', 'f'])}, CAST(s AS BIGINT) FROM (
   SELECT ticker, avg(precision) AS p, avg(recall) AS r, avg(f1) AS f, sum(support) AS s
   FROM pc WHERE support + predicted > 0 GROUP BY ticker) m
-UNION ALL SELECT ticker, 'weighted avg', {rnd(['p', 'r', 'f'])}, s FROM (
+UNION ALL SELECT ticker, 'weighted avg', {rnd(['p', 'r', 'f'])}, CAST(s AS BIGINT) FROM (
   SELECT ticker, sum(precision * support) / sum(support) AS p, sum(recall * support) / sum(support) AS r,
          sum(f1 * support) / sum(support) AS f, sum(support) AS s
   FROM pc WHERE support + predicted > 0 GROUP BY ticker) wt""")

@@ -221,8 +221,10 @@ def q_strategy_returns(spark, sf_dir):
 
 _SUM_COLS = ["trade_rate", "hit_rate_on_trades", "strategy_total_return", "buy_hold_total_return",
              "annualized_sharpe", "max_drawdown"]
-_SUMMARY_SQL = f"""SELECT ticker, trade_count, {rnd(_SUM_COLS)}, risk_off_days, low_vol_uptrend_days,
-  low_vol_downtrend_days, neutral_days FROM (
+_SUMMARY_SQL = f"""SELECT ticker, CAST(trade_count AS BIGINT) AS trade_count, {rnd(_SUM_COLS)},
+  CAST(risk_off_days AS BIGINT) AS risk_off_days, CAST(low_vol_uptrend_days AS BIGINT) AS low_vol_uptrend_days,
+  CAST(low_vol_downtrend_days AS BIGINT) AS low_vol_downtrend_days, CAST(neutral_days AS BIGINT) AS neutral_days
+FROM (
   SELECT ticker, count_if(position <> 0) AS trade_count, count_if(position <> 0) / count(*) AS trade_rate,
     avg(CASE WHEN position <> 0 THEN (CASE WHEN (position > 0 AND next_day_log_return > 0)
         OR (position < 0 AND next_day_log_return < 0) THEN 1 ELSE 0 END) END) AS hit_rate_on_trades,
