@@ -173,13 +173,16 @@ def regime_backtest_table(predictions: DataFrame, forecasts: DataFrame, market:
     market:      (keys, date, log_return, garch col, market_regime, ...) on all dates.
     C4 and C5 are left joins on (ticker, date); the global volatility
     quantile (D2, looks ahead as in the source) is a per-ticker aggregate.
+    ``corrected=True`` uses the expanding cutoff known on each date instead
+    (Q5) and gives low-confidence relabelled signals no size (Q3).
     """
     w = series_window(keys)
     # the global quantile is a whole-partition window: computed once per
     # ticker in the same pass, no second branch over the market table
     mk = market.withColumns({
         "next_day_log_return": F.lead("log_return").over(w),
-        "volatility_cutoff": F.percentile(GARCH_COL, vol_quantile).over(Window.partitionBy(*keys)),
+        "volatility_cutoff": (F.col("vol_cutoff") if corrected and "vol_cutoff" in market.columns
+                              else F.percentile(GARCH_COL, vol_quantile).over(Window.partitionBy(*keys))),
     })
     regime_cols = [c for c in ("volatility_regime", "vix_regime", "trend_regime", "market_regime") if c in mk.columns]
     side = mk.select(*keys, "date", "next_day_log_return", GARCH_COL, *regime_cols, "volatility_cutoff")

@@ -121,3 +121,23 @@ def full_pipeline(spark: SparkSession, bars: DataFrame, sf_dir: str, out_dir: st
     summary = B.backtest_summary(spark.read.parquet(f"{out_dir}/backtest"))
     IO.write_table(summary, f"{out_dir}/summary", partition_by=())
     return spark.read.parquet(f"{out_dir}/summary")
+
+
+def rolling_baseline_pairs(returns: DataFrame, window: int = 60, corrected: bool = False):
+    """I12 inputs on the last ``window`` dates with a forecast: direction pairs
+    (next day's move vs the forecast sign) and value pairs. The source compares
+    the forecast made on day d (for d+1) with day d's return; ``corrected=True``
+    compares it with day d+1's return."""
+    r = returns.filter(F.col("log_return").isNotNull())
+    fc = RC.rolling_forecast(r)
+    last = Window.partitionBy("ticker").orderBy(F.col("date").desc())
+    w = series_window()
+    y = F.col("log_return") * 100.0
+    ev = (r.join(fc, ["ticker", "date"]).withColumn("_b", F.row_number().over(last))
+          .withColumn("_next", F.lead(y).over(w))
+          .filter((F.col("_b") <= window) & F.col("arima_mean_forecast_percent").isNotNull()))
+    clf = ev.select("ticker", F.coalesce(F.lead(y).over(w) > 0, F.lit(False)).cast("int").alias("y"),
+                    (F.col("arima_mean_forecast_percent") > 0).cast("int").alias("yhat"))
+    truth = F.col("_next") if corrected else y
+    reg = ev.select("ticker", truth.alias("y"), F.col("arima_mean_forecast_percent").alias("yhat")).na.drop()
+    return clf, reg

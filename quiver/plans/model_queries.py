@@ -393,16 +393,8 @@ FROM clf c JOIN reg r ON c.ticker = r.ticker""".replace("\n,\nrb0", ",\nrb0"))
 def q_rolling_baseline(spark, sf_dir):
     """Rolling forecasts over the last 60 days; direction metrics vs the next day,
     value metrics vs the same day (as in the source)."""
-    ret = _ret_shared(spark, sf_dir)
-    f = RC.rolling_forecast(ret).withColumn(
-        "_back", F.row_number().over(Window.partitionBy("ticker").orderBy(F.col("date").desc())))
-    r = ret.join(f, ["ticker", "date"], "inner").filter(
-        (F.col("_back") <= 60) & F.col("arima_mean_forecast_percent").isNotNull())
-    y = F.col("log_return") * 100.0
-    w = series_window()
-    clf_in = r.select("ticker", F.coalesce(F.lead(y).over(w) > 0, F.lit(False)).cast("int").alias("y"),
-                      (F.col("arima_mean_forecast_percent") > 0).cast("int").alias("yhat"))
-    reg_in = r.select("ticker", y.alias("y"), F.col("arima_mean_forecast_percent").alias("yhat"))
+    from quiver.plans.jobs import rolling_baseline_pairs
+    clf_in, reg_in = rolling_baseline_pairs(_ret_shared(spark, sf_dir))
     out = EV.classification_report(clf_in).join(EV.regression_report(reg_in), "ticker")
     return finish(out, ["ticker", *_CLF, *_REG])
 
