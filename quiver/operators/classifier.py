@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from quiver.functions.scalar import safe_div
 from quiver.functions.windows import KEYS, rolling_mean, rolling_std, rolling_sum, series_window
-from quiver.operators.backtest import GARCH_COL
 from quiver.operators.market import INSTRUMENT_MOMENTUM
 
 # The 45 model inputs, in the order the notebook lists them.

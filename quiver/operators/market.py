@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiver.functions.scalar import safe_div, safe_ln
-from quiver.functions.windows import KEYS, expanding, rolling_sum, series_window
-from quiver.operators.features import forward_fill, log_returns
+from quiver.functions.windows import KEYS, rolling_sum, series_window
+from quiver.operators.features import forward_fill
 from quiver.sources.views import INSTRUMENTS
 
 # The eight relative-strength ratios (name, numerator, denominator).
@@ -178,5 +178,3 @@ def processed_table(bars: DataFrame, long: DataFrame, keys: Sequence[str] = KEYS
     """A5 + C1: the 37-column processed table per ticker."""
     return join_market_ffill(bars, ingest_instruments(long), keys)
 
-
-__all__ = ["log_returns", "expanding"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quiver.operators import backtest as B
-from quiver.operators import regimes as R
 from quiver.plans.finish import finish
 from quiver.plans.registry import register
 from quiver.plans.sqltext import W, frame, guarded, guarded_expanding, returns_cte, rnd
@@ -208,5 +207,3 @@ def q_performance_report(spark, sf_dir):
     return reports_from_summary(B.ensemble_summary(_table(spark, sf_dir)), REPORT_STAMP) \
         .select("ticker", "performance_report")
 
-
-__all__ = ["ensemble_ctes", "R"]

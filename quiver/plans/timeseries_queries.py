@@ -9,7 +9,7 @@ from quiver.operators import backtest as B
 from quiver.operators import timeseries as TS
 from quiver.plans.finish import finish
 from quiver.plans.registry import register
-from quiver.plans.sqltext import W, frame, returns_cte, rnd
+from quiver.plans.sqltext import W, returns_cte, rnd
 from quiver.session import materialize
 from quiver.sources.views import SQL_VIEWS, bars
 
@@ -172,5 +172,3 @@ def q_pacf_short(spark, sf_dir):
     p = TS.pacf(_sq_series(spark, sf_dir), "value", ["ticker", "series"], NL)
     return finish(p.filter(F.col("lag").isin(1, 2)))
 
-
-__all__ = ["frame"]
