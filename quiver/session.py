@@ -75,6 +75,7 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
@@ -88,3 +89,31 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quiver`` importable in every Python worker of this application.
+
+    The package is zipped once per SparkContext and added with ``addPyFile``
+    (what ``--py-files`` does at submit time), so grouped pandas functions
+    defined here resolve on executors whatever their working directory.
+    """
+    import os
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="quiver-pkg-"), "quiver.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
