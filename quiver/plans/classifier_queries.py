@@ -21,7 +21,7 @@ from quiver.plans.market_queries import processed, processed_ctes
 from quiver.plans.model_queries import garch_sql_ctes, with_recursive
 from quiver.plans.registry import register
 from quiver.plans.sqltext import W, div, guarded, rnd
-from quiver.session import ensure_checkpoint_dir
+from quiver.session import ensure_checkpoint_dir, materialize
 from quiver.sources.views import SQL_VIEWS
 
 G = B.GARCH_COL
@@ -143,14 +143,14 @@ _FITS: dict[tuple[str, str], tuple] = {}
 
 
 def fitted(spark, sf_dir):
-    """Fit once on materialised samples: ``checkpoint`` writes them to the
-    cluster's shared checkpoint folder and cuts the lineage, so optimizer
+    """Fit once on materialised samples: written as a table to the cluster's
+    shared checkpoint folder and read back, which cuts the lineage, so optimizer
     iterations and later scoring do not recompute the feature plan. The fit is
     shared by the queries of one application (same session, same input)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _FITS:
         ensure_checkpoint_dir(spark)
-        samples = C.prepare_samples(features(spark, sf_dir)).checkpoint(eager=True)
+        samples = materialize(C.prepare_samples(features(spark, sf_dir)), "samples")
         _FITS[key] = (C.train_direction(samples), samples)
     return _FITS[key]
 

@@ -79,16 +79,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialize(df):
-    """Write a DataFrame that feeds several branches of one plan to the
-    shared checkpoint folder and read it back (``checkpoint(eager=True)``).
+def materialize(df, name: str = "shared"):
+    """Write a DataFrame that feeds several branches of one plan as a Parquet
+    table under the cluster's shared checkpoint folder and read it back.
 
     Without it every branch re-scans and re-aggregates the raw tables (Spark
-    reuses an exchange only for identical sub-plans). Used on the small
-    aggregated series tables (bars, returns), never on raw input.
+    reuses an exchange only for identical sub-plans). The plan is computed
+    once (``DataFrame.checkpoint`` without a cache computes it twice), the
+    lineage is cut, and lost executors re-read the files instead of
+    recomputing. Used on small aggregated tables (bars, returns, samples).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, f"quiver-tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED: set[str] = set()
