@@ -21,7 +21,10 @@ def build_session(master: str | None = None, partitions: int | None = None,
     """
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     master = master or f"local[{cpus}]"
-    partitions = partitions or cpus
+    # local runs: one shuffle partition per core; on a cluster set
+    # QUIVER_SHUFFLE_PARTITIONS to the raw-aggregation size (AQE coalesces
+    # the small window stages that follow down to the advisory size)
+    partitions = partitions or int(os.environ.get("QUIVER_SHUFFLE_PARTITIONS", cpus))
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -31,6 +34,7 @@ def build_session(master: str | None = None, partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUIVER_DRIVER_MEMORY", "16g"))
