@@ -122,69 +122,97 @@ def adf_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS) ->
     """Augmented Dickey-Fuller with constant, lag length by AIC over
     0..maxlag on a common sample, then the refit with the chosen lag.
 
-    Spark builds the lag columns (one sort) and the cross-product sums (one
-    aggregation per pass); the per-series solves see only the (k x k) sums.
+    The regressors are shifts of one series, so every cross-product sum over
+    a sample t = s..n is a difference of prefix sums of lagged products:
+    sum dy_{t-a} dy_{t-b} = C_{b-a}(n-a) - C_{b-a}(s-1-a) with
+    C_k(v) = sum_{u<=v} dy_u dy_{u-k}, and likewise for the level column.
+    Spark computes the 2L+5 running sums in one sorted pass (O(n L) per
+    series) and keeps the <= 2L+3 boundary rows each series needs; the AIC
+    lag choice and the refit solve (k x k) systems per series from them.
     One small action sizes the lag columns: the largest ``maxlag`` over all
     series (a single integer computed from series lengths).
     """
     base = _prep(df, value, keys)
     w = series_window(keys)
-    base = base.withColumn("_dy", F.col("_c") - F.lag("_c").over(w)).withColumn("_lv", F.lag("_c").over(w))
-    base = base.withColumn("_ml", _maxlag_expr(F.col("_n")))
+    fr = expanding(keys)
+    base = base.withColumns({"_dy": F.col("_c") - F.lag("_c").over(w), "_lv": F.lag("_c").over(w),
+                             "_ml": _maxlag_expr(F.col("_n"))})
     lmax = base.groupBy(*keys).agg(F.max("_ml").alias("m")).agg(F.max("m")).first()[0] or 0
     lmax = max(int(lmax), 0)
-    base = base.withColumns({f"_d{j}": F.lag("_dy", j).over(w) for j in range(1, lmax + 1)})
-    regs = [F.lit(1.0), F.col("_lv")] + [F.col(f"_d{j}") for j in range(1, lmax + 1)]
-    size = lmax + 3          # regressors + dy
-    dy = lmax + 2
+    dy0 = F.coalesce(F.col("_dy"), F.lit(0.0))
+    lv0 = F.coalesce(F.col("_lv"), F.lit(0.0))
+    lagged = base.withColumns({f"_d{j}": F.coalesce(F.lag("_dy", j).over(w), F.lit(0.0))
+                               for j in range(1, lmax + 1)})
+    dlag = [dy0] + [F.col(f"_d{j}") for j in range(1, lmax + 1)]
+    sums = {"_A": F.sum(lv0).over(fr), "_B": F.sum(lv0 * lv0).over(fr), "_E": F.sum(dy0).over(fr)}
+    sums.update({f"_H{j}": F.sum(lv0 * dlag[j]).over(fr) for j in range(lmax + 1)})
+    sums.update({f"_C{k}": F.sum(dy0 * dlag[k]).over(fr) for k in range(lmax + 1)})
+    pref = lagged.withColumns(sums)
+    keep = (F.col("_i") >= F.col("_n") - lmax) | (F.col("_i") <= F.col("_ml") + 1)
+    cols = ["_i", "_n", "_ml", "_A", "_B", "_E", *[f"_H{j}" for j in range(lmax + 1)],
+            *[f"_C{k}" for k in range(lmax + 1)]]
+    edges = pref.filter(keep).select(*keys, *cols)
     key_schema = ", ".join(f"{k} string" for k in keys)
+    dyi = lmax + 2
 
-    # pass 1: common sample for every candidate lag (rows i >= maxlag + 2)
-    m1 = _long_moments(base, regs, F.col("_i") >= F.col("_ml") + 2, keys, ["_ml"])
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        mat = _matrix(pdf, size)
-        top = int(pdf["_ml"].iloc[0])
-        nobs, yy = mat[0, 0], mat[dy, dy]
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.set_index("_i")
+        n, ml = int(pdf["_n"].iloc[0]), int(pdf["_ml"].iloc[0])
+
+        def at(col, idx):
+            return float(pdf.at[idx, col]) if idx >= 1 else 0.0
+
+        def moments(s0):
+            size = lmax + 3
+            m = np.zeros((size, size))
+
+            def put(r, c, v):
+                m[r, c] = m[c, r] = v
+
+            put(0, 0, n - s0 + 1)
+            put(0, 1, at("_A", n) - at("_A", s0 - 1))
+            put(1, 1, at("_B", n) - at("_B", s0 - 1))
+            for j in range(0, lmax + 1):
+                col = dyi if j == 0 else 1 + j
+                put(0, col, at("_E", n - j) - at("_E", s0 - 1 - j))
+                put(1, col, at(f"_H{j}", n) - at(f"_H{j}", s0 - 1))
+            for a in range(0, lmax + 1):
+                for b in range(a, lmax + 1):
+                    ca, cb = (dyi if a == 0 else 1 + a), (dyi if b == 0 else 1 + b)
+                    put(ca, cb, at(f"_C{b - a}", n - a) - at(f"_C{b - a}", s0 - 1 - a))
+            return m
+
+        row = {k_: pdf[k_].iloc[0] for k_ in keys}
+        mat = moments(ml + 2)
+        nobs, yy = mat[0, 0], mat[dyi, dyi]
         best = (math.inf, 0)
-        for p in range(0, top + 1):
+        for p in range(0, ml + 1):
             k = p + 2
             try:
-                b = np.linalg.solve(mat[:k, :k], mat[:k, dy])
+                b = np.linalg.solve(mat[:k, :k], mat[:k, dyi])
             except np.linalg.LinAlgError:
                 continue
-            ssr = max(yy - float(b @ mat[:k, dy]), 1e-300)
+            ssr = max(yy - float(b @ mat[:k, dyi]), 1e-300)
             llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
             best = min(best, (-2.0 * llf + 2.0 * k, p))
-        return pd.DataFrame([{**{k_: pdf[k_].iloc[0] for k_ in keys}, "_p": int(best[1])}])
-
-    chosen = m1.groupBy(*keys).applyInPandas(choose, f"{key_schema}, _p int")
-
-    # pass 2: refit with the chosen lag on its own sample (rows i >= p + 2)
-    b2 = base.join(chosen, list(keys))
-    keep = (((F.col("_a") <= F.col("_p") + 1) | (F.col("_a") == dy))
-            & ((F.col("_b") <= F.col("_p") + 1) | (F.col("_b") == dy)))
-    m2 = _long_moments(b2, regs, F.col("_i") >= F.col("_p") + 2, keys, ["_p"], keep)
-
-    def refit(pdf: pd.DataFrame) -> pd.DataFrame:
-        mat = _matrix(pdf, size)
-        p = int(pdf["_p"].iloc[0])
+        p = best[1]
         k = p + 2
-        nobs, yy = mat[0, 0], mat[dy, dy]
+        mat = moments(p + 2)
+        nobs, yy = mat[0, 0], mat[dyi, dyi]
         stat = pv = math.nan
         try:
             inv = np.linalg.inv(mat[:k, :k])
-            b = inv @ mat[:k, dy]
-            s2 = (yy - float(b @ mat[:k, dy])) / (nobs - k)
+            b = inv @ mat[:k, dyi]
+            s2 = (yy - float(b @ mat[:k, dyi])) / (nobs - k)
             stat = float(b[1] / math.sqrt(s2 * inv[1, 1]))
             pv = mackinnon_p(stat)
         except (np.linalg.LinAlgError, ValueError, ZeroDivisionError):
             pass
-        return pd.DataFrame([{**{k_: pdf[k_].iloc[0] for k_ in keys}, "statistic": stat, "p_value": pv,
-                              "lags_used": p, "observations": int(nobs)}])
+        row.update(statistic=stat, p_value=pv, lags_used=p, observations=int(nobs))
+        return pd.DataFrame([row])
 
-    res = m2.groupBy(*keys).applyInPandas(
-        refit, f"{key_schema}, statistic double, p_value double, lags_used int, observations long")
+    res = edges.groupBy(*keys).applyInPandas(
+        solve, f"{key_schema}, statistic double, p_value double, lags_used int, observations long")
     return res.withColumn("stationary", F.col("p_value") <= 0.05)
 
 

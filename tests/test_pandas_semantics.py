@@ -26,10 +26,17 @@ def _frame(spark, xs):
     return spark.createDataFrame(rows, "ticker string, date date, log_return double, volume double")
 
 
-def _close(a, b):
+def _close(a, b, atol=1e-12):
     a = np.array([np.nan if v is None else v for v in a], dtype=float)
     b = np.asarray(b, dtype=float)
-    return np.allclose(a, b, rtol=1e-9, atol=1e-12, equal_nan=True)
+    return np.allclose(a, b, rtol=1e-9, atol=atol, equal_nan=True)
+
+
+# pandas computes rolling variance with running add/remove sums: after a large
+# value leaves the window the result carries round-off of about 1e-8 relative to
+# that value (e.g. 5e-09 where the exact std is 6e-46); Spark's windowed
+# stddev_samp is exact there. Std comparisons allow that absolute round-off.
+STD_ATOL = 1e-7
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -40,8 +47,8 @@ def test_rolling_features_match_pandas(spark, xs):
     assert _close(out["momentum_3"], s.rolling(3).sum())
     assert _close(out["momentum_10"], s.rolling(10).sum())
     assert _close(out["rolling_mean_5"], s.rolling(5).mean())
-    assert _close(out["rolling_std_5"], s.rolling(5).std())
-    assert _close(out["rolling_std_20"], s.rolling(20).std())
+    assert _close(out["rolling_std_5"], s.rolling(5).std(), STD_ATOL)
+    assert _close(out["rolling_std_20"], s.rolling(20).std(), STD_ATOL)
     assert _close(out["return_lag_3"], s.shift(3))
 
 
