@@ -1,8 +1,9 @@
 """Stationarity tests, autocorrelation and partial autocorrelation per series.
 
-Heavy lifting stays in Spark: lag columns over one (key ORDER BY date) sort,
-cross-product moment sums in one grouped aggregation, the Bartlett-weighted
-autocovariance sum from prefix sums and one shifted-index equi-join. Only the per-series small solves (a few dozen numbers per
+Heavy lifting stays in Spark: lag columns and running sums over one
+(key ORDER BY date) sort. ADF cross-product moments are differences of prefix
+sums of lagged products; the KPSS Bartlett-weighted autocovariance sum comes
+from prefix sums and one shifted-index equi-join. Only the per-series small solves (a few dozen numbers per
 key) run in pandas, on rows that are already one per key.
 
 Input contract: (keys..., date, value) with one row per (key, date).
@@ -95,29 +96,6 @@ def _maxlag_expr(n):
     return F.least(F.ceil(F.lit(12.0) * F.pow(n / 100.0, 0.25)), F.floor(n / 2) - 2).cast("int")
 
 
-def _long_moments(df: DataFrame, regs, in_sample, keys: Sequence[str], extra: Sequence[str] = (),
-                  keep=None) -> DataFrame:
-    """Cross-product sums of (regressors..., dy) over the sample rows, in long
-    form (keys, extra, a, b, s) with a <= b: each row is fanned out to its
-    (k+1)(k+2)/2 products and summed by one plain grouped aggregation."""
-    vals = F.array(*regs, F.col("_dy"))
-    rows = df.filter(in_sample).select(*keys, *extra, vals.alias("_v"))
-    one = rows.select(*keys, *extra, F.posexplode("_v").alias("_a", "_xa"), "_v")
-    two = one.select(*keys, *extra, "_a", "_xa", F.posexplode("_v").alias("_b", "_xb")).filter("_b >= _a")
-    if keep is not None:
-        two = two.filter(keep)
-    return two.groupBy(*keys, *extra, "_a", "_b").agg(F.sum(F.col("_xa") * F.col("_xb")).alias("_s"))
-
-
-def _matrix(pdf: pd.DataFrame, size: int) -> np.ndarray:
-    m = np.zeros((size, size))
-    a, b, v = pdf["_a"].to_numpy(), pdf["_b"].to_numpy(), pdf["_s"].to_numpy(dtype=float)
-    v = np.nan_to_num(v)
-    m[a, b] = v
-    m[b, a] = v
-    return m
-
-
 def adf_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS) -> DataFrame:
     """Augmented Dickey-Fuller with constant, lag length by AIC over
     0..maxlag on a common sample, then the refit with the chosen lag.
