@@ -9,10 +9,12 @@ from quiver.operators import recursions as RC
 from quiver.plans import jobs as J
 from quiver.plans.finish import finish
 from quiver.plans.io_queries import scratch, write_price_files
-from quiver.plans.model_queries import arma_sql_ctes, with_recursive
+from quiver.plans.backtest_queries import LAST_CTE, RECOMMENDATION_SQL, ensemble_ctes
+from quiver.plans.model_queries import arma_sql_ctes, garch_sql_ctes, with_recursive
+from quiver.plans.sqltext import returns_cte, rnd
 from quiver.plans.registry import register
 from quiver.session import materialize
-from quiver.sources.views import bars, sql_with, table
+from quiver.sources.views import SQL_VIEWS, bars, bars_wide, sql_with, table
 from quiver.streaming.bars_stream import read_bars, run_bars_stream
 
 
@@ -62,3 +64,44 @@ def q_ohlcv_bars_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     out = run_bars_stream(spark, sf_dir, schema, scratch(spark, "bars-stream"), file_glob="events.parquet")
     return finish(read_bars(spark, out).withColumn("volume", F.col("volume").cast("long")))
+
+
+# ---------------------------------------------------------------------------
+# the flagship backtest and the grid estimators on the 125-series fixture
+# ---------------------------------------------------------------------------
+
+def _wide_ret(spark, sf_dir):
+    return B.prepare_returns(bars_wide(spark, sf_dir))
+
+
+_WIDE_BASE = [SQL_VIEWS["bars_wide"], returns_cte("bars_wide", "ret")]
+
+
+@register("ensemble_backtest_wide", "WITH " + ",\n".join(
+    [SQL_VIEWS["bars_wide"], *ensemble_ctes("bars_wide"), LAST_CTE]) + f"""
+SELECT ticker, days, num_trades, last_date, current_regime,
+       {RECOMMENDATION_SQL} AS recommendation,
+       {rnd(['hit_rate', 'ensemble_prob_up', 'strategy_equity', 'buy_hold_equity'])}
+FROM last""")
+def q_ensemble_backtest_wide(spark, sf_dir):
+    """J11 on the 125-series fixture (segment x nation): one summary row per series."""
+    t = B.ensemble_table(B.prepare_returns(bars_wide(spark, sf_dir)))
+    return finish(B.ensemble_summary(t), ["ticker", "days", "num_trades", "hit_rate", "last_date",
+                                          "current_regime", "ensemble_prob_up", "recommendation",
+                                          "strategy_equity", "buy_hold_equity"])
+
+
+@register("garch_volatility_wide", with_recursive(*_WIDE_BASE, *garch_sql_ctes(base=False)) + """
+SELECT ticker, date, round(garch_conditional_volatility, 6) + 0.0 AS garch_conditional_volatility FROM gvol""")
+def q_garch_volatility_wide(spark, sf_dir):
+    """I13 on the 125-series fixture (series shorter than the 500-return window stay NULL)."""
+    return finish(RC.garch_volatility(_wide_ret(spark, sf_dir)),
+                  ["ticker", "date", "garch_conditional_volatility"])
+
+
+@register("rolling_forecast_wide", with_recursive(*_WIDE_BASE, *arma_sql_ctes(base=False)) + """
+SELECT ticker, date, round(arima_mean_forecast_percent, 6) + 0.0 AS arima_mean_forecast_percent FROM afc""")
+def q_rolling_forecast_wide(spark, sf_dir):
+    """I6 on the 125-series fixture: ARMA(1,1) grid forecasts for every cutoff of every series."""
+    return finish(RC.rolling_forecast(_wide_ret(spark, sf_dir)),
+                  ["ticker", "date", "arima_mean_forecast_percent"])
