@@ -145,3 +145,30 @@ def test_lookback_windows_shape_and_order(spark):
     assert w[0].features == [0.0, 0.0, 1.0, 10.0, 2.0, 20.0]
     short = spark.createDataFrame(rows[:2], "ticker string, date date, f1 double, f2 double")
     assert C.lookback_windows(short, ["f1", "f2"], lookback=3).count() == 0
+
+
+def test_forecast_orders_with_differencing(spark):
+    """(1,1,0): forecast of the level = last level + best AR(1) forecast of the
+    differenced series, refit on every prefix by brute force."""
+    rng = np.random.default_rng(6)
+    r = np.cumsum(rng.normal(size=110)) / 100.0
+    got = {row.date: row.forecast_percent
+           for row in RC.forecast_orders(_series(spark, r), (1, 1, 0), step=0.3).collect()}
+    y = r * 100
+    grid = RC.arma_grid(1, 0, 0.3)
+    for T in range(61, 110, 9):
+        x = np.diff(y[:T + 1])
+        mu = x[:60].mean()
+        z = x - mu
+        best, best_sse = None, None
+        for k, (phi,) in enumerate(grid):
+            e = np.zeros(len(z))
+            for t in range(1, len(z)):
+                e[t] = z[t] - phi * z[t - 1]
+            sse = round(float(np.sum(e * e)), 6)
+            if best_sse is None or sse < best_sse:
+                best, best_sse = k, sse
+        phi = grid[best][0]
+        expect = y[T] + mu + phi * z[-1]
+        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(expect, rel=1e-9)
+    assert got[D0 + dt.timedelta(days=59)] is None
