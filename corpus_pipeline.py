@@ -6,13 +6,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quiver.llm import decontam, simhash
+from quiver.llm import decontam, linededup, quality, sentencepieces, simhash
 from quiver.llm.common import materialize, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 1: documents that the quality classifier rejects go."""
+    return quality.kept_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2: recurring lines go from the texts; every document stays, ``n_chars`` follows its text."""
+    out = linededup.drop_lines(docs)
+    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Stage 3: one document of each SimHash group stays, the smallest doc_id."""
     return simhash.one_of_each_group(docs)
@@ -23,7 +35,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return decontam.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup), ("decontaminate", decontaminate)]
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: token ids of every document."""
+    return sentencepieces.encode(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", quality_filter), ("line_dedup", line_dedup), ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", decontaminate), ("sentencepiece_encoding", encode)]
 
 #: No SQL: SimHash and SentencePiece have no SQL form; tests use brute force.
 ORACLE_SQL: str | None = None

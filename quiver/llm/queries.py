@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quiver.llm import decontam, exact_dedup, licenses, secrets, simhash, urls
+from quiver.llm import decontam, exact_dedup, lattice_lm, licenses, linededup, quality, secrets, sentencepieces, simhash, urls
 from quiver.llm.common import table
 
 WORD_CHARS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,10 +36,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_lines(docs, dropped_col="n_dropped")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -61,6 +78,6 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_benchmark_decontamination, op4_simhash_near_dedup, op5_secret_scan, op6_exact_dedup, op8_license_scan,
-    op10_url_filter)}
+    op1_quality_classifier, op2_lm_scoring, op3_benchmark_decontamination, op4_simhash_near_dedup, op5_secret_scan, op6_exact_dedup, op7_line_dedup, op8_license_scan,
+    op9_sentencepiece, op10_url_filter)}
 SQL: dict[str, str] = {"op3_benchmark_decontamination": OP3_SQL, "op6_exact_dedup": OP6_SQL}
