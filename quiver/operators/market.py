@@ -72,11 +72,11 @@ def relative_strength(df: DataFrame) -> DataFrame:
 
 def ingest_instruments(long: DataFrame, names: Sequence[str] = INSTRUMENTS,
                        start: str | None = None, end: str | None = None,
-                       skip_absent: bool = False) -> DataFrame:
+                       skip_absent: bool = True) -> DataFrame:
     """A5: closes and returns of the named instruments on the first one's
     calendar, incomplete dates dropped, ratios added.
 
-    ``skip_absent=True`` drops instruments without any bar first; that needs
+    ``skip_absent`` drops instruments without any bar first; that needs
     one small action (at most ``len(names)`` distinct names reach the driver).
     """
     if start is not None:
@@ -155,16 +155,17 @@ def ohlcv_bars(ticks: DataFrame, unit: str = "hour") -> DataFrame:
                  F.count(F.lit(1)).alias("volume")))
 
 
-def ingest_bars(bars: DataFrame, ticker: str, start: str, end: str) -> DataFrame:
-    """A3: one ticker, half-open date range, incomplete rows dropped.
+def ingest_bars(bars: DataFrame, ticker: str, start: str, end: str, allow_empty: bool = False) -> DataFrame:
+    """A3: one ticker, half-open date range, incomplete rows dropped; an empty result fails.
 
     The filters reach the scan (partition pruning when the bars are written
-    with ``partitionBy("ticker")``). Use ``require_rows`` for the empty check.
+    with ``partitionBy("ticker")``).
     """
-    return (bars.filter((F.col("ticker") == ticker)
+    out = (bars.filter((F.col("ticker") == ticker)
                         & (F.col("date") >= F.to_date(F.lit(start)))
                         & (F.col("date") < F.to_date(F.lit(end))))
             .select("ticker", "date", "price", "volume").na.drop("any"))
+    return out if allow_empty else require_rows(out, f"{ticker} from {start} to {end}")
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:

@@ -19,6 +19,7 @@ fails loudly instead of landing in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -102,7 +103,7 @@ def garch_volatility(returns: DataFrame, min_window: int = GARCH_MIN_WINDOW,
     volatility (percent) of the best GARCH(1,1) grid point fitted on all
     history through that date."""
     src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("r"))
-    key_schema = ", ".join(f"{k} string" for k in keys)
+    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, date date, garch_conditional_volatility double, garch_point int"
     out = src.groupBy(*keys).applyInPandas(_garch_group(min_window, keys), schema)
     return out.withColumn("garch_conditional_volatility",
@@ -148,7 +149,7 @@ def garch_recent_fit(returns: DataFrame, last_n: int = 800, keys: Sequence[str]
            .withColumn("_rn", F.row_number().over(newest_first))
            .filter(F.col("_rn") <= last_n)
            .select(*keys, "date", (F.col("log_return") * 100.0).alias("r")))
-    key_schema = ", ".join(f"{k} string" for k in keys)
+    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
     schema = (f"{key_schema}, n long, mu double, omega double, alpha double, beta double, "
               "loglik double, last_volatility double")
     return src.groupBy(*keys).applyInPandas(_garch_fit_group(keys), schema)
@@ -203,7 +204,7 @@ def rolling_forecast(returns: DataFrame, min_rows: int = ARMA_MIN_ROWS, keys: Se
     ARMA(1,1) grid point fitted on all history through that date; NULL while
     fewer than ``min_rows`` returns exist."""
     src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("y"))
-    key_schema = ", ".join(f"{k} string" for k in keys)
+    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, date date, arima_mean_forecast_percent double, arma_point int"
     out = src.groupBy(*keys).applyInPandas(_arma_group(min_rows, keys), schema)
     return out.withColumn("arima_mean_forecast_percent",
@@ -244,7 +245,6 @@ def _arma_pq_group(p: int, d: int, q: int, grid, min_rows: int, keys: Sequence[s
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date").reset_index(drop=True)
         n = len(pdf)
-        _check_bound(n)
         y = pdf["y"].to_numpy(dtype=float)
         x = np.diff(y, n=d) if d else y
         fc = np.full(n, np.nan)
@@ -252,27 +252,24 @@ def _arma_pq_group(p: int, d: int, q: int, grid, min_rows: int, keys: Sequence[s
         if m >= min_rows:
             mu = x[:min_rows].mean()
             z = x - mu
-            e = np.zeros((m, len(grid)))
-            start = max(p, q, 1)
-            for t in range(start, m):
-                acc = np.full(len(grid), z[t])
-                for i in range(p):
-                    acc -= phi[:, i] * z[t - 1 - i]
-                for j in range(q):
-                    acc -= theta[:, j] * e[t - 1 - j]
-                e[t] = acc
-            best = _best_by(np.cumsum(e * e, axis=0), maximize=False)
-            f = np.full(m, mu)
-            for i in range(p):
-                zi = np.concatenate([np.full(i, np.nan), z[: m - i]])
-                f = f + phi[best, i] * zi
-            for j in range(q):
-                ej = np.concatenate([np.full((j, len(grid)), np.nan), e[: m - j]])[np.arange(m), best]
-                f = f + theta[best, j] * ej
-            if d:
-                # undo the differencing: the level forecast adds the last level(s)
-                level = y[d:]
-                f = f + level if d == 1 else f + 2 * level - y[d - 1:-1]
+            score = np.zeros(len(grid))
+            e = np.zeros((max(q, 1), len(grid)))  # the last residuals, newest first
+            f = np.full(m, np.nan)
+            with np.errstate(over="ignore", invalid="ignore"):
+                for t in range(m):
+                    if t >= max(p, q, 1):
+                        acc = z[t] - phi @ z[t - 1 - np.arange(p)] if p else np.full(len(grid), z[t])
+                        acc = acc - (theta * e[:q].T).sum(axis=1) if q else acc
+                        score = score + acc * acc
+                        score[~np.isfinite(score)] = np.inf  # an explosive point never becomes best
+                        e = np.vstack((acc, e[:-1]))
+                    if t >= min_rows - 1:
+                        b = int(_best_by(score[None], maximize=False)[0])
+                        back = z[t - np.arange(min(p, t + 1))]
+                        f[t] = mu + (phi[b, :len(back)] * back).sum() + (theta[b] * e[:q, b]).sum()
+            # undo the differencing: the last value of every lower difference
+            for i in range(1, d + 1):
+                f = f + (-1) ** (i + 1) * math.comb(d, i) * y[d + 1 - i:n + 1 - i]
             fc[n - m + min_rows - 1:] = f[min_rows - 1:]
         out = pdf[[*keys, "date"]].copy()
         out["forecast_percent"] = fc
@@ -287,6 +284,6 @@ def forecast_orders(returns: DataFrame, order: tuple[int, int, int] = (2, 0, 2),
     p, d, q = order
     grid = arma_grid(p, q, step)
     src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("y"))
-    key_schema = ", ".join(f"{k} string" for k in keys)
+    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, date date, forecast_percent double"
     return src.groupBy(*keys).applyInPandas(_arma_pq_group(p, d, q, grid, min_rows, keys), schema)

@@ -130,7 +130,7 @@ def adf_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS) ->
     cols = ["_i", "_n", "_ml", "_A", "_B", "_E", *[f"_H{j}" for j in range(lmax + 1)],
             *[f"_C{k}" for k in range(lmax + 1)]]
     edges = pref.filter(keep).select(*keys, *cols)
-    key_schema = ", ".join(f"{k} string" for k in keys)
+    key_schema = ", ".join(f"{k} {edges.schema[k].dataType.simpleString()}" for k in keys)
     dyi = lmax + 2
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -318,7 +318,7 @@ def pacf(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, nlags:
     """Partial autocorrelation (Yule-Walker, Levinson-Durbin on the ACF)
     per key; the grouped solve sees at most ``nlags + 1`` rows per key."""
     a = acf(df, value, keys, nlags).select(*keys, "lag", "acf")
-    key_schema = ", ".join(f"{k} string" for k in keys)
+    key_schema = ", ".join(f"{k} {a.schema[k].dataType.simpleString()}" for k in keys)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("lag")

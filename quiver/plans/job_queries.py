@@ -14,7 +14,8 @@ from quiver.plans.model_queries import arma_sql_ctes, garch_sql_ctes, with_recur
 from quiver.plans.sqltext import returns_cte, rnd
 from quiver.plans.registry import register
 from quiver.session import materialize
-from quiver.sources.views import SQL_VIEWS, bars, bars_wide, sql_with, table
+from quiver.plans.regime_queries import FIXTURE_VIX_LEVEL
+from quiver.sources.views import SQL_VIEWS, bars, bars_wide, instruments_long, sql_with, table
 from quiver.streaming.bars_stream import read_bars, run_bars_stream
 
 
@@ -51,7 +52,8 @@ def q_baseline_report(spark, sf_dir):
 @register("full_pipeline")
 def q_full_pipeline(spark, sf_dir):
     """The notebook pipeline end to end with every stage written as Parquet."""
-    return finish(J.full_pipeline(spark, bars(spark, sf_dir), sf_dir, scratch(spark, "pipeline")))
+    return finish(J.full_pipeline(spark, bars(spark, sf_dir), instruments_long(spark, sf_dir), scratch(spark, "pipeline"),
+                                  vix_level=FIXTURE_VIX_LEVEL))
 
 
 @register("ohlcv_bars_stream", sql_with("ticks") + """

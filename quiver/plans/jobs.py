@@ -20,7 +20,6 @@ from quiver.operators import recursions as RC
 from quiver.operators import timeseries as TS
 from quiver.operators.features import direction_label, log_returns, normalize_price
 from quiver.sources import files as IO
-from quiver.sources.views import instruments_long
 
 FORECAST_WINDOW = 30
 PREDICTION_SCHEMA = ("date date, price double, volume double, log_price double, "
@@ -47,6 +46,8 @@ def predict_frame(prices: DataFrame, window: int = FORECAST_WINDOW) -> DataFrame
 def predict_job(spark: SparkSession, input_path: str, output_path: str) -> DataFrame:
     """Price files -> prediction table (written) + accuracy and next-day call per ticker."""
     prices = IO.read_price_file(spark, input_path).withColumnRenamed("Volume", "volume")
+    if "Close" not in prices.columns:
+        prices = prices.withColumnRenamed("price", "Close")
     res = predict_frame(prices.select("ticker", "date", "Close", "volume"))
     IO.write_table(res, output_path, fmt="csv")
     table = IO.read_table(spark, output_path, fmt="csv", schema=PREDICTION_SCHEMA)
@@ -95,11 +96,12 @@ def baseline_report(returns: DataFrame, window: int = 60) -> DataFrame:
             .unionByName(longf(reg, "arima_magnitude")))
 
 
-def full_pipeline(spark: SparkSession, bars: DataFrame, sf_dir: str, out_dir: str) -> DataFrame:
+def full_pipeline(spark: SparkSession, bars: DataFrame, instruments: DataFrame, out_dir: str,
+                  vix_level: float = 25.0) -> DataFrame:
     """Ingest -> returns -> market join -> stationarity -> GARCH ->
     features -> classifier -> forecasts -> regime backtest; every stage
     written under ``out_dir``. Returns the backtest summary."""
-    proc = M.join_market_ffill(bars, M.ingest_instruments(instruments_long(spark, sf_dir)))
+    proc = M.join_market_ffill(bars, M.ingest_instruments(instruments))
     IO.write_table(proc, f"{out_dir}/processed")
     proc = spark.read.parquet(f"{out_dir}/processed")
     stat = TS.stationarity_report(proc)
@@ -115,7 +117,7 @@ def full_pipeline(spark: SparkSession, bars: DataFrame, sf_dir: str, out_dir: st
     IO.save_model(model, f"{out_dir}/model")
     pred = C.classifier_predictions(model, samples).select("ticker", "date", "predicted_probability_up")
     fc = RC.rolling_forecast(proc)
-    market = B.market_regimes(garch, vix_level=40000.0)
+    market = B.market_regimes(garch, vix_level=vix_level)
     bt = B.regime_backtest_table(pred, fc, market, upper=0.53, lower=0.47, threshold=0.03)
     IO.write_table(bt, f"{out_dir}/backtest")
     summary = B.backtest_summary(spark.read.parquet(f"{out_dir}/backtest"))

@@ -53,7 +53,7 @@ def processed_ctes(src: str = "bars") -> list[str]:
 
 
 def _market(spark, sf_dir):
-    return M.ingest_instruments(instruments_long(spark, sf_dir))
+    return M.ingest_instruments(instruments_long(spark, sf_dir), skip_absent=False)
 
 
 def processed(spark, sf_dir, src=bars):
@@ -168,11 +168,10 @@ def q_ingest_bars(spark, sf_dir):
 
 
 @register("ohlcv_bars", sql_with("ticks") + """
-SELECT ticker, date_trunc('hour', ts) AS hour, round(arg_min(value, ts), 6) + 0.0 AS open,
+SELECT ticker, date_trunc('hour', ts) AS hour, round(first(value ORDER BY ts, event_id), 6) + 0.0 AS open,
   round(max(value), 6) + 0.0 AS high, round(min(value), 6) + 0.0 AS low,
-  round(arg_max(value, ts), 6) + 0.0 AS close, count(*) AS volume
+  round(last(value ORDER BY ts, event_id), 6) + 0.0 AS close, count(*) AS volume
 FROM ticks GROUP BY 1, 2""")
 def q_ohlcv_bars(spark, sf_dir):
     """A4: hourly open/high/low/close/volume bars from ticks (partial aggregate)."""
-    t = ticks(spark, sf_dir).drop("event_id")
-    return finish(M.ohlcv_bars(t, "hour"))
+    return finish(M.ohlcv_bars(ticks(spark, sf_dir), "hour"))

@@ -8,6 +8,7 @@ of any height are dropped by content. Writers are plain DataFrame writers
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,16 +26,28 @@ def read_price_file(spark: SparkSession, path: str, columns: Sequence[str] = PRI
     """A1: a price CSV whose first column is the date, with any number of
     header rows (the three-row 'Price / Ticker / Date' header included).
 
-    Every field is read as text; rows whose first field is not a date are
-    header rows and are dropped. Numbers use ``try_cast`` (bad -> NULL).
+    Columns are found by name (any case, any order) in the header row that
+    names ``Close`` or ``price``; without one, or with differing ones among
+    the files, the read fails. Names of ``columns`` that the header lacks come as
+    NULL; a ``price`` column is kept under that name. Every field is read as
+    text; rows whose first field is not a date are dropped. Numbers use ``try_cast`` (bad -> NULL).
     Partition columns of the folder layout (e.g. ``ticker=``) are kept.
     """
-    fields = [StructField("_date", StringType())] + [StructField(c, StringType()) for c in columns]
-    raw = spark.read.schema(StructType(fields)).option("header", "false").csv(path)
-    d = F.try_to_date(F.col("_date"), date_format)
-    extra = [c for c in raw.columns if c not in {"_date", *columns}]
-    return (raw.filter(d.isNotNull())
-            .select(*extra, d.alias("date"), *[F.col(c).try_cast("double").alias(c) for c in columns]))
+    raw = spark.read.option("header", "false").csv(path)
+    fields = sorted((c for c in raw.columns if re.fullmatch(r"_c\d+", c)), key=lambda c: int(c[2:]))
+    date = F.try_to_date(F.col(fields[0]), date_format)
+    names = F.array(*[F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in fields[1:]])
+    heads = (raw.filter(date.isNull()).select(names.alias("h")).filter(F.arrays_overlap("h", F.array(F.lit("close"), F.lit("price"))))
+             .distinct().limit(2).collect())
+    if len(heads) != 1:
+        raise ValueError(f"{path}: {'differing header rows' if heads else 'no header row names Close or price'}")
+    at = {name: c for name, c in reversed(list(zip(heads[0].h, fields[1:])))}
+    wanted = [c for c in columns if c.lower() != "close" or "close" in at or "price" not in at]
+    wanted += ["price"] if "price" in at and "price" not in wanted else []
+    extra = [c for c in raw.columns if c not in fields]
+    value = {c: F.col(at[c.lower()]) if c.lower() in at else F.lit(None) for c in wanted}
+    return raw.filter(date.isNotNull()).select(
+        *extra, date.alias("date"), *[v.cast("string").try_cast("double").alias(c) for c, v in value.items()])
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None,

@@ -144,3 +144,47 @@ def test_materialize_once_keeps_first(spark, tmp_path):
     IO.materialize_once(spark.range(3).withColumn("v", F.lit(1)), path, partition_by=())
     IO.materialize_once(spark.range(5).withColumn("v", F.lit(2)), path, partition_by=())
     assert spark.read.parquet(path).count() == 3
+
+
+def test_price_file_columns_by_name(spark, tmp_path):
+    p = tmp_path / "ohlc.csv"
+    p.write_text("Date,Open,High,Low,close,Volume\n2024-01-02,10,12,9,11,1000\n")
+    row = IO.read_price_file(spark, str(p)).first()
+    assert (row.Close, row.High, row.Low, row.Open, row.Volume) == (11, 12, 9, 10, 1000)
+    p = tmp_path / "pv.csv"
+    p.write_text("Date,price,volume\n2024-01-02,11,1000\n")
+    row = IO.read_price_file(spark, str(p)).first()
+    assert (row.price, row.Volume, row.High) == (11, 1000, None)
+    p = tmp_path / "none.csv"
+    p.write_text("Date,Open\n2024-01-02,11\n")
+    with pytest.raises(ValueError):
+        IO.read_price_file(spark, str(p))
+
+
+def test_forecast_orders_general_and_finite(spark):
+    import numpy as np
+
+    from quiver.operators import recursions as RC
+
+    day = dt.date(2020, 1, 1)
+    cubic = [(7, day + dt.timedelta(i), float(i) ** 3 / 100) for i in range(201)]
+    df = spark.createDataFrame(cubic[:-1], "ticker bigint, date date, log_return double")
+    got = RC.forecast_orders(df, (0, 3, 0)).orderBy("date").collect()
+    assert abs(got[-1].forecast_percent - 200.0 ** 3) < 1e-3  # a bigint key, third differences
+    noise = np.random.default_rng(2).normal(size=400) / 100
+    df = spark.createDataFrame([(7, day + dt.timedelta(i), float(x)) for i, x in enumerate(noise)], df.schema)
+    for order in ((0, 0, 3), (1, 0, 2)):
+        out = RC.forecast_orders(df, order, step=0.9).orderBy("date").collect()
+        assert all(r.forecast_percent is not None and np.isfinite(r.forecast_percent) for r in out[RC.ARMA_MIN_ROWS:])
+
+
+def test_absent_instruments_are_skipped_and_empty_bars_fail(spark):
+    from quiver.operators import market as M
+
+    day = dt.date(2024, 1, 2)
+    long = spark.createDataFrame([(n, day + dt.timedelta(i), 10.0 + i) for n in ("vix", "spy") for i in range(4)], "name string, date date, close double")
+    assert M.ingest_instruments(long).count() == 3
+    bars = spark.createDataFrame([("A", day, 1.0, 1.0)], "ticker string, date date, price double, volume double")
+    assert M.ingest_bars(bars, "A", "2024-01-01", "2025-01-01").count() == 1
+    with pytest.raises(ValueError):
+        M.ingest_bars(bars, "B", "2024-01-01", "2025-01-01")
