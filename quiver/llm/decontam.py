@@ -7,8 +7,8 @@ belongs to the item: its smallest shingle hashes (bottom-s MinHash). Items
 are partitioned by size (powers of two of their distinct shingles); within a
 partition with at most n shingles, s = n - ceil(t n) + 1. A document holding
 a share t of the item's shingles misses at most s - 1 of them, so it holds
-at least one of the s sketch values: no contained item is lost. Documents
-are looked up only in partitions small enough to fit into them. Candidates
+at least one of the s sketch values: no contained item is lost, however long
+the document is or over how many rows of one id it is spread. Candidates
 are then verified by counting shared shingles as strings.
 """
 
@@ -41,30 +41,24 @@ def word_grams(words: str, k: int) -> Column:
 
 
 def _hash_rows(texts: DataFrame, k: int) -> DataFrame:
-    """(id, m, h): a row for each shingle of a text, m: shingles of the text.
-    ``texts``: id, words."""
-    n = F.size("words")
-    h = F.transform("words", lambda w: F.xxhash64(w))
-    hashed = texts.select("id", h.alias("h"), F.greatest(n - k + 1, F.when(n > 0, 1).otherwise(0)).alias("m"))
+    """(id, h): a row for each shingle of a text. ``texts``: id, words."""
+    hashed = texts.select("id", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     size = F.greatest(F.size("h") - k + 1, F.lit(0))
     long = (hashed.where(F.size("h") >= k)
-            .select("id", "m", F.inline(F.arrays_zip(*[F.slice("h", i + 1, size).alias(f"h{i}") for i in range(k)])))
-            .select("id", "m", F.xxhash64(*[f"h{i}" for i in range(k)]).alias("h")))
-    short = hashed.where((F.size("h") < k) & (F.size("h") > 0)).select("id", "m", F.xxhash64("h").alias("h"))
+            .select("id", F.inline(F.arrays_zip(*[F.slice("h", i + 1, size).alias(f"h{i}") for i in range(k)])))
+            .select("id", F.xxhash64(*[f"h{i}" for i in range(k)]).alias("h")))
+    short = hashed.where((F.size("h") < k) & (F.size("h") > 0)).select("id", F.xxhash64("h").alias("h"))
     return long.union(short)
 
 
 def sketches(items: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(item_id, h, least): bottom-s MinHash of each item; least: the fewest
-    shared shingles that a match in the item's size partition can have."""
+    """(item_id, h): bottom-s MinHash of each item, s by its size partition."""
     w = W.partitionBy("id").orderBy("h")
-    rows = _hash_rows(items, k).select("id", "h").distinct()
+    rows = _hash_rows(items, k).distinct()
     rows = rows.withColumn("r", F.row_number().over(w)).withColumn("n", F.count(F.lit(1)).over(W.partitionBy("id")))
-    low = F.pow(F.lit(2.0), F.floor(F.log2("n")))
-    top = 2 * low - 1
+    top = 2 * F.pow(F.lit(2.0), F.floor(F.log2("n"))) - 1
     s = top - F.ceil(F.lit(threshold) * top - 1e-9) + 1
-    return rows.where(F.col("r") <= s).select(
-        F.col("id").alias("item_id"), "h", F.ceil(F.lit(threshold) * low - 1e-9).cast("bigint").alias("least"))
+    return rows.where(F.col("r") <= s).select(F.col("id").alias("item_id"), "h")
 
 
 def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: float = 0.8,
@@ -87,8 +81,7 @@ def contained_items(docs: DataFrame, items: DataFrame, k: int = 5, threshold: fl
     small = materialize(sketches(q, k, threshold), "item-sketches")
     # beyond the bound Spark's own choice of a shuffled join holds
     bounded = F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
-    found = (_hash_rows(d, k).join(bounded, "h").where(F.col("m") >= F.col("least"))
-             .select(F.col("id").alias("doc_id"), "item_id").distinct())
+    found = _hash_rows(d, k).join(bounded, "h").select(F.col("id").alias("doc_id"), "item_id").distinct()
     found = materialize(found, "leak-candidates")
 
     item_grams = q.select(F.col("id").alias("item_id"), F.explode(F.array_distinct(word_grams("words", k))).alias("g")).distinct()
