@@ -65,7 +65,8 @@ def _edge_logp(index: Index, pieces: Pieces, logp: np.ndarray) -> tuple[np.ndarr
     without a piece is spelt by its byte pieces (mask returned)."""
     table = np.concatenate(([-np.inf], logp))
     out = table[index.edge]
-    spelt = (index.edge[:, 1] == 0) & (index.points != 0)
+    spelt = index.edge[:, 1] == 0
+    spelt[index.start + index.size] = False  # terminators; a text may hold U+0000, too
     c = index.points[spelt]
     n_bytes = 1 + (c > 0x7F).astype(int) + (c > 0x7FF) + (c > 0xFFFF)
     out[spelt, 1] = n_bytes * logp[pieces.byte_id[0]]

@@ -36,8 +36,6 @@ EXTRA = (
 )
 RULES = BASE + EXTRA
 LEDGER = "blob binary, rules string, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string"
-#: A cheap test that every match of ``assign`` passes.
-_ASSIGN_HINT = re.compile(r"(?:passw(?:or)?d|secret|token|api_?key)[\"']?\x20*[:=]", re.ASCII | re.IGNORECASE)
 
 
 def rule_version(rules=RULES) -> str:

@@ -130,6 +130,10 @@ def test_decontamination_is_exact(spark, docs, none):
     kept = decontam.without_leaks(docs, bench)
     assert kept.columns == docs.columns
     assert kept.count() == len([i for i, _ in ROWS if i not in {w[0] for w in want}])
+    # an item spread over two rows of one id: their shingles count together
+    half = docs.limit(0).select("doc_id", "text").union(docs.sparkSession.createDataFrame(
+        [(77, " ".join(words[500:516])), (77, " ".join(words[512:530]))], "doc_id long, text string"))
+    assert [tuple(r) for r in decontam.contained_items(half, bench).collect()] == [(77, 1, 26, 26, 1.0)]
     assert decontam.contained_items(none, bench).count() == decontam.contained_items(docs, bench.limit(0)).count() == 0
 
 
@@ -232,7 +236,7 @@ def test_lattice_likelihood(spark, docs, none):
                     total[j] += total[i] * math.exp(len(q.encode()) * logp[pieces.byte_id[0]])
         return math.log(total[-1])
 
-    words = ["the", "hello", "日ﬁ😀", "éaux***", "a", "x" * 30]
+    words = ["the", "hello", "日ﬁ😀", "éaux***", "a", "x" * 30, "nul\0in\0"]
     assert np.allclose(lattice_lm.word_logp(words, pieces, logp), [brute(w) for w in words])
     length = np.array([len(t) if n else 0 for t, n in zip(pieces.text, pieces.normal)])
     e = lattice_lm.expected_counts(["the", "éaux"], np.array([2.0, 1.0]), pieces, logp)
@@ -277,6 +281,21 @@ def test_quality_separates_and_sums_to_one(spark, docs, none):
     assert kept[True, False] == 40 and kept[False, True] >= 198
     rest = {r.doc_id: r.kept for r in out if r.doc_id is None or r.doc_id >= 900}
     assert rest == {900: False, 901: False, 902: True, None: True}
+    # thresholds and smoothing by hand, from the raw perplexities
+    labelled = {i for i, q, _ in labels if q}
+    half = {r[0] for r in df.where(~quality.fit_half(F.col("doc_id"))).select("doc_id").distinct().collect()}
+    unseen = [r for r in out if r.doc_id in labelled & half]
+    average = sum(math.log(r.perplexity) for r in unseen) / len(unseen)
+
+    def smooth(r):
+        return math.exp((r.n_words * math.log(r.perplexity) + 16 * average) / (r.n_words + 16))
+
+    ranked = sorted(map(smooth, unseen))
+    limit = 1.25 * ranked[math.ceil(0.99 * len(ranked)) - 1]
+    for r in out:
+        if r.perplexity is not None:
+            assert math.isclose(r.smoothed, smooth(r), rel_tol=1e-9) and math.isclose(r.threshold, limit, rel_tol=1e-9)
+            assert r.kept == (r.smoothed <= r.threshold)
     assert quality.kept_documents(df, lab).columns == df.columns
     assert quality.judge_quality(none, lab).count() == 0 and quality.judge_quality(docs, lab.limit(0)).where("kept").count() == len(ROWS) - 3
     # the model is a distribution: shares after one context and the mass left add up
