@@ -65,18 +65,10 @@ def normal_cdf_sql(x: str) -> str:
     return f"(CASE WHEN {x} >= 0 THEN {upper} ELSE 1.0 - {upper} END)"
 
 
-_POW_CHUNKS = 6  # exact powers of ten up to 1e22, chained: |exponent| <= 132
-
-
 def _exact_pow10(k: Column) -> Column:
-    """10**k for an integer k >= 0 as a left-to-right product of exactly
-    representable factors, so every engine rounds it the same way."""
-    out = None
-    for i in range(_POW_CHUNKS):
-        part = F.least(F.greatest(k - F.lit(22 * i), F.lit(0)), F.lit(22))
-        f = F.pow(F.lit(10.0), part)
-        out = f if out is None else out * f
-    return out
+    """10**k for an integer k >= 0, parsed from its decimal form: the nearest
+    double in every engine, over the whole range of doubles."""
+    return F.concat(F.lit("1e"), k.cast("string")).cast("double")
 
 
 def sig_round(col: str | Column, digits: int = 8) -> Column:
@@ -93,8 +85,7 @@ def sig_round(col: str | Column, digits: int = 8) -> Column:
 
 def sig_round_sql(x: str, digits: int = 8) -> str:
     e = f"floor(log10(abs({x})))"
-    k = f"abs({e})"
-    p = " * ".join(f"pow(10.0, least(greatest({k} - {22 * i}, 0), 22))" for i in range(_POW_CHUNKS))
+    p = f"CAST('1e' || CAST(abs({e}) AS INTEGER) AS DOUBLE)"
     m = f"(CASE WHEN {e} >= 0 THEN {x} / ({p}) ELSE {x} * ({p}) END)"
     r = f"round({m}, {digits - 1})"
     return (f"(CASE WHEN {x} = 0 THEN 0.0 WHEN {e} >= 0 THEN {r} * ({p}) + 0.0 "

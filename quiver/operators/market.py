@@ -98,10 +98,10 @@ def join_market_ffill(bars: DataFrame, market: DataFrame, keys: Sequence[str] =
     """Bars LEFT JOIN instruments on date, forward fill every column per
     ticker, log return after the fill, incomplete rows dropped.
 
-    The market side has at most one row per calendar date (bounded by the
-    calendar, independent of data volume), so it is broadcast.
+    The market side has at most one row per calendar date; whether it is
+    broadcast is left to the planner's measured sizes.
     """
-    joined = bars.join(F.broadcast(market), "date", "left")
+    joined = bars.join(market, "date", "left")
     filled = forward_fill(joined, keys=keys)
     lp = safe_ln("price")
     out = filled.withColumn("log_return", lp - F.lag(lp).over(series_window(keys)))

@@ -11,16 +11,16 @@ This is a grid estimator: it answers the same question with the same shape
 as the maximum-likelihood fits, not with the libraries' exact numbers.
 
 The recursion itself is sequential, so each series is one group of a
-grouped map (``applyInPandas``), vectorised over grid points in NumPy. The
-series are daily bars, bounded by the trading calendar (about 252 rows a
-year); ``MAX_SERIES_ROWS`` enforces that bound so a mis-keyed tick series
-fails loudly instead of landing in one task.
+grouped map (``applyInPandas``), vectorised over grid points in NumPy. Paths
+are computed in blocks of ``BLOCK_ROWS`` rows that carry the last state and
+the running score on, so memory beyond the series itself is
+O(block x grid) whatever the length of the series.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from quiver.functions.windows import KEYS, expanding, series_window
 
-MAX_SERIES_ROWS = 200_000
+#: Rows of a path that are held at once for all grid points.
+BLOCK_ROWS = 2048
 
 # The GARCH(1,1) grid (alpha, beta) with alpha + beta < 1.
 GARCH_GRID = tuple((a, b) for a in (0.05, 0.1, 0.2) for b in (0.6, 0.7, 0.8, 0.9) if round(a + b, 9) < 1.0)
@@ -40,12 +41,6 @@ GARCH_MIN_WINDOW = 500
 ARMA_MIN_ROWS = 60
 
 
-def _check_bound(n: int) -> None:
-    if n > MAX_SERIES_ROWS:
-        raise ValueError(f"series of {n} rows exceeds MAX_SERIES_ROWS={MAX_SERIES_ROWS}; "
-                         "resample ticks to bars before fitting")
-
-
 def _best_by(score: np.ndarray, maximize: bool) -> np.ndarray:
     """Best grid point per row, ranking on the score rounded to 6 decimals and
     breaking ties by the lower point id (the rule shared with the SQL twin)."""
@@ -53,43 +48,45 @@ def _best_by(score: np.ndarray, maximize: bool) -> np.ndarray:
     return np.argmax(s, axis=1) if maximize else np.argmin(s, axis=1)
 
 
-def garch_path(r: np.ndarray, grid: Sequence[tuple[float, float]] = GARCH_GRID,
-               min_window: int = GARCH_MIN_WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def garch_blocks(r: np.ndarray, grid: Sequence[tuple[float, float]] = GARCH_GRID,
+                 min_window: int = GARCH_MIN_WINDOW, block: int = BLOCK_ROWS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Conditional variance paths for every grid point and the running
-    log-likelihood. Returns (sigma2 [n, G], running_ll [n, G], e [n]).
+    log-likelihood, as blocks (first row, sigma2 [rows, G], running_ll [rows, G]).
 
     r is in percent. Mean and starting variance are those of the first
     ``min_window`` returns, so no value looks ahead of its cutoff.
     """
-    n = len(r)
     a = np.array([g[0] for g in grid])
     b = np.array([g[1] for g in grid])
-    mu = r[:min_window].mean()
     v0 = r[:min_window].var(ddof=1)
-    e = r - mu
-    s2 = np.empty((n, len(grid)))
-    s2[0] = v0
+    e = r - r[:min_window].mean()
     omega = v0 * (1.0 - a - b)
-    for i in range(1, n):
-        s2[i] = omega + a * (e[i - 1] * e[i - 1]) + b * s2[i - 1]
-    ll = -0.5 * (np.log(s2) + (e * e)[:, None] / s2)
-    return s2, np.cumsum(ll, axis=0), e
+    last, total = None, np.zeros(len(grid))
+    for lo in range(0, len(r), block):
+        own = e[lo:lo + block]
+        s2 = np.empty((len(own), len(grid)))
+        for i in range(len(own)):
+            last = np.full(len(grid), v0) if last is None else omega + a * (e[lo + i - 1] * e[lo + i - 1]) + b * last
+            s2[i] = last
+        ll = -0.5 * (np.log(s2) + (own * own)[:, None] / s2)
+        ll[0] += total
+        run = np.cumsum(ll, axis=0)
+        total = run[-1]
+        yield lo, s2, run
 
 
 def _garch_group(min_window: int, keys: Sequence[str]):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date").reset_index(drop=True)
         n = len(pdf)
-        _check_bound(n)
         vol = np.full(n, np.nan)
         pid = np.full(n, -1)
         if n > min_window:
-            s2, run_ll, _ = garch_path(pdf["r"].to_numpy(dtype=float), GARCH_GRID, min_window)
-            best = _best_by(run_ll, maximize=True)
-            idx = np.arange(n)
-            chosen = np.sqrt(s2[idx, best])
-            vol[min_window:] = chosen[min_window:]
-            pid[min_window:] = best[min_window:]
+            for lo, s2, run in garch_blocks(pdf["r"].to_numpy(dtype=float), GARCH_GRID, min_window):
+                best = _best_by(run, maximize=True)
+                vol[lo:lo + len(best)] = np.sqrt(s2[np.arange(len(best)), best])
+                pid[lo:lo + len(best)] = best
+            vol[:min_window], pid[:min_window] = np.nan, -1
         out = pdf[[*keys, "date"]].copy()
         out["garch_conditional_volatility"] = vol
         out["garch_point"] = pid
@@ -128,8 +125,7 @@ def _garch_fit_group(keys: Sequence[str]):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         r = pdf["r"].to_numpy(dtype=float)
-        _check_bound(len(r))
-        s2, run_ll, _ = garch_path(r, GARCH_GRID, len(r))
+        *_, (_, s2, run_ll) = garch_blocks(r, GARCH_GRID, len(r))
         total = run_ll[-1][None, :]
         best = int(_best_by(total, maximize=True)[0])
         a, b = GARCH_GRID[best]
@@ -155,23 +151,27 @@ def garch_recent_fit(returns: DataFrame, last_n: int = 800, keys: Sequence[str]
     return src.groupBy(*keys).applyInPandas(_garch_fit_group(keys), schema)
 
 
-def arma_path(y: np.ndarray, grid: Sequence[tuple[float, float]] = ARMA_GRID,
-              min_rows: int = ARMA_MIN_ROWS) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
-    """ARMA(1,1) residual paths and running squared error for every grid point.
+def arma_blocks(z: np.ndarray, grid: Sequence[tuple[float, float]] = ARMA_GRID,
+                block: int = BLOCK_ROWS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """ARMA(1,1) residual paths and running squared error for every grid point,
+    as blocks (first row, e [rows, G], running_sse [rows, G]).
 
-    y in percent; mu = mean of the first ``min_rows`` rows; z = y - mu;
-    e_0 = 0, e_t = z_t - phi z_{t-1} - theta e_{t-1}.
-    Returns (e [n, G], running_sse [n, G], mu, z).
+    z: centred series; e_0 = 0, e_t = z_t - phi z_{t-1} - theta e_{t-1}.
     """
-    n = len(y)
     phi = np.array([g[0] for g in grid])
     theta = np.array([g[1] for g in grid])
-    mu = y[:min_rows].mean()
-    z = y - mu
-    e = np.zeros((n, len(grid)))
-    for t in range(1, n):
-        e[t] = z[t] - phi * z[t - 1] - theta * e[t - 1]
-    return e, np.cumsum(e * e, axis=0), mu, z
+    last, total = np.zeros(len(grid)), np.zeros(len(grid))
+    for lo in range(0, len(z), block):
+        e = np.zeros((min(block, len(z) - lo), len(grid)))
+        for i in range(len(e)):
+            t = lo + i
+            last = z[t] - phi * z[t - 1] - theta * last if t else last
+            e[i] = last
+        sse = e * e
+        sse[0] += total
+        run = np.cumsum(sse, axis=0)
+        total = run[-1]
+        yield lo, e, run
 
 
 def _arma_group(min_rows: int, keys: Sequence[str]):
@@ -181,16 +181,18 @@ def _arma_group(min_rows: int, keys: Sequence[str]):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date").reset_index(drop=True)
         n = len(pdf)
-        _check_bound(n)
         fc = np.full(n, np.nan)
         pid = np.full(n, -1)
         if n >= min_rows:
-            e, sse, mu, z = arma_path(pdf["y"].to_numpy(dtype=float), ARMA_GRID, min_rows)
-            best = _best_by(sse, maximize=False)
-            idx = np.arange(n)
-            f = mu + phi[best] * z + theta[best] * e[idx, best]
-            fc[min_rows - 1:] = f[min_rows - 1:]
-            pid[min_rows - 1:] = best[min_rows - 1:]
+            y = pdf["y"].to_numpy(dtype=float)
+            mu = y[:min_rows].mean()  # no value looks ahead of its cutoff
+            z = y - mu
+            for lo, e, sse in arma_blocks(z):
+                best = _best_by(sse, maximize=False)
+                hi = lo + len(best)
+                fc[lo:hi] = mu + phi[best] * z[lo:hi] + theta[best] * e[np.arange(len(best)), best]
+                pid[lo:hi] = best
+            fc[:min_rows - 1], pid[:min_rows - 1] = np.nan, -1
         out = pdf[[*keys, "date"]].copy()
         out["arima_mean_forecast_percent"] = fc
         out["arma_point"] = pid

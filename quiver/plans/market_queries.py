@@ -101,7 +101,7 @@ SELECT ticker, date, {rnd(['vix_close', 'spy_close'])} FROM (
 def q_forward_fill(spark, sf_dir):
     """Last known instrument closes carried forward over each ticker's calendar."""
     aligned = M.calendar_align(instruments_long(spark, sf_dir)).select("date", "vix_close", "spy_close")
-    j = bars(spark, sf_dir).select("ticker", "date").join(F.broadcast(aligned), "date", "left")
+    j = bars(spark, sf_dir).select("ticker", "date").join(aligned, "date", "left")
     return finish(forward_fill(j, ["vix_close", "spy_close"]), ["ticker", "date", "vix_close", "spy_close"])
 
 

@@ -50,13 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) is a scratch folder created.
+    as is; without it tables would land on single machines, so that fails.
+    Only in local mode (tests) is a scratch folder created when it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="quiver-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -1,9 +1,11 @@
 """Tick-to-bar aggregation (A4) as a Structured Streaming query.
 
-Landed tick files are read as a stream, bucketed into event-time windows
-with a watermark (state for closed windows is dropped, so state stays
-bounded), and every micro-batch upserts its changed bars through
-``foreachBatch`` into a Parquet table keyed by (ticker, window start). The
+Landed tick files are read as a stream. Every micro-batch aggregates its
+ticks to partial bars per (ticker, window start) and writes them through
+``foreachBatch`` under its batch id, which a repeated batch overwrites. Open,
+high, low, close and volume of partial bars merge exactly, so ``read_bars``
+combines them: no state is kept, and ticks that arrive late, by any amount, are
+merged like all others instead of falling behind a watermark. The
 checkpoint lives under the cluster's shared checkpoint folder, so a lost
 driver or executor resumes from the last committed batch.
 """
@@ -17,26 +19,25 @@ from pyspark.sql.types import StructType
 from quiver.session import ensure_checkpoint_dir
 
 
-def stream_bars(ticks: DataFrame, unit: str = "1 hour", lateness: str = "2 hours") -> DataFrame:
-    """Streaming OHLCV bars per (ticker, window) with a watermark on ``ts``
-    (event time must be a session-zone TIMESTAMP; window starts are returned
+def partial_bars(ticks: DataFrame, unit: str = "1 hour") -> DataFrame:
+    """OHLCV of one batch per (ticker, window) with the order keys of its first
+    and last tick (event time must be a session-zone TIMESTAMP; window starts are returned
     as wall-clock TIMESTAMP_NTZ like the landed ticks)."""
     order = F.struct("ts", "event_id")
-    return (ticks.withWatermark("ts", lateness)
-            .groupBy("ticker", F.window("ts", unit).alias("w"))
+    return (ticks.groupBy("ticker", F.window("ts", unit).alias("w"))
             .agg(F.min_by("value", order).alias("open"), F.max("value").alias("high"),
                  F.min("value").alias("low"), F.max_by("value", order).alias("close"),
-                 F.count(F.lit(1)).alias("volume"))
+                 F.count(F.lit(1)).alias("volume"), F.min(order).alias("first"), F.max(order).alias("last"))
             .select("ticker", F.col("w.start").cast("timestamp_ntz").alias("hour"),
-                    "open", "high", "low", "close", "volume"))
+                    "open", "high", "low", "close", "volume", "first", "last"))
 
 
 def run_bars_stream(spark: SparkSession, source_dir: str, schema: StructType | str, out_dir: str,
                     checkpoint: str | None = None, unit: str = "1 hour", file_glob: str = "*.parquet") -> str:
     """Process every landed file once (``availableNow``) and return ``out_dir``.
 
-    Each micro-batch appends its updated bars with the batch id; readers take
-    the newest version of each (ticker, hour) with ``read_bars``.
+    Each micro-batch writes its partial bars below its batch id;
+    ``read_bars`` merges them.
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     checkpoint = checkpoint or f"{base}/streams/{out_dir.rstrip('/').split('/')[-1]}"
@@ -44,17 +45,17 @@ def run_bars_stream(spark: SparkSession, source_dir: str, schema: StructType | s
              .select(F.col("event_type").alias("ticker"), F.col("ts").cast("timestamp").alias("ts"),
                      "value", "event_id"))
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        partial_bars(batch, unit).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
 
-    q = (stream_bars(ticks, unit).writeStream.outputMode("update").foreachBatch(upsert)
+    q = (ticks.writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return out_dir
 
 
 def read_bars(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Latest version of every bar written by the stream."""
-    raw = spark.read.parquet(out_dir)
-    latest = F.max_by(F.struct("open", "high", "low", "close", "volume"), "batch_id").alias("b")
-    return raw.groupBy("ticker", "hour").agg(latest).select("ticker", "hour", "b.*")
+    """Every bar, merged from its partial bars of all batches."""
+    return (spark.read.parquet(out_dir).groupBy("ticker", "hour")
+            .agg(F.min_by("open", "first").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+                 F.max_by("close", "last").alias("close"), F.sum("volume").alias("volume")))

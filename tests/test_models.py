@@ -7,6 +7,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from quiver.operators import recursions as RC
@@ -28,11 +29,18 @@ def test_garch_one_pass_equals_refit_per_cutoff(spark):
            for row in RC.garch_volatility(_series(spark, r), min_window=W).collect()}
     pct = r * 100
     for T in range(W, len(r)):
-        # brute force: refit on the prefix through T, every grid point, pick the best
-        s2, ll, _ = RC.garch_path(pct[:T + 1], RC.GARCH_GRID, W)
-        best = RC._best_by(ll[-1][None, :], True)[0]
-        expect = math.sqrt(s2[-1, best])
-        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(expect, rel=1e-12)
+        # brute force: refit on the prefix through T, every grid point on its own, pick the best
+        mu, v0 = pct[:W].mean(), pct[:W].var(ddof=1)
+        best = None
+        for a, b in RC.GARCH_GRID:
+            s2, ll = v0, 0.0
+            for t in range(T + 1):
+                if t:
+                    s2 = v0 * (1 - a - b) + a * (pct[t - 1] - mu) ** 2 + b * s2
+                ll -= 0.5 * (math.log(s2) + (pct[t] - mu) ** 2 / s2)
+            if best is None or round(ll, 6) > best[0]:
+                best = (round(ll, 6), math.sqrt(s2))
+        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(best[1], rel=1e-9)
     assert all(got[D0 + dt.timedelta(days=T)] is None for T in range(W))
 
 
@@ -45,17 +53,41 @@ def test_arma_one_pass_equals_refit_per_cutoff(spark):
     r = y / 100.0
     got = {row.date: row.arima_mean_forecast_percent for row in RC.rolling_forecast(_series(spark, r)).collect()}
     pct = r * 100
-    for T in range(59, 120, 7):
-        ee, sse, mu, z = RC.arma_path(pct[:T + 1], RC.ARMA_GRID, 60)
-        b = RC._best_by(sse[-1][None, :], False)[0]
-        phi, theta = RC.ARMA_GRID[b]
-        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(mu + phi * z[-1] + theta * ee[-1, b], rel=1e-12)
+    for T in range(59, 120, 20):
+        z = [v - pct[:60].mean() for v in pct[:T + 1]]
+        best = None
+        for phi, theta in RC.ARMA_GRID:
+            e, sse = 0.0, 0.0
+            for t in range(1, T + 1):
+                e = z[t] - phi * z[t - 1] - theta * e
+                sse += e * e
+            if best is None or round(sse, 6) < best[0]:
+                best = (round(sse, 6), pct[:60].mean() + phi * z[-1] + theta * e)
+        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(best[1], rel=1e-9)
     assert got[D0 + dt.timedelta(days=58)] is None
 
 
-def test_garch_bound_is_enforced():
-    with pytest.raises(ValueError):
-        RC._check_bound(RC.MAX_SERIES_ROWS + 1)
+def test_blocks_carry_state_and_score():
+    y = np.random.default_rng(3).normal(size=300)
+    for blocks in (lambda b: RC.garch_blocks(y, min_window=50, block=b), lambda b: RC.arma_blocks(y, block=b)):
+        (_, path, run), = blocks(1000)
+        parts = list(blocks(7))
+        assert np.array_equal(np.vstack([p for _, p, _ in parts]), path)
+        assert np.array_equal(np.vstack([s for _, _, s in parts]), run)
+
+
+def test_a_series_of_any_length():
+    n = 250_000
+    pdf = pd.DataFrame({"ticker": "A", "date": np.arange(n), "r": np.random.default_rng(4).normal(size=n)})
+    out = RC._garch_group(500, ["ticker"])(pdf)
+    assert np.isfinite(out["garch_conditional_volatility"][500:]).all() and out["garch_point"][499] == -1
+
+
+def test_sig_round_over_all_magnitudes(spark):
+    from quiver.functions.scalar import sig_round
+    xs = [1.23456789123e-140, 1.23456789123e140, -9.87654321987e300, 0.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in xs], "x double").select(sig_round("x")).collect()]
+    assert got == [pytest.approx(float(f"{x:.7e}"), rel=1e-12) for x in xs]
 
 
 def _kpss_numpy(x):
