@@ -78,8 +78,11 @@ def tune(spark: SparkSession) -> SparkSession:
     Constraint propagation is switched off: with dozens of forward-filled
     columns re-aliased under their own names (the 37-column processed table)
     the optimizer's constraint sets grow exponentially and planning stalls.
+    Arrow batches hold at most 2,000 rows: rows can be whole texts, and each
+    batch is held off-heap by the JVM and again by the Python worker.
     """
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     ship_package(spark)
