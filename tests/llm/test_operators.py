@@ -266,6 +266,29 @@ def test_line_templates(spark, docs, none):
     assert linededup.drop_lines(docs).count() == len(ROWS) and linededup.drop_lines(none).count() == 0
 
 
+def test_line_variants_with_repeated_fields(spark):
+    def dropped(lines):
+        df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+        return {r.doc_id: r.n_dropped for r in linededup.drop_lines(df, dropped_col="n_dropped").collect()}
+
+    say = "on this site user {} has logged {} just now"
+    assert dropped([say.format(*x) for x in (("alice", "in"), ("bobby", "in"), ("alice", "out"))]) == {0: 0, 1: 1, 2: 1}
+    # more variants than are compared pair by pair, and another template of the same leaf
+    names = [f"{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    hot = [say.format(n, s) for n in names for s in ("in", "out")]
+    other = [f"on this site {n} nothing else was seen by anyone" for n in ("today", "here")]
+    assert dropped(hot + other) == {i: int(i not in (0, len(hot))) for i in range(len(hot) + 2)}
+    # against all pairs
+    lines = ["a b c " + " ".join(rng.choice("xyz") if rng.random() < 0.3 else c for c in base)
+             for base in ("defghijk", "lmnopqrs", "defgpqrs") for _ in range(40)]
+    group = list(range(len(lines)))
+    for i, x in enumerate(lines):
+        for j, y in enumerate(lines[:i]):
+            if sum(a == b for a, b in zip(x.split(), y.split())) >= 0.7 * 11:
+                group = [group[j] if g == group[i] else g for g in group]
+    assert dropped(lines) == {i: int(group.index(g) != i) for i, g in enumerate(group)}
+
+
 def test_quality_separates_and_sums_to_one(spark, docs, none):
     rows, labels = [], []
     for i in range(240):
