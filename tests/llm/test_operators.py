@@ -289,6 +289,13 @@ def test_line_variants_with_repeated_fields(spark):
     assert dropped(lines) == {i: int(group.index(g) != i) for i, g in enumerate(group)}
 
 
+def test_rows_of_numbers_are_no_template(spark):
+    rows = [(1, "10 20 30 40 50\nrow 1 2 3 4 total\n7 7 7 7 7"), (2, "11 21 31 41 51\nrow 5 6 7 8 total\n7 7 7 7 7"),
+            (3, "page 3 of 9 was printed on this monday")] + [(4, "page 4 of 9 was printed on this monday")]
+    out = {r.doc_id: r.text for r in linededup.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: rows[0][1], 2: "11 21 31 41 51\nrow 5 6 7 8 total", 3: rows[2][1], 4: ""}
+
+
 def test_quality_separates_and_sums_to_one(spark, docs, none):
     rows, labels = [], []
     for i in range(240):
