@@ -344,6 +344,22 @@ def test_quality_separates_and_sums_to_one(spark, docs, none):
     assert abs(sum(p(h["a"], h["b"], h[w]) for w in "abc") + model["mass"][key(h["a"], h["b"])] * model["mass"][key(h["b"])] * model["floor"]["en"] - 1) < 1e-9
 
 
+def test_quality_rejects_toxic_words_in_prose(spark):
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(80).split()
+        if i % 4 == 0:
+            for w in ("slurone", "slurtwo"):
+                words[rng.randrange(80)] = w
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, 1, int(i % 4 == 0)))
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    half = {r[0] for r in df.where(~quality.fit_half(F.col("doc_id"))).select("doc_id").collect()}
+    out = {r.doc_id: r for r in quality.judge_quality(df, lab).collect()}
+    has = {i for i, t, _ in rows if "slur" in t}
+    assert not any(out[i].kept for i in has & half) and sum(out[i].kept for i in half - has) >= 0.95 * len(half - has)
+
+
 def test_queries_and_pipeline(spark):
     import __spark_entry__ as E
     assert set(queries.QUERIES) <= set(E.queries()) and "pipeline" in E.queries()
