@@ -360,6 +360,22 @@ def test_quality_rejects_toxic_words_in_prose(spark):
     assert not any(out[i].kept for i in has & half) and sum(out[i].kept for i in half - has) >= 0.95 * len(half - has)
 
 
+def test_long_documents_leave_the_fit(spark):
+    t = spark.createDataFrame([(i, "en", 900) for i in range(50)] + [(i, "en", 700_000) for i in range(50, 400)]
+                              + [(i, "de", 700_000 + i) for i in range(50)], "doc_id long, lang string, chars int")
+    half = {r[0] for r in t.where(quality.fit_half(F.col("doc_id"))).select("doc_id").collect()}
+    out = {r[0] for r in quality.training_sample(t).collect()}
+    assert out == {i for i in half if i < 50}  # the shortest of "de" is one of them
+    assert {r[0] for r in quality.training_sample(t.where("lang = 'de'")).collect()} == {min(half)}
+    # the first trusted text in the order of the hash is longer than the bound; junk still goes
+    order = [r[0] for r in spark.range(60).where(quality.fit_half(F.col("id"))).orderBy(F.xxhash64("id")).collect()]
+    rows = [(i, prose(60) if i != order[0] else prose(6000), "en") for i in range(60)] + [(60, "qzxv " + " ".join(f"jx{i}qz" for i in range(200)), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    out = {r.doc_id: r for r in quality.judge_quality(df, lab, max_chars=20_000).collect()}
+    assert out[60].threshold is not None and not out[60].kept
+
+
 def test_queries_and_pipeline(spark):
     import __spark_entry__ as E
     assert set(queries.QUERIES) <= set(E.queries()) and "pipeline" in E.queries()
