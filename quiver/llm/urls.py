@@ -58,7 +58,8 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b): normal forms joined by a canonical link or a redirect."""
+    """(a, b, to_host, to_path): normal forms joined by a canonical link or a
+    redirect, and the target's own host and path, which rules are tried on."""
     url, html = F.col(url_col).cast("string"), F.col(html_col).cast("string")
     link = F.regexp_extract(html, rf"""(?is)<link\b(?=[^>]*\brel{_ATTR}canonical\b)[^>]*\bhref{_ATTR}([^"'\s>]+)""", 1)
     meta = F.regexp_extract(html, rf"""(?is)<meta\b(?=[^>]*\bhttp-equiv{_ATTR}refresh\b)[^>]*\burl\s*=\s*['"]?([^"'\s>]+)""", 1)
@@ -72,7 +73,7 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
               .when(F.startswith("t", F.lit("/")), F.concat(site, F.col("t")))
               .otherwise(F.concat(site, folder, F.col("t"))))
     both = with_parts(found.withColumn("target", target), "target", "to_")
-    return both.select(F.col("node").alias("a"), F.col("to_node").alias("b"))
+    return both.select(F.col("node").alias("a"), F.col("to_node").alias("b"), "to_host", "to_path")
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_col: str = "page_id",
@@ -103,10 +104,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
         comp = materialize(comp, "aliases")
         # targets of links that are not pages themselves have a verdict, too
         named = judged.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        parts = comp.select("component", F.regexp_extract("node", r"^([^/?]*)", 1).alias("host"),
-                            F.regexp_extract("node", r"^[^/?]*([^?]*)", 1).alias("path"))
-        outside = parts.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules)).where(
-            "fit.verdict = 'block'").select("component")
+        targets = edges.select(F.col("b").alias("node"), "to_host", "to_path").distinct()
+        targets = targets.withColumn("fit", fitting_rule(F.col("to_host"), F.col("to_path"), rules)).where("fit.verdict = 'block'")
+        # a target may have no alias but the page that names it
+        outside = targets.select("node").distinct().join(comp, "node", "left").select(F.coalesce("component", "node").alias("component"))
     blocked = named.where("own = 'block'").select("component")
     if html_col is not None:
         blocked = blocked.union(outside)

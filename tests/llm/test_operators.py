@@ -204,6 +204,18 @@ def test_url_filter(spark):
     assert urls.judge_urls(df.limit(0)).count() == 0 and urls.judge_urls(df).count() == len(pages)
 
 
+def test_url_targets_keep_their_slash(spark):
+    pages = [(1, "https://a.org/1", '<link rel="canonical" href="http://foo.net/">'), (2, "https://b.org/2", '<link rel=canonical href="http://example.com/de/">'),
+             (3, "https://c.org/3", '<meta http-equiv="refresh" content="0; url=//foo.net/">'), (4, "https://d.org/4", '<link rel=canonical href="http://example.com/de">'),
+             (5, "https://e.org/5", '<link rel=canonical href="http://fine.org/">'), (6, "https://f.org/6", '<link rel=canonical href="http://bar.net">'),
+             (7, "https://x.example.com/de", '<link rel=canonical href="https://x.example.com/de/">')]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    verdicts = {r.page_id: r.verdict for r in urls.judge_urls(df).collect()}
+    # 4 is an alias of 2; no rule fits a bare host's empty path, on a page or on a target
+    assert verdicts == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block"}
+    assert urls.judge_urls(spark.createDataFrame([(6, "http://bar.net")], "page_id long, url string"), html_col=None).first().verdict == "allow"
+
+
 def test_sentencepiece_equals_the_model(spark, docs, none):
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
