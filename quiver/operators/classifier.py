@@ -146,10 +146,11 @@ def prepare_samples(features: DataFrame, keys: Sequence[str] = KEYS, lookback: i
 
 
 def train_direction(samples: DataFrame, max_iter: int = 100, reg: float = 1e-3):
-    """One distributed fit on the training (non-validation) samples."""
+    """One distributed fit on all training samples. The convex fit runs to
+    its optimum and is not stopped early, so it needs no validation rows held back."""
     lr = LogisticRegression(featuresCol="vec", labelCol="label", weightCol="weight",
                             maxIter=max_iter, regParam=reg, standardization=False)
-    return lr.fit(samples.filter("is_train AND NOT is_validation"))
+    return lr.fit(samples.filter("is_train"))
 
 
 def training_history(spark, model) -> DataFrame:

@@ -204,3 +204,16 @@ def test_forecast_orders_with_differencing(spark):
         expect = y[T] + mu + phi * z[-1]
         assert got[D0 + dt.timedelta(days=T)] == pytest.approx(expect, rel=1e-9)
     assert got[D0 + dt.timedelta(days=59)] is None
+
+
+def test_classifier_fits_on_all_training_rows(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from quiver.operators import classifier
+
+    # x tells the label only in the newest training rows
+    rows = [([0.0], float(i % 2), 1.0, True, False) for i in range(16)]
+    rows += [([float(i % 2)], float(i % 2), 1.0, True, True) for i in range(4)] + [([1.0], 0.0, 1.0, False, False)] * 9
+    df = spark.createDataFrame(rows, "x array<double>, label double, weight double, is_train boolean, is_validation boolean")
+    model = classifier.train_direction(df.withColumn("vec", array_to_vector("x")))
+    assert model.summary.predictions.count() == 20 and model.coefficients[0] > 0
