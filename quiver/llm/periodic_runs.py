@@ -55,10 +55,10 @@ def cover(r: int) -> tuple[int, np.ndarray, np.ndarray]:
     inside = np.zeros(v, bool)
     inside[np.cumsum([0, *steps]) % v] = True
     i = np.arange(v)
-    wait = np.full((v, v), -1, np.int16)  # [difference, residue of the first position]
-    for t in range(v - 1, -1, -1):
-        both = inside[(i + t) % v][None, :] & inside[(i[None, :] + i[:, None] + t) % v]
-        wait[both] = t
+    wait = np.empty((v, v), np.int16)  # [difference, residue of the first position]
+    for d in range(v):
+        meet = np.flatnonzero(inside & inside[(i + d) % v])
+        wait[d] = (meet[np.searchsorted(meet, i) % len(meet)] - i) % v
     return v, inside, wait
 
 
