@@ -1,26 +1,35 @@
 """Expanding-window model fits as one pass per series (grid estimators).
 
 The reference refits a time-series model on every prefix of the history
-(O(n^2) work, one process). For a fixed parameter point the residual and
-variance recursions do not depend on the cutoff, so a single forward pass
-yields the running log-likelihood (or squared error) at *every* cutoff; the
-best grid point per cutoff is an arg-max over that running score. Cost is
-O(n * grid) per series, and series run in parallel across the cluster.
+(O(n^2) work, one process). Here the residual and variance recursions of a
+fixed parameter point are run once, and running scores over them give the best
+point at *every* cutoff. Means and scales are those of the cutoff, too:
+
+* ARMA residuals are linear in the mean, e_t = a_t - mean * c_t, so running
+  sums of a^2, a*c and c^2 give the best mean and its squared error at every
+  cutoff in closed form.
+* GARCH variances are linear in the long-run variance and, for the constant
+  mean, quadratic: s2_t = level * k_t + p_t - 2 * mean * q_t + mean^2 * v_t.
+  The likelihood ranks a grid of (alpha, beta, level); levels are powers of
+  two apart by ``LEVEL_STEP`` around the running variances. Its residuals
+  take the mean of the rows before; the reported variance takes the mean of
+  all rows up to the cutoff.
 
 This is a grid estimator: it answers the same question with the same shape
 as the maximum-likelihood fits, not with the libraries' exact numbers.
 
-The recursion itself is sequential, so each series is one group of a
-grouped map (``applyInPandas``), vectorised over grid points in NumPy. Paths
-are computed in blocks of ``BLOCK_ROWS`` rows that carry the last state and
-the running score on, so memory beyond the series itself is
-O(block x grid) whatever the length of the series.
+Series are cut into blocks of ``BLOCK_ROWS`` rows, each with the ``HALO`` rows
+before it. No coefficient exceeds 0.94, and 0.94 ** HALO is below the last bit
+of a double, so a recursion started at the halo has forgotten its start when
+the block begins: blocks run in parallel, whatever the length of the series.
+Scores are summed per block, added up in order by a window over (series,
+point), and a second pass over the blocks goes on from these sums.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -29,16 +38,20 @@ from pyspark.sql import functions as F
 
 from quiver.functions.windows import KEYS, expanding, series_window
 
-#: Rows of a path that are held at once for all grid points.
-BLOCK_ROWS = 2048
+#: Rows of a block, and rows before it that its recursions start from.
+BLOCK_ROWS, HALO = 2048, 600
 
-# The GARCH(1,1) grid (alpha, beta) with alpha + beta < 1.
-GARCH_GRID = tuple((a, b) for a in (0.05, 0.1, 0.2) for b in (0.6, 0.7, 0.8, 0.9) if round(a + b, 9) < 1.0)
+# The GARCH(1,1) grid (alpha, beta) with alpha + beta < 1; the last
+# points, of persistence 0.998, are those that fit a scale that moves for good.
+GARCH_GRID = (*((a, b) for a in (0.05, 0.1, 0.2) for b in (0.6, 0.7, 0.8, 0.9, 0.94) if round(a + b, 9) < 1.0),
+              (0.058, 0.94), (0.098, 0.9), (0.198, 0.8))
 # The ARMA(1,1) grid, phi and theta from -0.9 to 0.9 in steps of 0.1.
 ARMA_STEPS = tuple(round(-0.9 + 0.1 * k, 1) for k in range(19))
 ARMA_GRID = tuple((phi, theta) for phi in ARMA_STEPS for theta in ARMA_STEPS)
 GARCH_MIN_WINDOW = 500
 ARMA_MIN_ROWS = 60
+#: Long-run variances are 2 ** (LEVEL_STEP * j), from the smallest running variance / 2 ** LEVEL_MARGIN to the largest * 2 ** LEVEL_MARGIN.
+LEVEL_STEP, LEVEL_MARGIN = 0.5, 4
 
 
 def _best_by(score: np.ndarray, maximize: bool) -> np.ndarray:
@@ -48,61 +61,124 @@ def _best_by(score: np.ndarray, maximize: bool) -> np.ndarray:
     return np.argmax(s, axis=1) if maximize else np.argmin(s, axis=1)
 
 
-def garch_blocks(r: np.ndarray, grid: Sequence[tuple[float, float]] = GARCH_GRID,
-                 min_window: int = GARCH_MIN_WINDOW, block: int = BLOCK_ROWS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Conditional variance paths for every grid point and the running
-    log-likelihood, as blocks (first row, sigma2 [rows, G], running_ll [rows, G]).
-
-    r is in percent. Mean and starting variance are those of the first
-    ``min_window`` returns, so no value looks ahead of its cutoff.
-    """
-    a = np.array([g[0] for g in grid])
-    b = np.array([g[1] for g in grid])
-    v0 = r[:min_window].var(ddof=1)
-    e = r - r[:min_window].mean()
-    omega = v0 * (1.0 - a - b)
-    last, total = None, np.zeros(len(grid))
-    for lo in range(0, len(r), block):
-        own = e[lo:lo + block]
-        s2 = np.empty((len(own), len(grid)))
-        for i in range(len(own)):
-            last = np.full(len(grid), v0) if last is None else omega + a * (e[lo + i - 1] * e[lo + i - 1]) + b * last
-            s2[i] = last
-        ll = -0.5 * (np.log(s2) + (own * own)[:, None] / s2)
-        ll[0] += total
-        run = np.cumsum(ll, axis=0)
-        total = run[-1]
-        yield lo, s2, run
-
-
-def _garch_group(min_window: int, keys: Sequence[str]):
+def row_blocks(df: DataFrame, size: int = BLOCK_ROWS, halo: int = HALO) -> DataFrame:
+    """``df`` (with ``row``, counted from 0 per series) with ``block``; the last
+    ``halo`` rows before a block are there a second time, as its rows."""
+    own = F.floor(F.col("row") / size)
+    ahead = F.floor((F.col("row") + halo) / size)
+    return df.withColumn("block", F.explode(F.sequence(own, ahead)))
+
+
+def _by_blocks(blocks: DataFrame, keys: Sequence[str], totals, emit, sums: Sequence[str], out_schema: str) -> DataFrame:
+    """Two passes over (series, block) groups: ``totals`` gives rows (point,
+    *sums) of a block, ``emit`` its output from the sums of all blocks before."""
+    kinds = ", ".join(f"{k} {blocks.schema[k].dataType.simpleString()}" for k in keys)
+    part = blocks.groupBy(*keys, "block").applyInPandas(
+        totals, f"{kinds}, block bigint, point int, {', '.join(f'{c} double' for c in sums)}")
+    before = Window.partitionBy(*keys, "point").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = part.select(*keys, "block", "point", *[F.coalesce(F.sum(c).over(before), F.lit(0.0)).alias(c) for c in sums])
+    return blocks.groupBy(*keys, "block").cogroup(starts.groupBy(*keys, "block")).applyInPandas(emit, f"{kinds}, {out_schema}")
+
+
+def _block_rows(pdf: pd.DataFrame, size: int) -> tuple[pd.DataFrame, int]:
+    """The rows in order and the number of halo rows before the block's own."""
+    pdf = pdf.sort_values("row").reset_index(drop=True)
+    return pdf, int((pdf["row"] < pdf["block"].iloc[0] * size).sum())
+
+
+def _totals_frame(pdf: pd.DataFrame, keys: Sequence[str], **sums: np.ndarray) -> pd.DataFrame:
+    n = len(next(iter(sums.values())))
+    first = {k: pd.Series([pdf[k].iloc[0]] * n, dtype=object) for k in keys}
+    return pd.DataFrame({**first, "block": np.full(n, pdf["block"].iloc[0]), "point": np.arange(n, dtype=np.int32), **sums})
+
+
+# -- GARCH(1,1) ---------------------------------------------------------------
+def _garch_paths(pdf: pd.DataFrame, halo: int, grid=GARCH_GRID) -> dict[str, np.ndarray]:
+    """Coefficient paths of a block's own rows: k, p, q, v [rows, (alpha, beta)], the
+    likelihood's own p from its residuals, and the residuals e."""
+    a, b = np.array([g[0] for g in grid]), np.array([g[1] for g in grid])
+    r, e = pdf["r"].to_numpy(float), pdf["e"].to_numpy(float)
+    state, paths = np.zeros((3, len(grid))), np.zeros((len(r), 3, len(grid)))
+    inputs = np.stack((e * e, r * r, r), 1)
+    for t in range(1, len(r)):
+        state = a * inputs[t - 1][:, None] + b * state
+        paths[t] = state
+    paths, t = paths[halo:], pdf["row"].to_numpy(float)[halo:, None]
+    gone = b ** t
+    u = (1.0 - gone) / (1.0 - b)
+    return {"k": (1.0 - a - b) * u + gone, "own": paths[:, 0], "p": paths[:, 1], "q": paths[:, 2], "v": a * u,
+            "e": e[halo:]}
+
+
+def _garch_scores(x: dict[str, np.ndarray], levels: np.ndarray) -> np.ndarray:
+    """Log-likelihood terms [rows, (alpha, beta) x level]."""
+    s2 = x["k"][:, :, None] * levels + x["own"][:, :, None]
+    ll = -0.5 * (np.log(s2) + (x["e"] * x["e"])[:, None, None] / s2)
+    return ll.reshape(len(ll), -1)
+
+
+def _levels(pdf: pd.DataFrame) -> np.ndarray:
+    lo, hi = pdf["level_lo"].iloc[0], pdf["level_hi"].iloc[0]
+    return np.zeros(0) if pd.isna(lo) or pd.isna(hi) else 2.0 ** (LEVEL_STEP * np.arange(lo, hi + 1))
+
+
+def garch_rows(returns: DataFrame, min_window: int, keys: Sequence[str], col: str) -> DataFrame:
+    """(keys, date, r percent, row, e, mean, level_lo, level_hi): residuals
+    against the mean of the rows before, the mean up to each row, and the range of
+    levels that the running variances from the ``min_window``-th row on span."""
+    w, fr = series_window(keys), expanding(keys)
+    src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("r"))
+    src = src.select("*", (F.row_number().over(w) - 1).cast("long").alias("row"), F.avg("r").over(fr).alias("mean"),
+                     F.var_samp("r").over(fr).alias("var"))
+    whole = Window.partitionBy(*keys)
+    judged = F.when((F.col("row") >= min_window) & (F.col("var") > 0), F.col("var"))
+    src = src.select("*", F.coalesce(F.col("r") - F.lag("mean").over(w), F.lit(0.0)).alias("e"),
+                     F.min(judged).over(whole).alias("_lo"), F.max(judged).over(whole).alias("_hi"))
+    return src.select(*keys, "date", "r", "row", "e", "mean",
+                      F.floor((F.log2("_lo") - LEVEL_MARGIN) / LEVEL_STEP).alias("level_lo"),
+                      F.ceil((F.log2("_hi") + LEVEL_MARGIN) / LEVEL_STEP).alias("level_hi"))
+
+
+def _garch_totals(keys: Sequence[str], size: int):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        n = len(pdf)
-        vol = np.full(n, np.nan)
-        pid = np.full(n, -1)
-        if n > min_window:
-            for lo, s2, run in garch_blocks(pdf["r"].to_numpy(dtype=float), GARCH_GRID, min_window):
-                best = _best_by(run, maximize=True)
-                vol[lo:lo + len(best)] = np.sqrt(s2[np.arange(len(best)), best])
-                pid[lo:lo + len(best)] = best
-            vol[:min_window], pid[:min_window] = np.nan, -1
-        out = pdf[[*keys, "date"]].copy()
+        pdf, halo = _block_rows(pdf, size)
+        levels = _levels(pdf)
+        if halo == len(pdf) or not len(levels):
+            return _totals_frame(pdf, keys, ll=np.zeros(0))
+        return _totals_frame(pdf, keys, ll=_garch_scores(_garch_paths(pdf, halo), levels).sum(0))
+    return fn
+
+
+def _garch_emit(keys: Sequence[str], size: int, min_window: int):
+    def fn(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame({c: [] for c in [*keys, "date", "garch_conditional_volatility", "garch_point"]})
+        pdf, halo = _block_rows(pdf, size)
+        out = pdf[[*keys, "date"]].iloc[halo:].astype(object)
+        vol, point = np.full(len(out), np.nan), np.full(len(out), -1)
+        levels = _levels(pdf)
+        if len(out) and len(levels):
+            x = _garch_paths(pdf, halo)
+            run = start.sort_values("point")["ll"].to_numpy() + np.cumsum(_garch_scores(x, levels), axis=0)
+            best = _best_by(run, maximize=True)
+            i, ab, mean = np.arange(len(out)), best // len(levels), pdf["mean"].to_numpy(float)[halo:]
+            s2 = levels[best % len(levels)] * x["k"][i, ab] + x["p"][i, ab] - 2.0 * mean * x["q"][i, ab] + mean * mean * x["v"][i, ab]
+            shown = pdf["row"].to_numpy()[halo:] >= min_window
+            vol[shown], point[shown] = np.sqrt(np.maximum(s2, 0.0))[shown], best[shown]
         out["garch_conditional_volatility"] = vol
-        out["garch_point"] = pid
+        out["garch_point"] = point
         return out
     return fn
 
 
 def garch_volatility(returns: DataFrame, min_window: int = GARCH_MIN_WINDOW,
-                     keys: Sequence[str] = KEYS, col: str = "log_return") -> DataFrame:
+                     keys: Sequence[str] = KEYS, col: str = "log_return", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Per date from the (min_window+1)-th return on, the conditional
     volatility (percent) of the best GARCH(1,1) grid point fitted on all
     history through that date."""
-    src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("r"))
-    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"{key_schema}, date date, garch_conditional_volatility double, garch_point int"
-    out = src.groupBy(*keys).applyInPandas(_garch_group(min_window, keys), schema)
+    rows = garch_rows(returns, min_window, keys, col)
+    out = _by_blocks(row_blocks(rows, block_rows), keys, _garch_totals(keys, block_rows), _garch_emit(keys, block_rows, min_window),
+                     ["ll"], "date date, garch_conditional_volatility double, garch_point int")
     return out.withColumn("garch_conditional_volatility",
                           F.when(F.col("garch_point") >= 0, F.col("garch_conditional_volatility")))
 
@@ -125,14 +201,18 @@ def _garch_fit_group(keys: Sequence[str]):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("date")
         r = pdf["r"].to_numpy(dtype=float)
-        *_, (_, s2, run_ll) = garch_blocks(r, GARCH_GRID, len(r))
-        total = run_ll[-1][None, :]
-        best = int(_best_by(total, maximize=True)[0])
+        v0, e = r.var(ddof=1), r - r.mean()
+        alpha, beta = np.array([g[0] for g in GARCH_GRID]), np.array([g[1] for g in GARCH_GRID])
+        s2, total = np.full(len(GARCH_GRID), v0), np.zeros(len(GARCH_GRID))
+        for t in range(len(r)):
+            if t:
+                s2 = v0 * (1.0 - alpha - beta) + alpha * (e[t - 1] * e[t - 1]) + beta * s2
+            total -= 0.5 * (np.log(s2) + e[t] * e[t] / s2)
+        best = int(_best_by(total[None, :], maximize=True)[0])
         a, b = GARCH_GRID[best]
-        v0 = r.var(ddof=1)
         row = {k: pdf[k].iloc[0] for k in keys}
         row.update(n=len(r), mu=float(r.mean()), omega=float(v0 * (1 - a - b)), alpha=a, beta=b,
-                   loglik=float(total[0, best]), last_volatility=float(np.sqrt(s2[-1, best])))
+                   loglik=float(total[best]), last_volatility=float(np.sqrt(s2[best])))
         return pd.DataFrame([row])
     return fn
 
@@ -151,64 +231,71 @@ def garch_recent_fit(returns: DataFrame, last_n: int = 800, keys: Sequence[str]
     return src.groupBy(*keys).applyInPandas(_garch_fit_group(keys), schema)
 
 
-def arma_blocks(z: np.ndarray, grid: Sequence[tuple[float, float]] = ARMA_GRID,
-                block: int = BLOCK_ROWS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """ARMA(1,1) residual paths and running squared error for every grid point,
-    as blocks (first row, e [rows, G], running_sse [rows, G]).
-
-    z: centred series; e_0 = 0, e_t = z_t - phi z_{t-1} - theta e_{t-1}.
-    """
-    phi = np.array([g[0] for g in grid])
-    theta = np.array([g[1] for g in grid])
-    last, total = np.zeros(len(grid)), np.zeros(len(grid))
-    for lo in range(0, len(z), block):
-        e = np.zeros((min(block, len(z) - lo), len(grid)))
-        for i in range(len(e)):
-            t = lo + i
-            last = z[t] - phi * z[t - 1] - theta * last if t else last
-            e[i] = last
-        sse = e * e
-        sse[0] += total
-        run = np.cumsum(sse, axis=0)
-        total = run[-1]
-        yield lo, e, run
-
-
-def _arma_group(min_rows: int, keys: Sequence[str]):
-    phi = np.array([g[0] for g in ARMA_GRID])
-    theta = np.array([g[1] for g in ARMA_GRID])
+# -- ARMA(1,1) ----------------------------------------------------------------
+_PHI, _THETA = (np.array([g[k] for g in ARMA_GRID]) for k in (0, 1))
+
+
+def _arma_paths(pdf: pd.DataFrame, halo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(y, a, c, sum of c^2 through the row) of a block's own rows; a and c are
+    the parts of the residual e = a - mean * c, both 0 at the first row of a series."""
+    y, t = pdf["y"].to_numpy(float), pdf["row"].to_numpy(float)[halo:, None]
+    last, a = np.zeros(len(_PHI)), np.zeros((len(y), len(_PHI)))
+    for i in range(1, len(y)):
+        last = y[i] - _PHI * y[i - 1] - _THETA * last
+        a[i] = last
+    h = -_THETA
+    k = (1.0 - _PHI) / (1.0 - h)
+    c = k * (1.0 - h ** t)
+    n = t + 1.0
+    cc = k * k * (n - 2.0 * (1.0 - h ** n) / (1.0 - h) + (1.0 - h ** (2.0 * n)) / (1.0 - h * h))
+    return y[halo:], a[halo:], c, cc
 
+
+def _arma_totals(keys: Sequence[str], size: int):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        n = len(pdf)
-        fc = np.full(n, np.nan)
-        pid = np.full(n, -1)
-        if n >= min_rows:
-            y = pdf["y"].to_numpy(dtype=float)
-            mu = y[:min_rows].mean()  # no value looks ahead of its cutoff
-            z = y - mu
-            for lo, e, sse in arma_blocks(z):
-                best = _best_by(sse, maximize=False)
-                hi = lo + len(best)
-                fc[lo:hi] = mu + phi[best] * z[lo:hi] + theta[best] * e[np.arange(len(best)), best]
-                pid[lo:hi] = best
-            fc[:min_rows - 1], pid[:min_rows - 1] = np.nan, -1
-        out = pdf[[*keys, "date"]].copy()
+        pdf, halo = _block_rows(pdf, size)
+        if halo == len(pdf):
+            return _totals_frame(pdf, keys, aa=np.zeros(0), ac=np.zeros(0))
+        _, a, c, _ = _arma_paths(pdf, halo)
+        return _totals_frame(pdf, keys, aa=(a * a).sum(0), ac=(a * c).sum(0))
+    return fn
+
+
+def _arma_emit(keys: Sequence[str], size: int, min_rows: int):
+    def fn(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf):
+            return pd.DataFrame({c: [] for c in [*keys, "date", "arima_mean_forecast_percent", "arma_point"]})
+        pdf, halo = _block_rows(pdf, size)
+        out = pdf[[*keys, "date"]].iloc[halo:].astype(object)
+        fc, point = np.full(len(out), np.nan), np.full(len(out), -1)
+        if len(out):
+            y, a, c, cc = _arma_paths(pdf, halo)
+            start = start.sort_values("point")
+            aa = start["aa"].to_numpy() + np.cumsum(a * a, axis=0)
+            ac = start["ac"].to_numpy() + np.cumsum(a * c, axis=0)
+            first = pdf["row"].to_numpy()[halo:] == 0  # no residual yet
+            cc[first] = 1.0
+            best = _best_by(aa - ac * ac / cc, maximize=False)
+            i = np.arange(len(out))
+            mean = (ac / cc)[i, best]
+            f = mean + _PHI[best] * (y - mean) + _THETA[best] * (a[i, best] - mean * c[i, best])
+            shown = pdf["row"].to_numpy()[halo:] >= min_rows - 1
+            fc[shown], point[shown] = f[shown], best[shown]
         out["arima_mean_forecast_percent"] = fc
-        out["arma_point"] = pid
+        out["arma_point"] = point
         return out
     return fn
 
 
 def rolling_forecast(returns: DataFrame, min_rows: int = ARMA_MIN_ROWS, keys: Sequence[str] = KEYS,
-                     col: str = "log_return") -> DataFrame:
+                     col: str = "log_return", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """For every date, the one-step-ahead forecast (percent) of the best
-    ARMA(1,1) grid point fitted on all history through that date; NULL while
-    fewer than ``min_rows`` returns exist."""
-    src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("y"))
-    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"{key_schema}, date date, arima_mean_forecast_percent double, arma_point int"
-    out = src.groupBy(*keys).applyInPandas(_arma_group(min_rows, keys), schema)
+    ARMA(1,1) grid point, with its best mean, fitted on all history through that
+    date; NULL while fewer than ``min_rows`` returns exist."""
+    src = returns.filter(F.col(col).isNotNull()).select(
+        *keys, "date", (F.col(col) * 100.0).alias("y"), (F.row_number().over(series_window(keys)) - 1).cast("long").alias("row"))
+    out = _by_blocks(row_blocks(src, block_rows), keys, _arma_totals(keys, block_rows), _arma_emit(keys, block_rows, min_rows),
+                     ["aa", "ac"], "date date, arima_mean_forecast_percent double, arma_point int")
     return out.withColumn("arima_mean_forecast_percent",
                           F.when(F.col("arma_point") >= 0, F.col("arima_mean_forecast_percent")))
 

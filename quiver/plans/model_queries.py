@@ -248,23 +248,28 @@ def garch_sql_ctes(min_window: int = RC.GARCH_MIN_WINDOW, src: str = "ret", base
     """Recursive twin of I13 over the return rows in ``src``, ending in
     ``gvol`` (ticker, date, garch_conditional_volatility)."""
     return ([SQL_VIEWS["bars"], returns_cte("bars", "ret")] if base else []) + [
-        f"gr AS (SELECT ticker, date, 100.0 * log_return AS r, row_number() OVER ({W}) - 1 AS i FROM {src})",
-        f"""gi AS (SELECT ticker, avg(r) FILTER (WHERE i < {min_window}) AS mu,
-    var_samp(r) FILTER (WHERE i < {min_window}) AS v0 FROM gr GROUP BY ticker HAVING count(*) > {min_window})""",
+        f"""gr AS (SELECT *, coalesce(r - lag(mean) OVER ({W}), 0.0) AS e FROM (
+    SELECT ticker, date, 100.0 * log_return AS r, row_number() OVER ({W}) - 1 AS i,
+           avg(100.0 * log_return) OVER {frame(None)} AS mean, var_samp(100.0 * log_return) OVER {frame(None)} AS v FROM {src}) t)""",
+        f"""gi AS (SELECT ticker, floor((log2(min(v)) - {RC.LEVEL_MARGIN}) / {RC.LEVEL_STEP})::BIGINT AS jlo,
+    ceil((log2(max(v)) + {RC.LEVEL_MARGIN}) / {RC.LEVEL_STEP})::BIGINT AS jhi FROM gr WHERE i >= {min_window} AND v > 0 GROUP BY ticker)""",
         GARCH_GRID_SQL,
-        """grec(ticker, pid, a, b, i, s2, e) AS (
-  SELECT g.ticker, p.pid, p.a, p.b, g.i, gi.v0, g.r - gi.mu
+        """grec(ticker, pid, a, b, i, r, e, own, p, q) AS (
+  SELECT g.ticker, p.pid, p.a, p.b, g.i, g.r, g.e, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE)
   FROM gr g JOIN gi ON g.ticker = gi.ticker JOIN ggrid p ON true WHERE g.i = 0
   UNION ALL
-  SELECT q.ticker, q.pid, q.a, q.b, q.i + 1,
-         gi.v0 * (1.0 - q.a - q.b) + q.a * (q.e * q.e) + q.b * q.s2, g.r - gi.mu
-  FROM grec q JOIN gi ON q.ticker = gi.ticker JOIN gr g ON g.ticker = q.ticker AND g.i = q.i + 1)""",
-        """gll AS (SELECT ticker, pid, i, s2,
-    sum(-0.5 * (ln(s2) + (e * e) / s2)) OVER (PARTITION BY ticker, pid ORDER BY i
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ll FROM grec)""",
-        f"""gbest AS (SELECT ticker, i, sqrt(s2) AS vol FROM (
-    SELECT *, row_number() OVER (PARTITION BY ticker, i ORDER BY round(ll, 6) DESC, pid) AS k FROM gll) t
-  WHERE k = 1 AND i >= {min_window})""",
+  SELECT q.ticker, q.pid, q.a, q.b, q.i + 1, g.r, g.e, q.a * (q.e * q.e) + q.b * q.own, q.a * (q.r * q.r) + q.b * q.p,
+         q.a * q.r + q.b * q.q
+  FROM grec q JOIN gr g ON g.ticker = q.ticker AND g.i = q.i + 1)""",
+        f"""gll AS (SELECT ticker, pid, a, b, i, j, p, q, lev, k, sum(-0.5 * (ln(lev * k + own) + (e * e) / (lev * k + own)))
+      OVER (PARTITION BY ticker, pid, j ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ll FROM (
+    SELECT c.*, l.j, pow(2.0, {RC.LEVEL_STEP} * l.j) AS lev, (1.0 - a - b) * (1.0 - pow(b, i)) / (1.0 - b) + pow(b, i) AS k
+    FROM grec c JOIN (SELECT ticker, unnest(generate_series(jlo, jhi)) AS j FROM gi) l ON c.ticker = l.ticker) t)""",
+        f"""gbest AS (SELECT t.ticker, t.i, sqrt(greatest(t.lev * t.k + t.p - 2.0 * g.mean * t.q
+      + g.mean * g.mean * (t.a * (1.0 - pow(t.b, t.i)) / (1.0 - t.b)), 0.0)) AS vol FROM (
+    SELECT * FROM gll WHERE i >= {min_window}
+    QUALIFY row_number() OVER (PARTITION BY ticker, i ORDER BY round(ll, 6) DESC, pid, j) = 1) t
+  JOIN gr g ON g.ticker = t.ticker AND g.i = t.i)""",
         """gvol AS (SELECT g.ticker, g.date, b.vol AS garch_conditional_volatility
   FROM gr g LEFT JOIN gbest b ON g.ticker = b.ticker AND g.i = b.i)""",
     ]
@@ -306,20 +311,17 @@ def arma_sql_ctes(min_rows: int = RC.ARMA_MIN_ROWS, base: bool = True) -> list[s
     """Recursive twin of I6 ending in ``afc`` (ticker, date, i, y, arima_mean_forecast_percent)."""
     return ([SQL_VIEWS["bars"], returns_cte("bars", "ret")] if base else []) + [
         f"ar AS (SELECT ticker, date, 100.0 * log_return AS y, row_number() OVER ({W}) - 1 AS i FROM ret)",
-        f"""ai AS (SELECT ticker, avg(y) FILTER (WHERE i < {min_rows}) AS mu FROM ar GROUP BY ticker
-  HAVING count(*) >= {min_rows})""",
         ARMA_GRID_SQL,
-        """arec(ticker, pid, phi, theta, i, z, e) AS (
-  SELECT a.ticker, p.pid, p.phi, p.theta, a.i, a.y - ai.mu, CAST(0.0 AS DOUBLE)
-  FROM ar a JOIN ai ON a.ticker = ai.ticker JOIN agrid p ON true WHERE a.i = 0
+        """arec(ticker, pid, phi, theta, i, y, a, c) AS (
+  SELECT a.ticker, p.pid, p.phi, p.theta, a.i, a.y, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE)
+  FROM ar a JOIN agrid p ON true WHERE a.i = 0
   UNION ALL
-  SELECT q.ticker, q.pid, q.phi, q.theta, q.i + 1, a.y - ai.mu, (a.y - ai.mu) - q.phi * q.z - q.theta * q.e
-  FROM arec q JOIN ai ON q.ticker = ai.ticker JOIN ar a ON a.ticker = q.ticker AND a.i = q.i + 1)""",
-        """asse AS (SELECT ticker, pid, phi, theta, i, z, e, sum(e * e) OVER (PARTITION BY ticker, pid ORDER BY i
-      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sse FROM arec)""",
-        f"""abest AS (SELECT t.ticker, t.i, ai.mu + t.phi * t.z + t.theta * t.e AS f FROM (
-    SELECT *, row_number() OVER (PARTITION BY ticker, i ORDER BY round(sse, 6), pid) AS k FROM asse) t
-  JOIN ai ON t.ticker = ai.ticker WHERE k = 1 AND t.i >= {min_rows - 1})""",
+  SELECT q.ticker, q.pid, q.phi, q.theta, q.i + 1, a.y, a.y - q.phi * q.y - q.theta * q.a, (1.0 - q.phi) - q.theta * q.c
+  FROM arec q JOIN ar a ON a.ticker = q.ticker AND a.i = q.i + 1)""",
+        """asum AS (SELECT ticker, pid, phi, theta, i, y, a, c, sum(a * a) OVER w AS aa, sum(a * c) OVER w AS ac, sum(c * c) OVER w AS cc
+  FROM arec WINDOW w AS (PARTITION BY ticker, pid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+        f"""abest AS (SELECT ticker, i, ac / cc + phi * (y - ac / cc) + theta * (a - ac / cc * c) AS f FROM asum
+  WHERE i >= {min_rows - 1} QUALIFY row_number() OVER (PARTITION BY ticker, i ORDER BY round(aa - ac * ac / cc, 6), pid) = 1)""",
         """afc AS (SELECT a.ticker, a.date, a.i, a.y, b.f AS arima_mean_forecast_percent
   FROM ar a LEFT JOIN abest b ON a.ticker = b.ticker AND a.i = b.i)""",
     ]
@@ -399,7 +401,23 @@ def q_rolling_baseline(spark, sf_dir):
     return finish(out, ["ticker", *_CLF, *_REG])
 
 
-@register("garch_recent_fit")
+_RECENT_FIT = [SQL_VIEWS["bars"], returns_cte("bars", "ret"), f"""lr AS (SELECT ticker, r, row_number() OVER ({W}) - 1 AS i FROM (
+    SELECT ticker, date, 100.0 * log_return AS r FROM ret
+    QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 800) t)""",
+               "li AS (SELECT ticker, count(*) AS n, avg(r) AS mu, var_samp(r) AS v0 FROM lr GROUP BY ticker)", GARCH_GRID_SQL,
+               """lrec(ticker, pid, a, b, i, s2, e) AS (
+  SELECT g.ticker, p.pid, p.a, p.b, g.i, li.v0, g.r - li.mu FROM lr g JOIN li ON g.ticker = li.ticker JOIN ggrid p ON true WHERE g.i = 0
+  UNION ALL
+  SELECT q.ticker, q.pid, q.a, q.b, q.i + 1, li.v0 * (1.0 - q.a - q.b) + q.a * (q.e * q.e) + q.b * q.s2, g.r - li.mu
+  FROM lrec q JOIN li ON q.ticker = li.ticker JOIN lr g ON g.ticker = q.ticker AND g.i = q.i + 1)""",
+               """lfit AS (SELECT ticker, pid, a, b, sum(-0.5 * (ln(s2) + e * e / s2)) AS ll, sqrt(arg_max(s2, i)) AS vol
+  FROM lrec GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY round(ll, 6) DESC, pid) = 1)"""]
+
+
+@register("garch_recent_fit", with_recursive(*_RECENT_FIT) + f"""
+SELECT ticker, n, {rnd(['mu', 'omega', 'alpha', 'beta', 'loglik', 'last_volatility'])} FROM (
+  SELECT f.ticker, n, mu, v0 * (1 - a - b) AS omega, a AS alpha, b AS beta, ll AS loglik, vol AS last_volatility
+  FROM lfit f JOIN li ON f.ticker = li.ticker) t""")
 def q_garch_recent_fit(spark, sf_dir):
     """GARCH(1,1) grid parameters and log-likelihood on the last 800 returns per ticker."""
     return finish(RC.garch_recent_fit(_ret(spark, sf_dir)))

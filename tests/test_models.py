@@ -9,6 +9,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quiver.operators import recursions as RC
 from quiver.operators import timeseries as TS
@@ -25,23 +26,30 @@ def test_garch_one_pass_equals_refit_per_cutoff(spark):
     rng = np.random.default_rng(1)
     r = rng.standard_t(5, size=90) * 0.01
     W = 40
-    got = {row.date: row.garch_conditional_volatility
-           for row in RC.garch_volatility(_series(spark, r), min_window=W).collect()}
-    pct = r * 100
-    for T in range(W, len(r)):
-        # brute force: refit on the prefix through T, every grid point on its own, pick the best
-        mu, v0 = pct[:W].mean(), pct[:W].var(ddof=1)
-        best = None
-        for a, b in RC.GARCH_GRID:
-            s2, ll = v0, 0.0
-            for t in range(T + 1):
-                if t:
-                    s2 = v0 * (1 - a - b) + a * (pct[t - 1] - mu) ** 2 + b * s2
-                ll -= 0.5 * (math.log(s2) + (pct[t] - mu) ** 2 / s2)
-            if best is None or round(ll, 6) > best[0]:
-                best = (round(ll, 6), math.sqrt(s2))
-        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(best[1], rel=1e-9)
-    assert all(got[D0 + dt.timedelta(days=T)] is None for T in range(W))
+    for size in (RC.BLOCK_ROWS, 16):  # one block, and blocks whose halo is the rest of the series
+        got = {row.date: row.garch_conditional_volatility
+               for row in RC.garch_volatility(_series(spark, r), min_window=W, block_rows=size).collect()}
+        assert len(got) == len(r) and all(got[D0 + dt.timedelta(days=T)] is None for T in range(W))
+        pct = r * 100
+        e = np.array([0.0, *[pct[t] - pct[:t].mean() for t in range(1, len(pct))]])
+        variances = [pct[:T + 1].var(ddof=1) for T in range(W, len(pct))]
+        lo = math.floor((math.log2(min(variances)) - RC.LEVEL_MARGIN) / RC.LEVEL_STEP)
+        hi = math.ceil((math.log2(max(variances)) + RC.LEVEL_MARGIN) / RC.LEVEL_STEP)
+        for T in range(W, len(r), 7):
+            # brute force: every grid point on the prefix through T on its own, pick the best
+            best = None
+            for a, b in RC.GARCH_GRID:
+                for j in range(lo, hi + 1):
+                    level = 2.0 ** (RC.LEVEL_STEP * j)
+                    s2, ll, final = level, 0.0, level
+                    for t in range(T + 1):
+                        if t:
+                            s2 = level * (1 - a - b) + a * e[t - 1] ** 2 + b * s2
+                            final = level * (1 - a - b) + a * (pct[t - 1] - pct[:T + 1].mean()) ** 2 + b * final
+                        ll -= 0.5 * (math.log(s2) + e[t] ** 2 / s2)
+                    if best is None or round(ll, 6) > best[0]:
+                        best = (round(ll, 6), math.sqrt(final))
+            assert got[D0 + dt.timedelta(days=T)] == pytest.approx(best[1], rel=1e-9)
 
 
 def test_arma_one_pass_equals_refit_per_cutoff(spark):
@@ -50,37 +58,73 @@ def test_arma_one_pass_equals_refit_per_cutoff(spark):
     y = np.zeros(120)
     for t in range(1, 120):
         y[t] = 0.5 * y[t - 1] + e[t] + 0.3 * e[t - 1]
-    r = y / 100.0
-    got = {row.date: row.arima_mean_forecast_percent for row in RC.rolling_forecast(_series(spark, r)).collect()}
+    r = y / 100.0 + 0.01
     pct = r * 100
-    for T in range(59, 120, 20):
-        z = [v - pct[:60].mean() for v in pct[:T + 1]]
-        best = None
-        for phi, theta in RC.ARMA_GRID:
-            e, sse = 0.0, 0.0
-            for t in range(1, T + 1):
-                e = z[t] - phi * z[t - 1] - theta * e
-                sse += e * e
-            if best is None or round(sse, 6) < best[0]:
-                best = (round(sse, 6), pct[:60].mean() + phi * z[-1] + theta * e)
-        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(best[1], rel=1e-9)
-    assert got[D0 + dt.timedelta(days=58)] is None
-
-
-def test_blocks_carry_state_and_score():
-    y = np.random.default_rng(3).normal(size=300)
-    for blocks in (lambda b: RC.garch_blocks(y, min_window=50, block=b), lambda b: RC.arma_blocks(y, block=b)):
-        (_, path, run), = blocks(1000)
-        parts = list(blocks(7))
-        assert np.array_equal(np.vstack([p for _, p, _ in parts]), path)
-        assert np.array_equal(np.vstack([s for _, _, s in parts]), run)
-
-
-def test_a_series_of_any_length():
-    n = 250_000
-    pdf = pd.DataFrame({"ticker": "A", "date": np.arange(n), "r": np.random.default_rng(4).normal(size=n)})
-    out = RC._garch_group(500, ["ticker"])(pdf)
-    assert np.isfinite(out["garch_conditional_volatility"][500:]).all() and out["garch_point"][499] == -1
+
+    def residuals(x, phi, theta, mean):
+        out = np.zeros(len(x))
+        for t in range(1, len(x)):
+            out[t] = x[t] - mean - phi * (x[t - 1] - mean) - theta * out[t - 1]
+        return out
+
+    for size in (RC.BLOCK_ROWS, 25):
+        got = {row.date: row.arima_mean_forecast_percent
+               for row in RC.rolling_forecast(_series(spark, r), block_rows=size).collect()}
+        assert len(got) == 120 and got[D0 + dt.timedelta(days=58)] is None
+        for T in range(59, 120, 30):
+            x, best = pct[:T + 1], None
+            for phi, theta in RC.ARMA_GRID:
+                # residuals are linear in the mean: two runs give the line, least squares the mean
+                a = residuals(x, phi, theta, 0.0)
+                c = a - residuals(x, phi, theta, 1.0)
+                mean = float(a @ c / (c @ c))
+                own = residuals(x, phi, theta, mean)
+                sse = round(float(own @ own), 6)
+                if best is None or sse < best[0]:
+                    best = (sse, mean + phi * (x[-1] - mean) + theta * own[-1])
+            assert got[D0 + dt.timedelta(days=T)] == pytest.approx(best[1], rel=1e-7)
+
+
+def test_forecasts_follow_a_mean_that_moves(spark):
+    rng = np.random.default_rng(8)
+    y = rng.normal(size=1500)
+    y[300:] += 3.0
+    got = RC.rolling_forecast(_series(spark, y / 100)).orderBy("date").collect()
+    f = np.array([np.nan if r.arima_mean_forecast_percent is None else r.arima_mean_forecast_percent for r in got])
+    plain = np.array([y[:t + 1].mean() for t in range(len(y))])
+    late = slice(300, len(y) - 1)
+    assert np.mean((y[1:][late] - f[:-1][late]) ** 2) <= np.mean((y[1:][late] - plain[:-1][late]) ** 2)
+    assert f[600:].mean() > 2.6  # a mean frozen at the first 60 rows gives 2.5
+
+
+def test_volatility_follows_a_scale_that_moves(spark):
+    rng = np.random.default_rng(9)
+    y = rng.normal(size=2600)
+    y[500:] *= 5.0
+    got = RC.garch_volatility(_series(spark, y / 100)).orderBy("date").collect()
+    vol = np.array([r.garch_conditional_volatility for r in got[1000:]])
+    assert vol.mean() == pytest.approx(5.0, rel=0.05)
+
+
+def test_awkward_series(spark):
+    rows = [("A", D0 + dt.timedelta(days=i), 0.0) for i in range(70)] + [(None, D0, 0.1), ("B", D0, None), ("C", D0, 0.2)]
+    df = spark.createDataFrame(rows, "ticker string, date date, log_return double")
+    f = {(r.ticker, r.date): r.arima_mean_forecast_percent for r in RC.rolling_forecast(df).collect()}
+    assert len(f) == 72 and f["A", D0 + dt.timedelta(days=69)] == pytest.approx(0.0) and f[None, D0] is None
+    v = RC.garch_volatility(df, min_window=20).collect()
+    assert len(v) == 72 and all(r.garch_conditional_volatility is None for r in v)
+    assert RC.rolling_forecast(df.limit(0)).count() == 0 and RC.garch_volatility(df.limit(0)).count() == 0
+
+
+def test_a_long_series_spreads_over_tasks(spark):
+    """A million rows of one ticker: no group holds more than a block and its halo."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("A").alias("ticker"), F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                               (F.randn(3) / 100).alias("log_return"))
+    sizes = RC.row_blocks(RC.garch_rows(df, 500, ["ticker"], "log_return")).groupBy("block").count()
+    assert sizes.agg(F.max("count"), F.count("*")).first() == (RC.BLOCK_ROWS + RC.HALO, n // RC.BLOCK_ROWS + 1)
+    out = RC.garch_volatility(df).agg(F.count("garch_conditional_volatility"), F.avg("garch_conditional_volatility")).first()
+    assert out[0] == n - 500 and out[1] == pytest.approx(1.0, rel=0.05)
 
 
 def test_sig_round_over_all_magnitudes(spark):
