@@ -19,7 +19,7 @@ from quiver.operators.features import normalize_price
 from quiver.plans.backtest_queries import LAST_CTE, RECOMMENDATION_SQL, ensemble_ctes, reports_from_summary
 from quiver.plans.finish import finish
 from quiver.plans.market_queries import MCOLS, RATIO_COLS, _market, market_ctes, processed, processed_ctes
-from quiver.plans.model_queries import NAIVE_CTE, _base, clf_sql, naive_pairs
+from quiver.plans.model_queries import RECENT_FIT, RECENT_FIT_SQL, with_recursive, NAIVE_CTE, _base, clf_sql, naive_pairs
 from quiver.plans.registry import register
 from quiver.plans.sqltext import rnd
 from quiver.session import ensure_checkpoint_dir, shared_path
@@ -149,7 +149,7 @@ def q_runs_log(spark, sf_dir):
     return finish(IO.compare_runs(spark, path, _CLF), ["run_id", "ticker", *_CLF])
 
 
-@register("model_store")
+@register("model_store", with_recursive(*RECENT_FIT) + RECENT_FIT_SQL)
 def q_model_store(spark, sf_dir):
     """Fitted GARCH parameters saved with their model type and loaded back (wrong type rejected)."""
     fit = RC.garch_recent_fit(B.prepare_returns(bars(spark, sf_dir)))

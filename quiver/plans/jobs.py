@@ -7,7 +7,6 @@ classifier fit.
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -110,11 +109,10 @@ def full_pipeline(spark: SparkSession, bars: DataFrame, instruments: DataFrame,
     IO.write_table(garch, f"{out_dir}/garch")
     garch = spark.read.parquet(f"{out_dir}/garch")
     feats = C.feature_matrix(garch)
-    samples = C.prepare_samples(feats)
-    IO.write_table(samples.drop("vec"), f"{out_dir}/samples")
-    samples = spark.read.parquet(f"{out_dir}/samples").withColumn("vec", array_to_vector("features"))
+    IO.write_table(C.sample_blocks(feats), f"{out_dir}/samples")
+    samples = spark.read.parquet(f"{out_dir}/samples")
     model = C.train_direction(samples)
-    IO.save_model(model, f"{out_dir}/model")
+    IO.save_params(model.table(spark), f"{out_dir}/model", "direction")
     pred = C.classifier_predictions(model, samples).select("ticker", "date", "predicted_probability_up")
     fc = RC.rolling_forecast(proc)
     market = B.market_regimes(garch, vix_level=vix_level)

@@ -401,7 +401,7 @@ def q_rolling_baseline(spark, sf_dir):
     return finish(out, ["ticker", *_CLF, *_REG])
 
 
-_RECENT_FIT = [SQL_VIEWS["bars"], returns_cte("bars", "ret"), f"""lr AS (SELECT ticker, r, row_number() OVER ({W}) - 1 AS i FROM (
+RECENT_FIT = [SQL_VIEWS["bars"], returns_cte("bars", "ret"), f"""lr AS (SELECT ticker, r, row_number() OVER ({W}) - 1 AS i FROM (
     SELECT ticker, date, 100.0 * log_return AS r FROM ret
     QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) <= 800) t)""",
                "li AS (SELECT ticker, count(*) AS n, avg(r) AS mu, var_samp(r) AS v0 FROM lr GROUP BY ticker)", GARCH_GRID_SQL,
@@ -411,13 +411,16 @@ _RECENT_FIT = [SQL_VIEWS["bars"], returns_cte("bars", "ret"), f"""lr AS (SELECT
   SELECT q.ticker, q.pid, q.a, q.b, q.i + 1, li.v0 * (1.0 - q.a - q.b) + q.a * (q.e * q.e) + q.b * q.s2, g.r - li.mu
   FROM lrec q JOIN li ON q.ticker = li.ticker JOIN lr g ON g.ticker = q.ticker AND g.i = q.i + 1)""",
                """lfit AS (SELECT ticker, pid, a, b, sum(-0.5 * (ln(s2) + e * e / s2)) AS ll, sqrt(arg_max(s2, i)) AS vol
-  FROM lrec GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY round(ll, 6) DESC, pid) = 1)"""]
+  FROM lrec GROUP BY ticker, pid, a, b QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY round(ll, 6) DESC, pid) = 1)"""]
 
 
-@register("garch_recent_fit", with_recursive(*_RECENT_FIT) + f"""
+RECENT_FIT_SQL = f"""
 SELECT ticker, n, {rnd(['mu', 'omega', 'alpha', 'beta', 'loglik', 'last_volatility'])} FROM (
   SELECT f.ticker, n, mu, v0 * (1 - a - b) AS omega, a AS alpha, b AS beta, ll AS loglik, vol AS last_volatility
-  FROM lfit f JOIN li ON f.ticker = li.ticker) t""")
+  FROM lfit f JOIN li ON f.ticker = li.ticker) t"""
+
+
+@register("garch_recent_fit", with_recursive(*RECENT_FIT) + RECENT_FIT_SQL)
 def q_garch_recent_fit(spark, sf_dir):
     """GARCH(1,1) grid parameters and log-likelihood on the last 800 returns per ticker."""
     return finish(RC.garch_recent_fit(_ret(spark, sf_dir)))

@@ -250,14 +250,117 @@ def test_forecast_orders_with_differencing(spark):
     assert got[D0 + dt.timedelta(days=59)] is None
 
 
-def test_classifier_fits_on_all_training_rows(spark):
-    from pyspark.ml.functions import array_to_vector
+def _features(spark, n=260, tickers=("A", "B"), seed=7):
+    """Two features and a target that the features of the row before foretell."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for t in tickers:
+        x = rng.normal(size=(n, 2)) * [1.0, 5.0] + [0.0, 100.0]
+        y = (np.concatenate(([0.0], x[:-1, 0])) + 0.5 * rng.normal(size=n) > 0).astype(int)
+        rows += [(t, D0 + dt.timedelta(days=i), float(x[i, 0]), float(x[i, 1]), int(y[i])) for i in range(n)]
+    return spark.createDataFrame(rows, "ticker string, date date, f1 double, f2 double, target int")
+
+
+def _numpy_samples(df, lookback):
+    """All lookback samples of every ticker by plain NumPy: X, y, weight, use, key."""
+    out = []
+    for t, g in df.toPandas().sort_values("date").groupby("ticker"):
+        n, cut = len(g), math.floor(len(g) * 0.8)
+        x, y = g[["f1", "f2"]].to_numpy(), g["target"].to_numpy()
+        sd = x[:cut].std(axis=0)
+        x = (x - x[:cut].mean(axis=0)) / np.where(sd == 0, 1, sd)
+        train = np.arange(lookback, cut)
+        for i in range(lookback, n):
+            k = i - lookback + 1
+            use = 3 if i >= cut else 2 if k > math.floor(len(train) * 0.8) else 1
+            same, classes = (y[train] == y[i]).sum(), len(set(y[train]))
+            out.append((x[i - lookback:i].ravel(), y[i], len(train) / (classes * same) if same else 1.0, use, (t, g["date"].iloc[i])))
+    return out
+
+
+def _numpy_fit(samples, epochs, patience, rate, l2):
+    X, y, c, use = (np.array([s[k] for s in samples]) for k in range(4))
+    w = np.zeros(X.shape[1] + 1)
+    one = np.column_stack((X, np.ones(len(X))))
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    train, val = use == 1, use == 2
+    best, history = (math.inf, 0, w), []
+
+    def bce(w):
+        z = one @ w
+        return np.log1p(np.exp(z)) - y * z
+
+    for e in range(epochs + 1):
+        n = train.sum()
+        loss = bce(w)
+        if e:
+            history.append((e, (c * loss)[train].sum() / n + l2 / 2 * (w[:-1] ** 2).sum(), loss[val].mean()))
+            if history[-1][2] < best[0]:
+                best = (history[-1][2], e, w)
+            elif e - best[1] >= patience:
+                break
+        g = one[train].T @ (c * (1 / (1 + np.exp(-one @ w)) - y))[train] / n + l2 * np.append(w[:-1], 0)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        w = w - rate * (m / (1 - 0.9 ** (e + 1))) / (np.sqrt(v / (1 - 0.999 ** (e + 1))) + 1e-8)
+    return best, history
+
+
+def test_epochs_agree_with_a_numpy_fit_and_stop_early(spark):
+    from quiver.operators import classifier as C
+
+    df = _features(spark)
+    for lookback, block in ((3, 512), (7, 32)):
+        blocks = C.sample_blocks(df, ["f1", "f2"], lookback=lookback, block=block).cache()
+        samples = _numpy_samples(df, lookback)
+        got = blocks.select("ticker", F.explode(F.arrays_zip("date", "use", "weight", "row")).alias("r"), "begin").where("r.row >= begin")
+        assert sorted((r.ticker, r.r.date, r.r.use, round(r.r.weight, 9)) for r in got.collect() if r.r.use) == sorted(
+            (*s[4], s[3], round(s[2], 9)) for s in samples)
+        model = C.train_direction(blocks, 2, lookback, epochs=60, patience=4, rate=0.3, l2=1e-3)
+        best, history = _numpy_fit(samples, 60, 4, 0.3, 1e-3)
+        assert len(model.history) == len(history) < 60 and model.best_epoch == best[1]
+        assert np.allclose(np.array(model.history, float), np.array(history), atol=1e-9)
+        assert np.allclose(np.append(model.weights.ravel(), model.intercept), best[2], atol=1e-9)
+        loss = {r.epoch: r for r in C.training_history(spark, model).collect()}
+        assert loss[best[1]].best and sum(r.best for r in loss.values()) == 1
+        p = {(r.ticker, r.date): r.predicted_probability_up for r in C.classifier_predictions(model, blocks).collect()}
+        for x, _, _, use, key in samples:
+            assert (key in p) == (use == 3)
+            if use == 3:
+                assert p[key] == pytest.approx(1 / (1 + math.exp(-(x @ best[2][:-1] + best[2][-1]))), abs=1e-9)
+        back = C.DirectionModel.from_table(model.table(spark))
+        assert np.array_equal(back.weights, model.weights) and back.intercept == model.intercept
+
+
+def test_next_day_probability_uses_the_last_rows(spark):
+    from quiver.operators import classifier as C
+
+    for n in (63, 64, 65, 96):  # the window ends before, at and after a block's border
+        df = _features(spark, n, ("A",))
+        blocks = C.sample_blocks(df, ["f1", "f2"], lookback=5, block=32)
+        model = C.DirectionModel(np.arange(10.0).reshape(5, 2) / 10 - 0.4, 0.1, [], 1)
+        row, = C.next_day_probability(model, blocks).collect()
+        x = C.standardize(C.chrono_flags(df), ["f1", "f2"]).orderBy("date").select("f1", "f2").toPandas().to_numpy()[-5:]
+        assert row.date == D0 + dt.timedelta(days=n - 1)
+        assert row.lstm_garch_probability_up == pytest.approx(1 / (1 + math.exp(-(float((x * model.weights).sum()) + 0.1))), rel=1e-9)
+    assert C.next_day_probability(model, C.sample_blocks(_features(spark, 4, ("A",)), ["f1", "f2"], lookback=5)).count() == 0
+
 
-    from quiver.operators import classifier
+def test_training_of_awkward_input(spark):
+    from quiver.operators import classifier as C
+
+    short = C.sample_blocks(_features(spark, 4), ["f1", "f2"], lookback=5)
+    model = C.train_direction(short, 2, 5)
+    assert model.history == [] and not model.weights.any() and C.classifier_predictions(model, short).count() == 0
+    one_class = C.sample_blocks(_features(spark, 80).withColumn("target", F.lit(1)), ["f1", "f2"], lookback=5, validation=0.0)
+    model = C.train_direction(one_class, 2, 5, epochs=3)
+    assert [h[2] for h in model.history] == [None] * 3 and model.best_epoch == 3 and model.intercept > 0
+
+
+def test_sample_table_is_not_a_table_of_windows(spark):
+    """Each row is stored once, and the lookback rows of a block a second time."""
+    from quiver.operators import classifier as C
 
-    # x tells the label only in the newest training rows
-    rows = [([0.0], float(i % 2), 1.0, True, False) for i in range(16)]
-    rows += [([float(i % 2)], float(i % 2), 1.0, True, True) for i in range(4)] + [([1.0], 0.0, 1.0, False, False)] * 9
-    df = spark.createDataFrame(rows, "x array<double>, label double, weight double, is_train boolean, is_validation boolean")
-    model = classifier.train_direction(df.withColumn("vec", array_to_vector("x")))
-    assert model.summary.predictions.count() == 20 and model.coefficients[0] > 0
+    n = 2000
+    blocks = C.sample_blocks(_features(spark, n, ("A",)), ["f1", "f2"], lookback=30)
+    values = blocks.agg(F.sum(F.size("x"))).first()[0]
+    assert 2 * n <= values <= 2 * n * 1.1
