@@ -318,61 +318,98 @@ def ar1_forecast(returns: DataFrame, min_rows: int = ARMA_MIN_ROWS, keys: Sequen
     return out.withColumn("ar1_forecast_percent", fc).drop("_y", "_x", "_n")
 
 
-def arma_grid(p: int, q: int, step: float = 0.3, bound: float = 0.9) -> tuple[tuple[float, ...], ...]:
-    """Grid of (phi_1..phi_p, theta_1..theta_q) points with coefficients from
-    -bound to bound in ``step`` increments (a parameter, not a table)."""
-    import itertools
-    k = int(round(2 * bound / step))
-    vals = tuple(round(-bound + step * i, 6) for i in range(k + 1))
-    return tuple(itertools.product(vals, repeat=p + q)) if p + q else ((),)
+# -- ARMA(p, q) of any order by two-stage regression ----------------------------
+def _products(z: np.ndarray, x: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """Upper products of the regressors and their products with x, per row; 0 for rows not used."""
+    i, j = np.triu_indices(z.shape[1])
+    return np.column_stack((z[:, i] * z[:, j], z * x[:, None])) * ok[:, None]
 
 
-def _arma_pq_group(p: int, d: int, q: int, grid, min_rows: int, keys: Sequence[str]):
-    g = np.array(grid, dtype=float).reshape(len(grid), p + q)
-    phi, theta = g[:, :p], g[:, p:]
+def _coefficients(sums: np.ndarray, k: int) -> np.ndarray:
+    """Least-squares coefficients per row of summed products, with a ridge far below the data's scale."""
+    i, j = np.triu_indices(k)
+    gram = np.empty((len(sums), k, k))
+    gram[:, i, j] = gram[:, j, i] = sums[:, :len(i)]
+    gram[:, range(k), range(k)] += 1e-10 * np.trace(gram, axis1=1, axis2=2)[:, None] / k + 1e-300
+    return np.linalg.solve(gram, sums[:, len(i):, None])[:, :, 0]
 
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        n = len(pdf)
-        y = pdf["y"].to_numpy(dtype=float)
-        x = np.diff(y, n=d) if d else y
-        fc = np.full(n, np.nan)
-        m = len(x)
-        if m >= min_rows:
-            mu = x[:min_rows].mean()
-            z = x - mu
-            score = np.zeros(len(grid))
-            e = np.zeros((max(q, 1), len(grid)))  # the last residuals, newest first
-            f = np.full(m, np.nan)
-            with np.errstate(over="ignore", invalid="ignore"):
-                for t in range(m):
-                    if t >= max(p, q, 1):
-                        acc = z[t] - phi @ z[t - 1 - np.arange(p)] if p else np.full(len(grid), z[t])
-                        acc = acc - (theta * e[:q].T).sum(axis=1) if q else acc
-                        score = score + acc * acc
-                        score[~np.isfinite(score)] = np.inf  # an explosive point never becomes best
-                        e = np.vstack((acc, e[:-1]))
-                    if t >= min_rows - 1:
-                        b = int(_best_by(score[None], maximize=False)[0])
-                        back = z[t - np.arange(min(p, t + 1))]
-                        f[t] = mu + (phi[b, :len(back)] * back).sum() + (theta[b] * e[:q, b]).sum()
-            # undo the differencing: the last value of every lower difference
-            for i in range(1, d + 1):
-                f = f + (-1) ** (i + 1) * math.comb(d, i) * y[d + 1 - i:n + 1 - i]
-            fc[n - m + min_rows - 1:] = f[min_rows - 1:]
-        out = pdf[[*keys, "date"]].copy()
-        out["forecast_percent"] = fc
-        return out
-    return fn
+
+def _lags(v: np.ndarray, n: int) -> np.ndarray:
+    """[rows, n] of the values 1..n rows before; NaN before the first."""
+    return np.column_stack([np.concatenate((np.full(min(k, len(v)), np.nan), v[:len(v) - k])) for k in range(1, n + 1)]) \
+        if n else np.zeros((len(v), 0))
+
+
+def _design(pdf: pd.DataFrame, parts: Sequence[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(regressors, x, rows that can be used): a constant and the lags of the columns in ``parts``."""
+    z = np.column_stack([np.ones(len(pdf)), *[_lags(pdf[c].to_numpy(float), n) for c, n in parts]])
+    x = pdf["x"].to_numpy(float)
+    ok = np.isfinite(z).all(1) & np.isfinite(x)
+    return np.where(ok[:, None], z, 0.0), np.where(ok, x, 0.0), ok
 
 
-def forecast_orders(returns: DataFrame, order: tuple[int, int, int] = (2, 0, 2), step: float = 0.3,
-                    min_rows: int = ARMA_MIN_ROWS, keys: Sequence[str] = KEYS, col: str = "log_return") -> DataFrame:
-    """The rolling forecast for a general (p, d, q) order: d by differencing,
-    then the same one-pass grid estimator over (phi_1..p, theta_1..q)."""
+def _regression(blocks: DataFrame, keys: Sequence[str], size: int, parts: Sequence[tuple[str, int]], value, out: str) -> DataFrame:
+    """Expanding least squares of x on the lags in ``parts``: ``value`` (rows,
+    halo, sums of products through each own row) gives the column ``out``."""
+    def totals(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, halo = _block_rows(pdf, size)
+        if halo == len(pdf):
+            return _totals_frame(pdf, keys, total=np.zeros(0))
+        return _totals_frame(pdf, keys, total=_products(*_design(pdf, parts))[halo:].sum(0))
+
+    def emit(pdf: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+        columns = [*keys, "date", "row", "x", "level"]
+        if not len(pdf):
+            return pd.DataFrame({c: [] for c in [*columns, out]})
+        pdf, halo = _block_rows(pdf, size)
+        got = pdf[columns].iloc[halo:].astype({k: object for k in [*keys, "date"]})
+        got[out] = value(pdf, halo, start.sort_values("point")["total"].to_numpy() + np.cumsum(
+            _products(*_design(pdf, parts))[halo:], axis=0)) if len(got) else []
+        return got
+
+    return _by_blocks(blocks, keys, totals, emit, ["total"], f"date date, row bigint, x double, level double, {out} double")
+
+
+def forecast_orders(returns: DataFrame, order: tuple[int, int, int] = (2, 0, 2), min_rows: int = ARMA_MIN_ROWS,
+                    keys: Sequence[str] = KEYS, col: str = "log_return", long_ar: int = 10, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The rolling forecast (percent) for a general (p, d, q) order by two
+    regressions (Hannan and Rissanen): an autoregression of ``long_ar`` lags
+    gives the innovations, then the differenced series is regressed on its p lags
+    and q lagged innovations. Both are fitted anew at every cutoff from
+    running sums of products; an innovation uses the coefficients of the
+    row before it, so no value looks ahead. NULL before ``min_rows`` differences."""
     p, d, q = order
-    grid = arma_grid(p, q, step)
+    w, y = series_window(keys), F.col("y")
     src = returns.filter(F.col(col).isNotNull()).select(*keys, "date", (F.col(col) * 100.0).alias("y"))
-    key_schema = ", ".join(f"{k} {src.schema[k].dataType.simpleString()}" for k in keys)
-    schema = f"{key_schema}, date date, forecast_percent double"
-    return src.groupBy(*keys).applyInPandas(_arma_pq_group(p, d, q, grid, min_rows, keys), schema)
+    lagged = [F.lag(y, i).over(w) * float((-1) ** i * math.comb(d, i)) for i in range(1, d + 1)]
+    x, level = y, F.lit(0.0)
+    for term in lagged:
+        x = x + term
+    for i in range(d):  # what the next difference is added to
+        level = level + F.lag(y, i).over(w) * float((-1) ** i * math.comb(d, i + 1))
+    rows = src.select(*keys, "date", x.alias("x"), level.alias("level"), (F.row_number().over(w) - 1).cast("long").alias("row"))
+    halo = max(long_ar, p, q) + 1
+    if q:
+        k = long_ar + 1
+
+        def innovations(pdf: pd.DataFrame, halo: int, sums: np.ndarray) -> np.ndarray:
+            z, own, ok = (a[halo:] for a in _design(pdf, [("x", long_ar)]))
+            first = _products(*_design(pdf, [("x", long_ar)]))[halo:halo + 1]
+            before = np.concatenate((sums[:1] - first, sums[:-1]))
+            enough = pdf["row"].to_numpy()[halo:] >= d + 2 * k + long_ar
+            return np.where(ok & enough, own - (z * _coefficients(before, k)).sum(1), np.nan)
+
+        rows = _regression(row_blocks(rows, block_rows, halo), keys, block_rows, [("x", long_ar)], innovations, "e")
+    else:
+        rows = rows.withColumn("e", F.lit(0.0))
+    parts = [("x", p), ("e", q)]
+
+    def forecasts(pdf: pd.DataFrame, halo: int, sums: np.ndarray) -> np.ndarray:
+        v = {c: pdf[c].to_numpy(float) for c in ("x", "e", "level")}
+        ahead = np.column_stack([np.ones(len(pdf)), *[np.column_stack((v[c], _lags(v[c], n - 1))) for c, n in parts if n]])[halo:]
+        f = (ahead * _coefficients(sums, 1 + p + q)).sum(1) + v["level"][halo:]
+        return np.where(pdf["row"].to_numpy()[halo:] >= d + min_rows - 1, f, np.nan)
+
+    out = _regression(row_blocks(rows, block_rows, halo), keys, block_rows, parts, forecasts, "forecast_percent")
+    known = ~F.isnan("forecast_percent")
+    return out.select(*keys, "date", F.when(known, F.col("forecast_percent")).alias("forecast_percent"))

@@ -39,7 +39,7 @@ def q_predict_job(spark, sf_dir):
 
 @register("forecast_orders")
 def q_forecast_orders(spark, sf_dir):
-    """Rolling ARMA(2,0,2) grid forecasts (coefficients -0.9..0.9 in steps of 0.3)."""
+    """Rolling ARMA(2,0,2) forecasts by two-stage regression at every cutoff."""
     return finish(RC.forecast_orders(B.prepare_returns(bars(spark, sf_dir)), (2, 0, 2)))
 
 

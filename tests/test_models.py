@@ -223,31 +223,51 @@ def test_lookback_windows_shape_and_order(spark):
     assert C.lookback_windows(short, ["f1", "f2"], lookback=3).count() == 0
 
 
-def test_forecast_orders_with_differencing(spark):
-    """(1,1,0): forecast of the level = last level + best AR(1) forecast of the
-    differenced series, refit on every prefix by brute force."""
+def _two_stage(x, p, q, long_ar):
+    """Forecast of the next x from all of x: both regressions by lstsq on every prefix."""
+    def fit(rows, y):
+        return np.linalg.lstsq(np.array(rows), np.array(y), rcond=None)[0]
+
+    n = len(x)
+    e = np.full(n, np.nan)
+    if q:
+        z = {t: np.array([1.0, *x[t - long_ar:t][::-1]]) for t in range(long_ar, n)}
+        for t in range(2 * (long_ar + 1) + long_ar, n):
+            e[t] = x[t] - z[t] @ fit([z[s] for s in range(long_ar, t)], [x[s] for s in range(long_ar, t)])
+
+    def row(t):
+        return [1.0, *[x[t - i] for i in range(1, p + 1)], *[e[t - i] for i in range(1, q + 1)]]
+
+    use = [t for t in range(p, n) if t >= q and np.isfinite(row(t)).all()]
+    return float(np.array(row(n)) @ fit([row(t) for t in use], [x[t] for t in use]))
+
+
+@pytest.mark.parametrize("order", [(1, 1, 0), (2, 0, 2), (0, 2, 1)])
+def test_forecast_orders_equal_regressions_per_cutoff(spark, order):
+    p, d, q = order
     rng = np.random.default_rng(6)
-    r = np.cumsum(rng.normal(size=110)) / 100.0
-    got = {row.date: row.forecast_percent
-           for row in RC.forecast_orders(_series(spark, r), (1, 1, 0), step=0.3).collect()}
+    r = np.cumsum(rng.normal(size=130)) / 100.0 if d else rng.normal(size=130) / 100.0
+    df = _series(spark, r)
     y = r * 100
-    grid = RC.arma_grid(1, 0, 0.3)
-    for T in range(61, 110, 9):
-        x = np.diff(y[:T + 1])
-        mu = x[:60].mean()
-        z = x - mu
-        best, best_sse = None, None
-        for k, (phi,) in enumerate(grid):
-            e = np.zeros(len(z))
-            for t in range(1, len(z)):
-                e[t] = z[t] - phi * z[t - 1]
-            sse = round(float(np.sum(e * e)), 6)
-            if best_sse is None or sse < best_sse:
-                best, best_sse = k, sse
-        phi = grid[best][0]
-        expect = y[T] + mu + phi * z[-1]
-        assert got[D0 + dt.timedelta(days=T)] == pytest.approx(expect, rel=1e-9)
-    assert got[D0 + dt.timedelta(days=59)] is None
+    for size in (RC.BLOCK_ROWS, 20):
+        got = {row.date: row.forecast_percent for row in RC.forecast_orders(df, order, long_ar=5, block_rows=size).collect()}
+        assert len(got) == 130 and got[D0 + dt.timedelta(days=d + 58)] is None
+        for T in (d + 59, 100, 129):
+            expect = _two_stage(np.diff(y[:T + 1], n=d), p, q, 5)
+            for i in range(d):  # undo the differences
+                expect += np.diff(y[:T + 1], n=i)[-1]
+            assert got[D0 + dt.timedelta(days=T)] == pytest.approx(expect, rel=1e-5, abs=1e-6)
+
+
+def test_forecast_orders_come_near_the_true_model(spark):
+    """ARMA(2, 2): squared error within 5 % of the forecasts that know the parameters."""
+    rng = np.random.default_rng(12)
+    n, phi, theta = 4000, (0.5, -0.3), (0.4, 0.2)
+    e, y = rng.normal(size=n), np.zeros(n)
+    for t in range(2, n):
+        y[t] = 1.0 + phi[0] * (y[t - 1] - 1) + phi[1] * (y[t - 2] - 1) + e[t] + theta[0] * e[t - 1] + theta[1] * e[t - 2]
+    f = np.array([r.forecast_percent for r in RC.forecast_orders(_series(spark, y / 100)).orderBy("date").collect()], float)
+    assert np.mean((y[1001:] - f[1000:-1]) ** 2) < 1.05 * np.mean(e[1001:] ** 2)
 
 
 def _features(spark, n=260, tickers=("A", "B"), seed=7):
