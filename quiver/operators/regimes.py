@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiver.functions.scalar import clip_keep_null
-from quiver.functions.windows import KEYS, expanding, guarded
+from quiver.functions.windows import KEYS, expanding, guarded, series_window
 
 # Regime labels and the decision thresholds of the rules.
 HIGH_VOL, LOW_VOL = "high_vol", "low_vol"
@@ -99,67 +99,61 @@ def trade_outcome(position: str = "position", nxt: str = "next_day_return") -> C
             .when(held & (F.col(nxt) <= 0), 0))
 
 
-def _expanding_quantile_values(v, q: float, min_periods: int):
-    """Exact expanding quantile (linear interpolation) in O(n log n): values
-    are ranked once, a Fenwick tree counts the ranks seen so far and the two
-    order statistics around q * (m - 1) are found by binary lifting."""
-    import numpy as np
-
-    n = len(v)
-    out = np.full(n, np.nan)
-    ok = ~np.isnan(v)
-    uniq = np.unique(v[ok])
-    ranks = np.searchsorted(uniq, v)
-    size = len(uniq)
-    tree = [0] * (size + 1)
-    top = 1 << max(size.bit_length() - 1, 0) if size else 0
-
-    def kth(k):  # 0-based k-th smallest among inserted values
-        pos, rem, step = 0, k + 1, top
-        while step:
-            nxt = pos + step
-            if nxt <= size and tree[nxt] < rem:
-                pos = nxt
-                rem -= tree[nxt]
-            step >>= 1
-        return uniq[pos]
-
-    m = 0
-    for t in range(n):
-        if ok[t]:
-            i = int(ranks[t]) + 1
-            while i <= size:
-                tree[i] += 1
-                i += i & -i
-            m += 1
-        if m >= min_periods and m > 0:
-            pos = q * (m - 1)
-            k = int(pos)
-            frac = pos - k
-            lo = kth(k)
-            out[t] = lo if frac == 0 else lo + (kth(k + 1) - lo) * frac
-    return out
+#: Rows of the large and small blocks of ``with_expanding_quantile``.
+LARGE, SMALL = 1 << 14, 1 << 7
+
+
+def _near_quantile(values: Column, below: Column, m: Column, q: float, rows: int) -> tuple[Column, Column]:
+    """Of ``m`` sorted values, given without the ``below`` smallest, those that can be
+    around the quantile until ``rows`` more are added, and how many are below them."""
+    k = F.floor((m - 1) * q)
+    low = F.greatest(F.lit(0), k - rows - 4)
+    high = F.least(m - 1, k + rows + 4)
+    return F.slice(values, (low - below + 1).cast("int"), (high - low + 1).cast("int")), low
 
 
 def with_expanding_quantile(df: DataFrame, col: str, out: str, q: float = 0.75, min_periods: int = 252,
-                            keys: Sequence[str] = KEYS) -> DataFrame:
-    """E12 as a column added per series by one grouped pass.
+                            keys: Sequence[str] = KEYS, large: int = LARGE, small: int = SMALL) -> DataFrame:
+    """E12 as a column, exact, from order statistics over blocks of rows.
 
     Same result as ``expanding_quantile`` (Spark's ``percentile`` over a
-    growing frame), which re-sorts the frame's values at every row (O(n^2 log n)
-    per series); this pass is O(n log n). Groups are single series of daily
-    bars (calendar-bounded).
+    growing frame), which re-sorts the frame's values at every row. b rows more
+    move the quantile's rank among the values before by at most b + 1, so a
+    block needs only the sorted values that close to it: blocks of ``large``
+    rows get them from all values before, blocks of ``small`` rows from
+    these and the rows between, a row from these and the rows of its block.
+    Array expressions on rows that are already together per series: no
+    shuffle is added, and no array but the values before a large block
+    (none for series up to ``large`` rows) grows with the series.
     """
-    import pandas as pd
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    schema = StructType([f for f in df.schema.fields if f.name != out] + [StructField(out, DoubleType())])
-    names = [f.name for f in schema.fields]
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date").reset_index(drop=True)
-        vals = pd.to_numeric(pdf[col], errors="coerce").to_numpy(dtype=float)
-        pdf[out] = _expanding_quantile_values(vals, q, min_periods)
-        return pdf[names]
-
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+    names = [c for c in df.columns if c != out and c not in keys]
+    v = F.col(col).cast("double")
+    rows = df.select(*keys, *names, F.when(~F.isnan(v), v).alias("_v"), (F.row_number().over(series_window(keys)) - 1).alias("_i"))
+    kept = F.struct("_i", "_v", F.struct(*names).alias("_r"))
+    blocks = rows.groupBy(*keys, F.floor(F.col("_i") / large).alias("_b")).agg(F.array_sort(F.collect_list(kept)).alias("_rows"))
+    blocks = blocks.select(*keys, "_b", "_rows", F.transform("_rows", lambda x: x["_v"]).alias("_vals"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_prev", F.sort_array(F.array_compact(F.flatten(F.collect_list("_vals").over(before)))))
+    near, low = _near_quantile(F.col("_prev"), F.lit(0), F.size("_prev"), q, large)
+    blocks = blocks.select(*keys, "_rows", "_vals", near.alias("_near"), low.alias("_low"), F.size("_prev").alias("_m"))
+
+    c = F.col("_c") * small
+    parts = blocks.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.size("_rows") - 1) / small).cast("int"))))
+    parts = parts.select(*keys, F.slice("_rows", c + 1, F.lit(small)).alias("_rows"), F.slice("_vals", c + 1, F.lit(small)).alias("_vals"),
+                         "_near", "_low", "_m", F.array_compact(F.slice("_vals", F.lit(1), c)).alias("_more"))
+    parts = parts.select(*keys, "_rows", "_vals", "_low", F.sort_array(F.concat("_near", "_more")).alias("_near"),
+                         (F.col("_m") + F.size("_more")).alias("_m"))
+    near, low = _near_quantile(F.col("_near"), F.col("_low"), F.col("_m"), q, small)
+    parts = parts.select(*keys, "_rows", "_vals", near.alias("_near"), low.alias("_low"), "_m")
+
+    one = parts.select(*keys, "_vals", "_near", "_low", "_m", F.posexplode("_rows").alias("_p", "_row"))
+    one = one.select(*keys, "_row", "_near", "_low", "_m", F.array_compact(F.slice("_vals", F.lit(1), F.col("_p") + 1)).alias("_more"))
+    one = one.select(*keys, "_row", "_low", (F.col("_m") + F.size("_more")).alias("_m"), F.sort_array(F.concat("_near", "_more")).alias("_near"))
+    place = (F.col("_m") - 1) * q
+    k = F.floor(place)
+    a = F.get("_near", (k - F.col("_low")).cast("int"))
+    b = F.get("_near", (k - F.col("_low") + 1).cast("int"))
+    value = F.when(place == k, a).otherwise(a + (b - a) * (place - k))
+    shown = (F.col("_m") >= min_periods) & (F.col("_m") > 0)
+    cols = [F.col(n) if n in keys else F.col(f"_row._r.`{n}`").alias(n) for n in df.columns if n != out]
+    return one.select(*cols, F.when(shown, value).alias(out))

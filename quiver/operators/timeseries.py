@@ -36,8 +36,6 @@ KPSS_PVALS = (0.10, 0.05, 0.025, 0.01)
 KPSS_GAMMA = 1.1447
 
 Z975 = 1.959963984540054
-# int(n ** (2/9)) for the largest series a grouped job accepts (200 000 rows)
-COVLAGS_MAX = 15
 
 
 def _prep(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
@@ -204,59 +202,41 @@ def kpss_test(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS,
     automatic lag rule (or a fixed ``nlags``); p-value interpolated in the
     critical-value table and clipped to [0.01, 0.10].
 
-    Per-series statistics and the automatic lag are whole-partition window
-    aggregates over one sort (first-stage autocovariances as lag columns,
-    int(n ** (2/9)) <= COVLAGS_MAX within the series bound); the Bartlett sum
-    over any number of lags is then linear in n (prefix sums and one
-    shifted-index equi-join).
+    Both stages sum products with the L rows before, sum_t e_t sum_j w_j e_{t-j}.
+    With prefix sums P_t = sum_{k<=t} e_k and Q_t = sum_{k<=t} k e_k, the plain
+    and the j-weighted sum over rows t-L..t-1 are dP and t dP - dQ, where d is
+    the value at t-1 minus the value at t-L-1. The latter comes from one
+    equi-join on the shifted row index: linear in n for any L, no lag columns.
     """
     base = _prep(df, value, keys)
-    w = series_window(keys)
-    part = Window.partitionBy(*keys)
+    w, fr = series_window(keys), expanding(keys)
+    rows = base.withColumns({"_P": F.sum("_c").over(fr), "_Q": F.sum(F.col("_i") * F.col("_c")).over(fr)})
+
+    def products(rows: DataFrame, plain: str, weighted: str) -> DataFrame:
+        """Per series the two sums over the ``_lags`` rows before each row, with _n, _ss and _g0."""
+        rows = rows.withColumns({"_P1": F.coalesce(F.lag("_P").over(w), F.lit(0.0)),
+                                 "_Q1": F.coalesce(F.lag("_Q").over(w), F.lit(0.0))})
+        far = rows.select(*keys, (F.col("_i") + F.col("_lags") + 1).alias("_i"), F.col("_P").alias("_Pf"), F.col("_Q").alias("_Qf"))
+        j = rows.join(far, [*keys, "_i"], "left")
+        d_p = F.col("_P1") - F.coalesce(F.col("_Pf"), F.lit(0.0))
+        d_q = F.col("_Q1") - F.coalesce(F.col("_Qf"), F.lit(0.0))
+        return j.groupBy(*keys).agg(
+            F.first("_n").alias("_n"), F.first("_lags").alias("_lags"), F.sum(F.col("_P") * F.col("_P")).alias("_ss"),
+            F.sum(F.col("_c") * F.col("_c")).alias("_g0"), F.sum(F.col("_c") * d_p).alias(plain),
+            F.sum(F.col("_c") * (F.col("_i") * d_p - d_q)).alias(weighted))
+
     n = F.col("_n")
-    cols = {"_s": F.sum("_c").over(expanding(keys))}
-    cols.update({f"_l{j}": F.lag("_c", j).over(w) for j in range(1, COVLAGS_MAX + 1)})
-    lagged = base.withColumns(cols)
-    stats = lagged.withColumns({
-        "_ss": F.sum(F.col("_s") * F.col("_s")).over(part),
-        "_g0": F.sum(F.col("_c") * F.col("_c")).over(part),
-        **{f"_a{j}": F.sum(F.col("_c") * F.col(f"_l{j}")).over(part) for j in range(1, COVLAGS_MAX + 1)},
-    })
     if nlags is None:
-        cl = F.floor(F.pow(n, 2.0 / 9.0)).cast("int")
-        stats = stats.withColumn("_cl", F.when(cl > COVLAGS_MAX, F.raise_error(F.lit(
-            "KPSS: series longer than the grouped-job bound; resample before testing"))).otherwise(cl))
-        terms = [F.when(F.lit(j) <= F.col("_cl"), F.coalesce(F.col(f"_a{j}"), F.lit(0.0)) / (n / 2.0))
-                 .otherwise(F.lit(0.0)) for j in range(1, COVLAGS_MAX + 1)]
-        sp = terms[0]
-        s1 = terms[0] * 1
-        for j, t in enumerate(terms[1:], start=2):
-            sp = sp + t
-            s1 = s1 + t * j
-        stats = stats.withColumn("_sh", s1 / (F.col("_g0") / n + sp))
-        auto = F.floor(F.lit(KPSS_GAMMA) * F.pow(F.col("_sh") * F.col("_sh"), 1.0 / 3.0) * F.pow(n, 1.0 / 3.0))
-        lags = F.least(auto, n - 1).cast("int")
+        first = products(rows.withColumn("_lags", F.floor(F.pow(n, 2.0 / 9.0)).cast("int")), "_sp", "_s1")
+        share = (F.col("_s1") / (n / 2.0)) / (F.col("_g0") / n + F.col("_sp") / (n / 2.0))
+        auto = F.floor(F.lit(KPSS_GAMMA) * F.pow(share * share, 1.0 / 3.0) * F.pow(n, 1.0 / 3.0))
+        chosen = first.select(*keys, F.least(auto, n - 1).cast("int").alias("_lags"))
+        rows = rows.join(chosen, list(keys))
     else:
-        lags = F.least(F.lit(nlags), n - 1).cast("int")
-    rows = stats.select(*keys, "date", "_i", "_c", "_n", "_ss", "_g0", lags.alias("_lags"))
-    # Bartlett sum sum_j (1 - j/(L+1)) gamma_j in O(n): with prefix sums
-    # P_t = sum_{k<=t} e_k and Q_t = sum_{k<=t} k e_k, the weighted trailing
-    # sum of e over rows t-L..t-1 is dP - (t dP - dQ) / (L + 1), where
-    # d = value at t-1 minus value at t-L-1. The t-L-1 values come from one
-    # equi-join on the shifted row index (no fan-out, whatever L is).
-    fr = expanding(keys)
-    rows = rows.withColumns({"_P": F.sum("_c").over(fr), "_Q": F.sum(F.col("_i") * F.col("_c")).over(fr)})
-    rows = rows.withColumns({"_P1": F.coalesce(F.lag("_P").over(w), F.lit(0.0)),
-                             "_Q1": F.coalesce(F.lag("_Q").over(w), F.lit(0.0))})
-    far = rows.select(*keys, (F.col("_i") + F.col("_lags") + 1).alias("_i"),
-                      F.col("_P").alias("_Pf"), F.col("_Q").alias("_Qf"))
-    j = rows.join(far, [*keys, "_i"], "left")
-    d_p = F.col("_P1") - F.coalesce(F.col("_Pf"), F.lit(0.0))
-    d_q = F.col("_Q1") - F.coalesce(F.col("_Qf"), F.lit(0.0))
-    inner = d_p - (F.col("_i") * d_p - d_q) / (F.col("_lags") + 1.0)
-    res = j.groupBy(*keys).agg(F.first("_n").alias("_n"), F.first("_ss").alias("_ss"),
-                               F.first("_g0").alias("_g0"), F.first("_lags").alias("_lags"),
-                               F.sum(F.col("_c") * inner).alias("_wh"))
+        rows = rows.withColumn("_lags", F.least(F.lit(nlags), n - 1).cast("int"))
+    res = products(rows, "_pl", "_wt")
+    # the Bartlett weight of lag j is 1 - j / (L + 1)
+    res = res.withColumn("_wh", F.col("_pl") - F.col("_wt") / (F.col("_lags") + 1.0))
     wsum = 2.0 * F.coalesce(F.col("_wh"), F.lit(0.0))
     sigma = (F.col("_g0") + F.when(F.col("_lags") > 0, wsum).otherwise(0.0)) / n
     eta = F.col("_ss") / (n * n)
@@ -296,38 +276,28 @@ def acf(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, nlags:
     return longf.select(*keys, "lag", "acf", (F.lit(Z975) * F.sqrt(var)).alias("band"))
 
 
-def levinson_durbin(r: np.ndarray) -> np.ndarray:
-    """Partial autocorrelations phi_kk for k = 1..len(r)-1 from r[0..K]."""
-    k_max = len(r) - 1
-    pac = np.zeros(k_max + 1)
-    pac[0] = 1.0
-    phi = np.zeros(k_max + 1)
-    v = r[0]
-    for k in range(1, k_max + 1):
-        a = (r[k] - np.dot(phi[1:k], r[1:k][::-1])) / v
-        new = phi.copy()
-        new[k] = a
-        new[1:k] = phi[1:k] - a * phi[1:k][::-1]
-        phi = new
-        v = v * (1.0 - a * a)
-        pac[k] = a
-    return pac
+def durbin_levinson(r) -> F.Column:
+    """Partial autocorrelations of lags 0..K from the array r of the
+    autocorrelations of lags 0..K: the recursion carries the last order's
+    coefficients, its error and the result as one aggregate's state."""
+    none = F.array().cast("array<double>")
 
+    def step(s, k):
+        before = F.transform(s["phi"], lambda c, j: c * F.get(r, k - 1 - j))
+        a = F.try_divide(F.get(r, k) - F.aggregate(before, F.lit(0.0), lambda x, y: x + y), s["v"])
+        phi = F.zip_with(s["phi"], F.reverse(s["phi"]), lambda x, y: x - a * y)
+        return F.struct(F.concat(phi, F.array(a)).alias("phi"), (s["v"] * (1.0 - a * a)).alias("v"), F.concat(s["pac"], F.array(a)).alias("pac"))
 
-def pacf(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, nlags: int = 40) -> DataFrame:
-    """Partial autocorrelation (Yule-Walker, Levinson-Durbin on the ACF)
-    per key; the grouped solve sees at most ``nlags + 1`` rows per key."""
-    a = acf(df, value, keys, nlags).select(*keys, "lag", "acf")
-    key_schema = ", ".join(f"{k} {a.schema[k].dataType.simpleString()}" for k in keys)
+    start = F.struct(none.alias("phi"), F.get(r, F.lit(0)).alias("v"), F.array(F.lit(1.0)).alias("pac"))
+    return F.aggregate(F.sequence(F.lit(1), F.size(r) - 1), start, step, lambda s: s["pac"])
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("lag")
-        pac = levinson_durbin(pdf["acf"].to_numpy(dtype=float))
-        out = pdf[[*keys, "lag"]].copy()
-        out["pacf"] = pac
-        return out
 
-    return a.groupBy(*keys).applyInPandas(solve, f"{key_schema}, lag int, pacf double")
+def pacf(df: DataFrame, value: str = "value", keys: Sequence[str] = KEYS, nlags: int = 40) -> DataFrame:
+    """Partial autocorrelation (Yule-Walker, Durbin-Levinson on the ACF)
+    per key, as one expression over the ``nlags + 1`` autocorrelations."""
+    a = acf(df, value, keys, nlags).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("lag", "acf"))).alias("_a"))
+    a = a.select(*keys, F.transform("_a", lambda x: x["acf"]).alias("_r"))
+    return a.select(*keys, F.posexplode(durbin_levinson(F.col("_r"))).alias("lag", "pacf"))
 
 
 def stack_series(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:

@@ -154,7 +154,17 @@ def q_acf(spark, sf_dir):
     return finish(TS.acf(_sq_series(spark, sf_dir), "value", ["ticker", "series"], NL))
 
 
-@register("pacf")
+_PACF = ["""pr AS (SELECT ticker, series, list(acf ORDER BY lag) AS r FROM acf GROUP BY ticker, series)""",
+         """pk(ticker, series, k, r, phi, v, a) AS (
+  SELECT ticker, series, 0, r, CAST([] AS DOUBLE[]), r[1], CAST(1.0 AS DOUBLE) FROM pr
+  UNION ALL
+  SELECT ticker, series, k + 1, r, list_append(CAST(list_transform(phi, lambda c, j: c - b * phi[k + 1 - j]) AS DOUBLE[]), b), v * (1.0 - b * b), b
+  FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(phi, lambda c, j: c * r[k + 2 - j])), 0.0)) / v AS b FROM pk
+        WHERE k < len(r) - 1) t)"""]
+
+
+@register("pacf", _with(_SQ, *acf_sql("sq", "value", "ticker, series"), *_PACF).replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT ticker, series, CAST(k AS INTEGER) AS lag, round(a, 6) + 0.0 AS pacf FROM pk""")
 def q_pacf(spark, sf_dir):
     """Partial autocorrelation (Yule-Walker / Levinson-Durbin) to lag 40."""
     return finish(TS.pacf(_sq_series(spark, sf_dir), "value", ["ticker", "series"], NL))

@@ -163,6 +163,23 @@ def test_kpss_matches_numpy(spark, kind):
     assert r.p_value == pytest.approx(p, rel=1e-9) and r.lags_used == lags
 
 
+def test_kpss_of_a_million_rows(spark):
+    """Beyond 262,144 rows the first stage has over 15 lags."""
+    n = 1_000_000
+    df = spark.range(n).select(F.lit("A").alias("ticker"), F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+                               (F.sin(F.col("id") / 3.0) + F.randn(5)).alias("value")).cache()
+    x = np.array([r.value for r in df.orderBy("date").select("value").collect()])
+    e = x - x.mean()
+    gamma = [np.dot(e[j:], e[:n - j]) for j in range(1, int(n ** (2.0 / 9.0)) + 1)]
+    s0 = (e @ e) / n + sum(g / (n / 2.0) for g in gamma)
+    s1 = sum(j * g / (n / 2.0) for j, g in enumerate(gamma, 1))
+    lags = min(int(1.1447 * ((s1 / s0) ** 2) ** (1 / 3) * n ** (1 / 3)), n - 1)
+    total = e @ e + sum(2 * np.dot(e[j:], e[:n - j]) * (1 - j / (lags + 1.0)) for j in range(1, lags + 1))
+    r = TS.kpss_test(df).first()
+    assert len(gamma) > 15 and r.lags_used == lags and r.observations == n
+    assert r.statistic == pytest.approx(((np.cumsum(e) ** 2).sum() / n ** 2) / (total / n), rel=1e-6)
+
+
 def test_adf_matches_numpy_ols(spark):
     rng = np.random.default_rng(4)
     x = np.cumsum(rng.normal(size=250)) * 0.1 + rng.normal(size=250)

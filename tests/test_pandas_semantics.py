@@ -11,9 +11,10 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quiver.operators import features as X
-from quiver.operators.regimes import _expanding_quantile_values
+from quiver.operators.regimes import with_expanding_quantile
 
 D0 = dt.date(2020, 1, 1)
 
@@ -52,15 +53,20 @@ def test_rolling_features_match_pandas(spark, xs):
     assert _close(out["return_lag_3"], s.shift(3))
 
 
-@settings(max_examples=40, deadline=None)
-@given(xs=st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1, 1, allow_nan=False)),
-                   min_size=1, max_size=80),
-       q=st.sampled_from([0.25, 0.5, 0.75, 0.9]), m=st.integers(1, 10))
-def test_expanding_quantile_matches_pandas(xs, q, m):
-    v = np.array([np.nan if x is None else x for x in xs], dtype=float)
-    want = pd.Series(v).expanding(min_periods=m).quantile(q).to_numpy()
-    got = _expanding_quantile_values(v, q, m)
-    assert np.allclose(got, want, rtol=1e-12, atol=1e-12, equal_nan=True)
+@pytest.mark.parametrize("large, small", [(1 << 14, 128), (64, 8), (16, 16)])
+@pytest.mark.parametrize("q, m", [(0.0, 1), (0.25, 20), (0.75, 5), (0.9, 1), (1.0, 30)])
+def test_expanding_quantile_matches_pandas(spark, large, small, q, m):
+    rng = np.random.default_rng(int(q * 100) + large)
+    series = {"A": 400, "B": 1, "C": 130, None: 70}
+    values = {t: np.where(rng.random(n) < 0.15, np.nan, np.round(rng.normal(size=n), 1)) for t, n in series.items()}
+    rows = [(t, D0 + dt.timedelta(days=i), None if np.isnan(v) else float(v), i) for t, x in values.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "ticker string, date date, v double, rows int")
+    got = with_expanding_quantile(df, "v", "cut", q, m, large=large, small=small)
+    assert got.columns == [*df.columns, "cut"] and got.drop("cut").exceptAll(df).count() == 0
+    for t, x in values.items():
+        mine = got.where(F.col("ticker").eqNullSafe(F.lit(t))).orderBy("date").toPandas()["cut"]
+        want = pd.Series(x).expanding(min_periods=m).quantile(q)
+        assert _close(mine, want)
 
 
 @pytest.mark.parametrize("xs", [[1.0, 2.0, None, 4.0], [None, None, 3.0], [5.0]])
