@@ -9,6 +9,7 @@ of any height are dropped by content. Writers are plain DataFrame writers
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,10 +76,45 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     return path
 
 
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of the cluster's storage for ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True if a write to ``path`` has ended: its folder has the success marker."""
+    fs, p = _fs(spark, path)
+    return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+
+
+def publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ("ticker",)) -> bool:
+    """Write beside ``path`` and move the complete table there in one rename.
+
+    A write that fails leaves nothing under ``path``; what an earlier broken
+    write left there (no success marker) gives way. If another writer was
+    first, its table stays, this one goes and the result is False.
+    """
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}.writing-{uuid.uuid4().hex[:12]}"
+    fs, target = _fs(spark, path)
+    source = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    try:
+        write_table(df, aside, fmt, partition_by)
+        if fs.exists(target) and not is_complete(spark, path):
+            fs.delete(target, True)
+        return not fs.exists(target) and fs.rename(source, target)
+    finally:
+        if fs.exists(source):
+            fs.delete(source, True)
+
+
 def materialize_once(df: DataFrame, path: str, fmt: str = "parquet",
                      partition_by: Sequence[str] = ("ticker",)) -> str:
-    """Build an output only if it is not there yet (``mode('ignore')``)."""
-    return write_table(df, path, fmt, partition_by, mode="ignore")
+    """Build an output only if it is not there yet, complete with its marker."""
+    if not is_complete(df.sparkSession, path) and not publish(df, path, fmt, partition_by) and not is_complete(df.sparkSession, path):
+        raise OSError(f"{path} could not be published")
+    return path
 
 
 def write_json_sorted(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -131,22 +167,26 @@ def serve_table(parsed: DataFrame) -> DataFrame:
         "probability_up", "recommendation")
 
 
+RUNS_SCHEMA = "ticker string, key string, value double, run_id string, kind string"
+
+
 def append_run(metrics: DataFrame, path: str, run_id: str, kind: str) -> str:
-    """Append one run's parameters or metrics as long rows
-    (run_id, kind, ticker, key, value)."""
+    """Log one run's parameters or metrics as long rows (run_id, kind,
+    ticker, key, value). A run's kind is a partition of its own that is
+    replaced as a whole, so a repeated or retried call leaves its rows once."""
     keys = [c for c in metrics.columns if c != "ticker"]
     items = F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("double").alias("value")) for k in keys])
-    long = metrics.select("ticker", F.explode(items).alias("_kv")).select(
-        F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"), "ticker",
-        F.col("_kv.key").alias("key"), F.col("_kv.value").alias("value"))
-    long.write.mode("append").parquet(path)
+    long = metrics.select(F.col("ticker").cast("string").alias("ticker"), F.explode(items).alias("_kv")).select(
+        "ticker", F.col("_kv.key").alias("key"), F.col("_kv.value").alias("value"),
+        F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"))
+    long.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "kind").parquet(path)
     return path
 
 
 def compare_runs(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     """One row per (run, ticker), one column per metric."""
-    runs = spark.read.parquet(path)
-    return runs.groupBy("run_id", "ticker").pivot("key", list(keys)).agg(F.first("value"))
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(path)
+    return runs.groupBy("run_id", "ticker").pivot("key", list(keys)).agg(F.max("value"))
 
 
 def save_params(df: DataFrame, path: str, model_type: str) -> str:

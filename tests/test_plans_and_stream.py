@@ -7,6 +7,7 @@ import datetime as dt
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -75,3 +76,38 @@ def test_stream_bars_equal_batch_bars(spark, tmp_path):
     want = M.ohlcv_bars(ticks).orderBy("ticker", "hour").collect()
     assert [(r.ticker, r.open, r.high, r.low, r.close, r.volume) for r in got] == \
         [(r.ticker, r.open, r.high, r.low, r.close, r.volume) for r in want]
+
+
+def test_a_broken_write_is_not_taken_for_done(spark, tmp_path):
+    import os
+
+    from quiver.sources import files as IO
+
+    good = spark.createDataFrame([("A", 1.0)], "ticker string, price double")
+    broken = good.select("ticker", F.raise_error(F.lit("no")).cast("double").alias("price"))
+    path = str(tmp_path / "out")
+    os.makedirs(path)  # what a write that died at once leaves
+    with pytest.raises(Exception, match="no"):
+        IO.materialize_once(broken, path)
+    assert not IO.is_complete(spark, path)
+    IO.materialize_once(good, path)
+    IO.materialize_once(good.withColumn("price", F.lit(2.0)), path)
+    assert [tuple(r) for r in spark.read.parquet(path).select("ticker", "price").collect()] == [("A", 1.0)]
+    assert os.listdir(tmp_path) == ["out"]
+    # a second writer that comes late leaves the first one's table
+    assert IO.publish(good.withColumn("price", F.lit(3.0)), path) is False
+    assert spark.read.parquet(path).first().price == 1.0
+
+
+def test_a_repeated_run_is_logged_once(spark, tmp_path):
+    from quiver.sources import files as IO
+
+    path = str(tmp_path / "runs")
+    m = spark.createDataFrame([("A", 0.5, 1.0), ("B", 0.25, None)], "ticker string, accuracy double, f1 double")
+    IO.append_run(m, path, "001", "metric")
+    IO.append_run(m.withColumn("accuracy", F.lit(0.75)), path, "001", "metric")  # a retry
+    IO.append_run(m, path, "002", "metric")
+    IO.append_run(m, path, "002", "param")
+    assert spark.read.parquet(path).where("kind = 'metric'").count() == 8
+    got = {(r.run_id, r.ticker): (r.accuracy, r.f1) for r in IO.compare_runs(spark, path, ["accuracy", "f1"]).collect()}
+    assert got == {("001", "A"): (0.75, 1.0), ("001", "B"): (0.75, None), ("002", "A"): (0.5, 1.0), ("002", "B"): (0.25, None)}
