@@ -11,11 +11,15 @@ group: its template holds the tokens that all of them share, every other positio
 their lines are dropped from all documents but the first (smallest id), so a
 group of copies never loses a text altogether.
 
-Pairs are proposed by prefix filtering: lines with t equal positions of n share
-one of their n - t + 1 rarest (position, token) pairs, whatever the others are.
-Up to ``PAIR_LINES`` lines with such a pair are compared with one another;
-more are compared with leaders among them, in rounds, until each line is a
-leader or like one: rows are their number times that of the templates among them.
+Pairs are proposed by prefix filtering: lines of r tokens that need t of them in
+common have, for every l up to t, l common tokens among their r - t + l rarest,
+whatever the others are. Level l proposes by all l of these together. At
+level 1, pairs of tokens that few lines share are compared at once. Lines of other
+tokens are first compared with one of them each; then only lines of
+different groups are. While a leaf's pairs outnumber the keys of the next level,
+its lines go on to that level, where fewer lines share a key; at level t
+sharing a key is being alike, and no pair is compared. Both ways are exact;
+the rule only takes the one with fewer rows.
 
 Leaves are never gathered in a task: distinct lines are counted, and for
 leaves with several of them, (leaf, position, token) is counted over the
@@ -27,9 +31,11 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -38,8 +44,8 @@ from quiver.llm.common import SEED, connected_components, fresh, materialize, te
 from quiver.session import tune
 
 DEPTH, SIMILARITY, MIN_DOCS, MIN_TOKENS = 3, 0.7, 2, 5
-#: Lines that propose the same (position, token) up to which all their pairs are compared; beyond, leaders of the first round.
-PAIR_LINES, LEADERS = 16, 4
+#: Lines that share a (position, token) up to which all their pairs are compared at once; keys of a line at the last level that is tried.
+PAIR_LINES, MAX_KEYS = 16, 5000
 #: Bits of the map that spares most lines the shuffle to their leaf; a multiple of 2 ** 15.
 LEAF_BITS = 1 << 24
 WILD = b"<*>"
@@ -120,23 +126,85 @@ def _alike(pairs: DataFrame, items: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").where(F.size(F.array_intersect("x", "y")) >= F.col("need")).drop("x", "y", "need")
 
 
+def _level_keys(lines: DataFrame, level: int) -> DataFrame:
+    """(key, leaf, line, comp, full): all ``level`` of a line's rarest tokens together;
+    full: as many as alike lines need. ``lines``: leaf, line, comp, need, items (rarest first)."""
+    def tasks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            keys, at = [], []
+            for i, (need, own) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
+                own = own[:len(own) - need + level]
+                for some in combinations(own, level):
+                    key = level
+                    for x in some:
+                        key = (key * 0x9E3779B97F4A7C15 + x) & 0xFFFFFFFFFFFFFFFF
+                        key ^= key >> 29
+                    keys.append(key - (1 << 64) if key >= 1 << 63 else key)
+                    at.append(i)
+                    if len(keys) >= 100_000:
+                        yield batch(b, keys, at)
+                        keys, at = [], []
+            yield batch(b, keys, at)
+
+    def batch(b: pa.RecordBatch, keys: list[int], at: list[int]) -> pa.RecordBatch:
+        where = pa.array(at, pa.int64())
+        full = pc.equal(b.column(3).take(where), level)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[b.column(c).take(where) for c in range(3)], full],
+                                          names=["key", "leaf", "line", "comp", "full"])
+
+    return lines.select("leaf", "line", "comp", "need", "items").mapInArrow(
+        tasks, "key bigint, leaf bigint, line bigint, comp bigint, full boolean")
+
+
+def _n_keys(level: int) -> F.Column:
+    """Keys of a line at a level: combinations of ``level`` out of size - need + level tokens; 0 beyond its last."""
+    free = F.size("items") - F.col("need")
+    out = F.lit(1.0)
+    for i in range(1, level + 1):
+        out = out * (free + i) / i
+    return F.when(F.col("need") >= level, out).otherwise(0.0)
+
+
 def _links(items: DataFrame, size: DataFrame, rare: DataFrame) -> DataFrame:
-    """(a, b): alike lines that ``rare`` (item, line) proposes; ``size`` (item, n) counts its lines."""
+    """(a, b): links whose components are those of all alike lines. ``items``: leaf, line,
+    need, items (rarest first); ``rare`` (item, line): level 1; ``size`` (item, n) counts its lines."""
     few = rare.join(size.where(F.col("n") <= PAIR_LINES).select("item"), "item")
     pairs = few.select("item", F.col("line").alias("a")).join(few.select("item", F.col("line").alias("b")), "item").where("a < b")
     links = _alike(pairs.select("a", "b").distinct(), items)
-    left = materialize(rare.join(size.where(F.col("n") > PAIR_LINES).select("item"), "item"), "common-items")
-    parts = LEADERS
-    while not left.isEmpty():
-        leaders = materialize(left.groupBy("item", F.pmod(F.xxhash64("line"), F.lit(parts)).alias("part")).agg(F.min("line").alias("b"))
-                              .select("item", "b"), "leaders")
-        tried = left.withColumnRenamed("line", "a").join(leaders, "item")
-        found = materialize(_alike(tried.where("a <> b").select("a", "b").distinct(), items), "leader-links")
-        links = links.union(found)
-        done = tried.join(found, ["a", "b"], "left_semi").select("item", "a").union(leaders.select("item", "b")).distinct()
-        left = materialize(left.join(done, (left["item"] == done["item"]) & (left["line"] == done["a"]), "left_anti"), "common-items")
-        parts *= 2  # few rounds, however many templates share the item
-    return links
+    common = materialize(rare.join(size.where(F.col("n") > PAIR_LINES).select("item"), "item"), "common-items")
+    if common.isEmpty():
+        return links
+    tried = common.join(common.groupBy("item").agg(F.min("line").alias("b")), "item").select(F.col("line").alias("a"), "b")
+    links = materialize(links.union(_alike(tried.where("a <> b").distinct(), items)), "alike-lines")
+    lines = materialize(items.join(common.select("line").distinct(), "line", "left_semi"), "common-lines")
+    level = 1
+    while True:
+        comp = connected_components(links)
+        named = lines.join(comp, F.col("line") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "line")).drop("node", "component")
+        named = materialize(named, "named-lines")
+        if level == 1:
+            keys = common.join(named, "line").select(F.col("item").alias("key"), "leaf", "line", "comp", (F.col("need") == 1).alias("full"))
+        else:
+            keys = _level_keys(named.where(F.col("need") >= level), level)
+        keys = materialize(keys, "line-keys")
+        per = keys.where("NOT full").groupBy("leaf", "key", "comp").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        per = per.groupBy("leaf", "key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross")).where("cross > 0")
+        per = materialize(per, "crossed-keys")
+        cost = per.groupBy("leaf").agg(F.sum("cross").alias("cross"))
+        after = named.groupBy("leaf").agg(F.sum(_n_keys(level + 1)).alias("next"), F.max(_n_keys(level + 1)).alias("most"))
+        go_on = (F.col("cross") > F.col("next")) & (F.col("most") <= MAX_KEYS) & (F.col("next") > 0)
+        cost = materialize(cost.join(after, "leaf").select("leaf", go_on.alias("go_on")), "leaf-costs")
+        now = keys.join(per.join(cost.where("NOT go_on"), "leaf").select("key"), "key", "left_semi").where("NOT full")
+        x = now.select("key", F.col("line").alias("a"), F.col("comp").alias("ca"))
+        y = now.select("key", F.col("line").alias("b"), F.col("comp").alias("cb"))
+        found = _alike(x.join(y, "key").where("ca < cb").select("a", "b").distinct(), items)
+        same = keys.where("full").select("key", F.col("line").alias("a"), "comp")
+        same = same.join(same.groupBy("key").agg(F.min("a").alias("b")), "key").where("a <> b").select("a", "b").distinct()
+        links = materialize(links.union(found).union(same), "alike-lines")
+        level += 1
+        lines = materialize(lines.join(cost.where("go_on").select("leaf"), "leaf", "left_semi"), "common-lines")
+        if lines.isEmpty():
+            return links
 
 
 def templates(rows: DataFrame, lines: DataFrame, depth: int, similarity: float, min_tokens: int) -> DataFrame:
@@ -147,16 +215,16 @@ def templates(rows: DataFrame, lines: DataFrame, depth: int, similarity: float,
     inside = inside.dropDuplicates(["leaf", "line"]).join(several, "leaf", "left_semi")
     tokens = inside.select("leaf", "line", "need", F.posexplode(F.split("tokens", " ")).alias("pos", "token"))
     tokens = materialize(tokens.where((F.col("pos") >= depth) & (F.col("token") != WILD.decode()))
-                         .select("line", "need", F.xxhash64("leaf", "pos", "token").alias("item")), "leaf-tokens")
+                         .select("leaf", "line", "need", F.xxhash64("leaf", "pos", "token").alias("item")), "leaf-tokens")
     shared = tokens.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # a line with fewer shared tokens than it needs is like no other
-    items = (tokens.join(shared, "item").groupBy("line", "need").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("items"))
+    items = (tokens.join(shared, "item").groupBy("leaf", "line", "need").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("items"))
              .where(F.size("items") >= F.col("need")))
     items = materialize(items, "line-items")
     rare = items.where("need > 0").select(
         "line", F.explode(F.expr("slice(items.item, 1, size(items) - need + 1)")).alias("item"))
     size = rare.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = _links(items.select("line", "need", F.col("items.item").alias("items")), materialize(size, "rare-items"), rare)
+    links = _links(items.select("leaf", "line", "need", F.col("items.item").alias("items")), materialize(size, "rare-items"), rare)
     if depth >= similarity * min_tokens:
         # so short that the leaf's own tokens are enough
         short = inside.where("need <= 0").select("leaf", F.col("line").alias("a"))
