@@ -5,7 +5,9 @@ their positions. All rolling 2-gram hashes of the documents join them; each
 match whose words are really equal votes for its diagonal, document position
 minus template position. Votes are aggregated per diagonal before any
 shuffle that grows, neighbouring diagonals (words inserted or missing) are
-merged, and the merged span is verified by its share of the template.
+merged, and the merged span is verified by its share of the template. Merged
+diagonals are at most ``drift`` apart in all, so a span is as long as its
+template but for ``drift`` words, and its words stand in the template's order.
 """
 
 from __future__ import annotations
@@ -56,12 +58,13 @@ def _positions(docs: DataFrame, templates: Sequence[tuple[str, str, bool]]) -> D
     return F.broadcast(df) if len(rows) <= BROADCAST_WORDS else df
 
 
-def license_spans(texts: DataFrame, templates: Sequence[tuple[str, str, bool]], gap: int = 3,
+def license_spans(texts: DataFrame, templates: Sequence[tuple[str, str, bool]], drift: int = 4,
                   coverage: float = 0.8) -> DataFrame:
     """(doc_id, k, t, first, last, share): verified spans. ``texts``: doc_id, k
     (together the key of a text), words; templates: (words, label, exact).
     ``exact`` ones must match as a whole on one diagonal; others need
-    ``coverage`` of their 2-grams on diagonals at most ``gap`` apart."""
+    ``coverage`` of their 2-grams on diagonals within ``drift``. Of merges
+    within ``drift`` of one another the best one is the span."""
     n = F.greatest(F.size("words") - 1, F.lit(0))
     # a row holds its two words alone, so a long text grows linearly in any join
     grams = texts.select("doc_id", "k", F.posexplode(F.arrays_zip(
@@ -76,19 +79,19 @@ def license_spans(texts: DataFrame, templates: Sequence[tuple[str, str, bool]],
     whole = votes.where(F.col("exact") & (F.size("matched") == F.col("need"))).select(
         "doc_id", "k", "t", F.col("lo").alias("first"), (F.col("hi") + 1).alias("last"), F.lit(1.0).alias("share"))
     along = W.partitionBy("doc_id", "k", "t").orderBy("diagonal")
-    near = votes.where(~F.col("exact")).withColumn(
-        "new", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along) > gap, F.lit(True)).cast("int"))
-    near = near.withColumn("run", F.sum("new").over(along))
-    merged = near.groupBy("doc_id", "k", "t", "run", "need").agg(
-        F.min("lo").alias("first"), (F.max("hi") + 1).alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("matched")))).alias("got"))
-    spans = merged.withColumn("share", F.col("got") / F.col("need")).where(F.col("share") >= coverage).select(
-        "doc_id", "k", "t", "first", "last", "share")
+    ahead = along.rangeBetween(0, drift)
+    near = votes.where(~F.col("exact")).select(
+        "doc_id", "k", "t", "need", "diagonal", F.min("lo").over(ahead).alias("first"), (F.max("hi").over(ahead) + 1).alias("last"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("matched").over(ahead)))).alias("got"))
+    near = near.where(F.col("got") / F.col("need") >= coverage)
+    rank = F.struct("got", -F.col("diagonal"))
+    spans = near.withColumn("best", F.max(rank).over(along.rangeBetween(-drift, drift)) == rank).where("best").select(
+        "doc_id", "k", "t", "first", "last", (F.col("got") / F.col("need")).alias("share"))
     return whole.union(spans)
 
 
 def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
-                  notices: Sequence[tuple[str, str]] = NOTICES, gap: int = 3, coverage: float = 0.8,
+                  notices: Sequence[tuple[str, str]] = NOTICES, drift: int = 4, coverage: float = 0.8,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score, span_first, span_last.
@@ -108,7 +111,7 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     texts = texts.select("doc_id", F.xxhash64("text").alias("k"), plain_words(F.col("text")).alias("words"))
     label = F.get(F.array(*[F.lit(lab) for _, lab, _ in templates]), F.col("t"))
     base = F.get(F.array(*[F.lit(e) for _, _, e in templates]), F.col("t"))
-    found = license_spans(texts, templates, gap, coverage).withColumn("label", label).withColumn("base", base)
+    found = license_spans(texts, templates, drift, coverage).withColumn("label", label).withColumn("base", base)
     found = found.groupBy("doc_id", "k").agg(
         F.count_if("base").alias("n_base"), F.min(F.when(F.col("base"), F.col("first"))).alias("first_word"),
         F.max(F.when(F.col("base"), F.col("first"))).alias("last_word"),
