@@ -28,8 +28,8 @@ _ATTR = r"""=\s*["']?"""
 def with_parts(df: DataFrame, url: str, out: str = "") -> DataFrame:
     """Adds {out}host, {out}path and {out}node (the normal form) of a url column.
 
-    The normal form has host, path without trailing slash and query without
-    ``utm_`` parameters; it is null for a url without a host.
+    The normal form has host without its scheme's port, path without dot segments and
+    trailing slash, and query without ``utm_`` parameters; it is null for a url without a host.
     """
     at = F.instr(url, "://")
     df = df.withColumn(f"{out}rest", F.when(at > 0, F.substr(F.col(url), at + F.lit(3))).otherwise(F.lit("")))
@@ -38,8 +38,19 @@ def with_parts(df: DataFrame, url: str, out: str = "") -> DataFrame:
     df = df.withColumn(f"{out}path", F.regexp_extract(f"{out}rest", r"^[^/?#]*([^?#]*)", 1))
     query = F.regexp_replace(F.regexp_extract(f"{out}rest", r"^[^?#]*([^#]*)", 1), r"(?<=[?&])utm_[^&]*&?", "")
     df = df.withColumn(f"{out}query", F.regexp_replace(query, r"[?&]$", ""))
-    node = F.concat(F.col(f"{out}host"), F.regexp_replace(f"{out}path", "/$", ""), F.col(f"{out}query"))
-    return df.withColumn(f"{out}node", F.when(F.col(f"{out}host") != "", node)).drop(f"{out}rest", f"{out}query")
+    scheme, host = F.lower(F.substr(F.col(url), F.lit(1), at - 1)), F.col(f"{out}host")
+    site = (F.when((scheme == "https") & F.endswith(host, F.lit(":443")), F.regexp_replace(host, ":443$", ""))
+            .when((scheme == "http") & F.endswith(host, F.lit(":80")), F.regexp_replace(host, ":80$", "")).otherwise(host))
+    node = F.concat(site, F.regexp_replace(without_dots(F.col(f"{out}path")), "/$", ""), F.col(f"{out}query"))
+    return df.withColumn(f"{out}node", F.when(host != "", node)).drop(f"{out}rest", f"{out}query")
+
+
+def without_dots(path: Column) -> Column:
+    """A path whose ``.`` and ``..`` segments are resolved."""
+    parts = F.split(F.regexp_replace(path, r"/\.\.?$", "$0/"), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(
+        x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x))))
+    return F.when(F.contains(path, F.lit("/.")), F.array_join(kept, "/")).otherwise(path)
 
 
 def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
@@ -59,20 +70,27 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(a, b, to_host, to_path): normal forms joined by a canonical link or a
-    redirect, and the target's own host and path, which rules are tried on."""
-    url, html = F.col(url_col).cast("string"), F.col(html_col).cast("string")
-    link = F.regexp_extract(html, rf"""(?is)<link\b(?=[^>]*\brel{_ATTR}canonical\b)[^>]*\bhref{_ATTR}([^"'\s>]+)""", 1)
-    meta = F.regexp_extract(html, rf"""(?is)<meta\b(?=[^>]*\bhttp-equiv{_ATTR}refresh\b)[^>]*\burl\s*=\s*['"]?([^"'\s>]+)""", 1)
-    found = pages.select(url.alias("url"), F.explode(F.array(link, meta)).alias("t")).where("url is not null and t <> ''")
+    redirect, and the target's own host and path, which rules are tried on.
+
+    All links of a page count; ``&amp;`` is read as ``&``; targets are resolved
+    against the page's url (``?`` alone, ``/``, ``//``, folders with dots)."""
+    url, html = F.col(url_col).cast("string"), F.regexp_replace(F.col(html_col).cast("string"), r"(?s)<!--.*?(-->|$)", "")
+    link = F.regexp_extract_all(html, F.lit(rf"""(?is)<link\b(?=[^>]*\brel{_ATTR}canonical\b)[^>]*\bhref{_ATTR}([^"'\s>]+)"""), 1)
+    meta = F.regexp_extract_all(html, F.lit(rf"""(?is)<meta\b(?=[^>]*\bhttp-equiv{_ATTR}refresh\b)[^>]*\burl\s*=\s*['"]?([^"'\s>]+)"""), 1)
+    found = pages.select(url.alias("url"), F.explode(F.concat(link, meta)).alias("t")).where("url is not null")
+    found = found.withColumn("t", F.regexp_replace("t", "&(amp|#38|#x26);", "&")).where(~F.startswith("t", F.lit("#")))
     found = with_parts(found, "url")
     scheme = F.regexp_extract("url", r"^([^:/?#]+)://", 1)
     site = F.concat(scheme, F.lit("://"), F.col("host"))
+    page = F.coalesce(F.nullif(F.col("path"), F.lit("")), F.lit("/"))
     folder = F.coalesce(F.nullif(F.regexp_extract("path", r"^(.*/)?", 1), F.lit("")), F.lit("/"))
-    target = (F.when(F.contains("t", F.lit("://")), F.col("t"))
+    target = (F.when(F.rlike("t", F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://")), F.col("t"))
               .when(F.startswith("t", F.lit("//")), F.concat(scheme, F.lit(":"), F.col("t")))
               .when(F.startswith("t", F.lit("/")), F.concat(site, F.col("t")))
+              .when(F.startswith("t", F.lit("?")), F.concat(site, page, F.col("t")))
               .otherwise(F.concat(site, folder, F.col("t"))))
     both = with_parts(found.withColumn("target", target), "target", "to_")
+    both = both.withColumn("to_host", F.regexp_replace("to_host", ":(80|443)$", "")).withColumn("to_path", without_dots(F.col("to_path")))
     return both.select(F.col("node").alias("a"), F.col("to_node").alias("b"), "to_host", "to_path")
 
 
@@ -85,7 +103,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     lift a block from others, and a block never overrides an allow rule.
     component is the smallest normal form of the alias group, null without a
     host. Null urls and those without ``://`` have empty host and path, fit
-    no rule unless one is empty, and are allowed. Null html has no links.
+    no rule unless one is empty, and are allowed. Null and empty html has no links;
+    a long one is read whole, in time proportional to its length.
     Repeated rows are judged alike; empty input gives no rows; extra columns
     are ignored. ``html_col`` None: the table has no html.
     """
