@@ -51,6 +51,7 @@ def test_poisson_tail(spark):
     import math
 
     rows = [(k, m) for k in (0, 1, 2, 5, 300) for m in (0.01, 0.5, 3.0)]
+    assert spark.sql("select cast(null as long) as k, 1.0D as m").select(quality.poisson_tail(F.col("k"), F.col("m"))).first()[0] is None
     got = {(x.k, x.m): x.p for x in spark.createDataFrame(rows, "k long, m double").withColumn(
         "p", quality.poisson_tail(F.col("k"), F.col("m"))).collect()}
     for k, m in rows:
