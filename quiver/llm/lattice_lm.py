@@ -7,14 +7,16 @@ them, by a log-space forward recursion over its lattice, and that of a
 document the product over its words and one end token. Words share no
 piece, so this is the marginal over all segmentations of the document.
 
-Training is one expectation step: on the training documents the existing
-scores weight all segmentations, expected piece counts are gathered over the
-whole corpus and mixed with the existing scores as a prior.
+Training is ``steps`` expectation steps, the first of them from the existing
+scores: on the training documents the scores weight all segmentations,
+expected piece counts are gathered over the whole corpus and mixed with the
+existing scores as a prior.
 
 Data flow. A task cuts its documents into blocks of a bounded number of
 characters; a block keeps its documents as word numbers and lists its
-distinct words with counts. Only those lists are shuffled by word, counted
-over the corpus and scored once each; the scores go back to their block.
+distinct words with counts. Counts are summed per word before and after a
+shuffle, each word of the corpus is scored once, and a join gives the scores
+back to the blocks.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quiver.llm.common import materialize, text_of
@@ -37,8 +38,8 @@ from quiver.session import tune
 
 #: Characters of a block (and one document); words and characters scored at a time.
 BLOCK_CHARS, SCORE_WORDS, INDEX_CHARS = 12_000_000, 60_000, 500_000
-#: Smoothing of the base model; weight of the existing scores against expected counts.
-ALPHA, PRIOR = 0.1, 1000.0
+#: Smoothing of the base model; weight of the existing scores against expected counts; expectation steps.
+ALPHA, PRIOR, STEPS = 0.1, 1000.0, 3
 LN10 = float(np.log(10))
 
 
@@ -206,7 +207,7 @@ def _strings(words: pa.ChunkedArray) -> list[str]:
 
 
 def score_texts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text",
-                folds: int = 10) -> DataFrame:
+                folds: int = 10, steps: int = STEPS, prior_weight: float = PRIOR) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score (both log10).
 
@@ -228,39 +229,40 @@ def score_texts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
     blocks = materialize(_blocks(rows), "word-blocks")
 
     listed = blocks.where("word is not null").select("block", "word_id", "word", "n")
-    same = W.partitionBy("word")
-    counted = materialize(listed.select(
-        "block", "word_id", "word", F.sum("n").over(same).alias("c"),
-        (F.row_number().over(same.orderBy("block")) == 1).alias("first")), "corpus-words")
-    totals = counted.where("first").agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
+    # one row per word of the corpus; a word of every block is summed before the shuffle
+    counted = materialize(listed.groupBy("word").agg(F.sum("n").alias("c")), "corpus-words")
+    totals = counted.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     n_all, v_all = (totals[0] or 0) + c_end, (totals[1] or 0) + (c_end > 0)
 
-    def expect(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(prior))
-        for t in _distinct_runs(it):
-            total += expected_counts(_strings(t.column(0)), t.column(1).to_numpy().astype(float), pieces, prior)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "e"])
-
-    # at most one row per piece of the vocabulary comes to the driver
-    train_words = counted.where("first and c > 0").select("word", "c")
-    gathered = train_words.mapInArrow(expect, "id bigint, e double").groupBy("id").agg(F.sum("e").alias("e")).collect()
-    expected = np.zeros(len(prior))
-    for r in gathered:
-        expected[r.id] = r.e
-    with np.errstate(divide="ignore"):
-        learned = np.log((expected + PRIOR * np.exp(prior)) / (expected.sum() + PRIOR))
+    def expect(logp: np.ndarray):
+        def tasks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(logp))
+            for t in _distinct_runs(it):
+                total += expected_counts(_strings(t.column(0)), t.column(1).to_numpy().astype(float), pieces, logp)
+            some = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "e"])
+
+        return tasks
+
+    train_words = counted.where("c > 0").select("word", "c")
+    learned = prior
+    for _ in range(steps):
+        # at most one row per piece of the vocabulary comes to the driver
+        gathered = train_words.mapInArrow(expect(learned), "id bigint, e double").groupBy("id").agg(F.sum("e").alias("e")).collect()
+        expected = np.zeros(len(prior))
+        for r in gathered:
+            expected[r.id] = r.e
+        with np.errstate(divide="ignore"):
+            learned = np.log((expected + prior_weight * np.exp(prior)) / (expected.sum() + prior_weight))
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _distinct_runs(it):
-            codes = t.column(2).combine_chunks().dictionary_encode()
-            own = word_logp(_strings(pa.chunked_array([codes.dictionary])), pieces, learned) / LN10
-            lp = own[codes.indices.to_numpy()]
-            for b in pa.table([t.column(0), t.column(1), t.column(3), pa.array(lp)],
-                              names=["block", "word_id", "c", "lp"]).to_batches(max_chunksize=20_000):
+            lp = word_logp(_strings(t.column(0)), pieces, learned) / LN10
+            for b in pa.table([t.column(0), t.column(1), pa.array(lp)], names=["word", "c", "lp"]).to_batches(max_chunksize=20_000):
                 yield b
 
-    scored = counted.select("block", "word_id", "word", "c").mapInArrow(score, "block bigint, word_id int, c bigint, lp double")
+    words = materialize(counted.mapInArrow(score, "word binary, c bigint, lp double"), "scored-words")
+    scored = listed.join(words, "word").select(F.col("block").alias("in_block"), "word_id", "c", "lp")
     shift = np.log10(n_all + ALPHA * (v_all + 1))
     base_end = float(np.log10(c_end + ALPHA) - shift)
 
@@ -298,5 +300,5 @@ def score_texts(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", tex
                       **{k: pa.array([], pa.int64()) for k in ("n_tokens", "n_known", "train_tokens")},
                       **{k: pa.array([], pa.float64()) for k in ("base_score", "score")}})
     held = blocks.where("docs is not null").select("block", "docs")
-    return held.groupBy("block").cogroup(scored.groupBy("block")).applyInArrow(
+    return held.groupBy("block").cogroup(scored.groupBy("in_block")).applyInArrow(
         documents, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
