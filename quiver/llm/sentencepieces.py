@@ -29,7 +29,7 @@ from quiver.session import tune
 
 #: Characters of a batch of documents, and of the segments indexed at a time.
 BATCH_CHARS, INDEX_CHARS = 12_000_000, 500_000
-#: Longer segments are merged one by one with a heap.
+#: Edges of segments up to this length are relaxed for all of them in rounds, those of longer ones from a heap each.
 LONG = 48
 _NEVER = np.int64(1) << 62
 _SEGMENT = re.compile(rf"{SPACE}*[^{SPACE}\n\t]+|{SPACE}+|[\n\t]")
@@ -45,31 +45,68 @@ def _check(pieces: Pieces) -> None:
         raise ValueError("a piece crosses segments; this model needs whole texts as segments")
 
 
-def _merge_long(s: str, pieces: Pieces) -> list[str]:
-    """One long segment: merges by (score, position) from a heap."""
-    ids, prio = pieces.ids, pieces.priority
-    sym: list[str | None] = list(s)
-    left, right = list(range(-1, len(s) - 1)), [*range(1, len(s)), -1]
-    heap: list[tuple[int, int, int, str]] = []
+def _merge_long(edge: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """(position, length) of the final symbols of one segment, whose edges wait
+    in a heap by (priority, position). ``edge``: its rows of the index."""
+    n, widest, priority = len(edge), edge.shape[1] - 1, pieces.priority
+    length, left, right = [1] * n, list(range(-1, n - 1)), [*range(1, n), -1]
+    first = np.flatnonzero(edge[:-1, 2]) if widest > 1 else np.zeros(0, np.int64)
+    heap = list(zip(priority[edge[first, 2] - 1].tolist(), first.tolist(), (first + 1).tolist(), [2] * len(first)))
+    heapq.heapify(heap)
 
     def offer(i: int) -> None:
         j = right[i]
-        if j >= 0 and (k := ids.get(whole := sym[i] + sym[j])) is not None:
-            heapq.heappush(heap, (int(prio[k]), i, j, whole))
+        if j >= 0 and (both := length[i] + length[j]) <= widest and (k := edge[i, both]):
+            heapq.heappush(heap, (int(priority[k - 1]), i, j, both))
 
-    for i in range(len(s) - 1):
-        offer(i)
     while heap:
-        _, i, j, whole = heapq.heappop(heap)
-        if sym[i] is None or sym[j] is None or right[i] != j or sym[i] + sym[j] != whole:
+        _, i, j, both = heapq.heappop(heap)
+        if not length[i] or not length[j] or right[i] != j or length[i] + length[j] != both:
             continue
-        sym[i], sym[j], right[i] = whole, None, right[j]
+        length[i], length[j], right[i] = both, 0, right[j]
         if right[j] >= 0:
             left[right[j]] = i
         offer(i)
         if left[i] >= 0:
             offer(left[i])
-    return [x for x in sym if x is not None]
+    at = np.flatnonzero(length)
+    return at, np.array(length, np.int64)[at]
+
+
+def _long_edges(strings: list[str], pieces: Pieces) -> Iterator[np.ndarray]:
+    """Edges of each string. Short enough ones share an index; a longer one is indexed in
+    overlapping windows that hold all pieces that begin in their own part."""
+    at = 0
+    while at < len(strings):
+        s = strings[at]
+        if len(s) > INDEX_CHARS:
+            wide = INDEX_CHARS + pieces.longest - 1
+            yield np.concatenate([Index([s[lo:lo + wide]], pieces).edge[:min(INDEX_CHARS, len(s) - lo)]
+                                  for lo in range(0, len(s), INDEX_CHARS)])
+            at += 1
+            continue
+        chars, end = 0, at
+        while end < len(strings) and chars + len(strings[end]) <= INDEX_CHARS:
+            chars += len(strings[end])
+            end += 1
+        index = Index(strings[at:end], pieces)
+        for begin, size in zip(index.start.tolist(), index.size.tolist()):
+            yield index.edge[begin:begin + size]
+        at = end
+
+
+def _with_bytes(owner: np.ndarray, ids: np.ndarray, points: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, ids), where symbols without a piece (id below 0; single characters, given by their code points) become byte pieces."""
+    lost = np.flatnonzero(ids < 0)
+    if not len(lost):
+        return owner, ids
+    n_ids = np.ones(len(ids), np.int64)
+    raw = [chr(c).encode("utf-8", "surrogatepass") for c in points[lost].tolist()]
+    n_ids[lost] = [len(b) for b in raw]
+    where = np.repeat(np.arange(len(ids)), n_ids)
+    flat = ids[where]
+    flat[np.repeat(ids < 0, n_ids)] = pieces.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
+    return owner[where], flat
 
 
 def _merge_all(index: Index, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,22 +159,13 @@ def encode_segments(strings: list[str], pieces: Pieces) -> tuple[np.ndarray, np.
         index = Index([strings[i] for i in part], pieces)
         seg, pos, length = _merge_all(index, pieces)
         ids = index.edge[pos, length].astype(np.int64) - 1
-        lost = np.flatnonzero(ids < 0)
-        if len(lost):  # single characters without a piece
-            n_ids = np.ones(len(ids), np.int64)
-            raw = [chr(c).encode("utf-8", "surrogatepass") for c in index.points[pos[lost]].tolist()]
-            n_ids[lost] = [len(b) for b in raw]
-            where = np.repeat(np.arange(len(ids)), n_ids)
-            flat, seg = ids[where], seg[where]
-            flat[np.repeat(ids < 0, n_ids)] = pieces.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-            ids = flat
-        rows.append((part[seg], ids))
+        rows.append(_with_bytes(part[seg], ids, index.points[pos], pieces))
         at = end
-    for i, s in enumerate(strings):
-        if len(s) > LONG:
-            ids = [x for t in _merge_long(s, pieces) for x in (
-                [pieces.ids[t]] if t in pieces.ids else pieces.byte_id[list(t.encode("utf-8", "surrogatepass"))].tolist())]
-            rows.append((np.full(len(ids), i), np.array(ids, np.int64)))
+    long = [i for i, s in enumerate(strings) if len(s) > LONG]
+    for i, edge in zip(long, _long_edges([strings[i] for i in long], pieces)):
+        pos, length = _merge_long(edge, pieces)
+        points = np.frombuffer(strings[i].encode("utf-32-le", "surrogatepass"), np.uint32)[pos]
+        rows.append(_with_bytes(np.full(len(pos), i), edge[pos, length].astype(np.int64) - 1, points, pieces))
     if not rows:
         return np.zeros(0, np.int64), np.zeros(len(strings) + 1, np.int64)
     seg, ids = (np.concatenate(x) for x in zip(*rows))

@@ -110,3 +110,22 @@ def test_links_of_every_kind(spark):
     assert out[7].verdict == "allow" and out[11].verdict == "block" and out[16].verdict == "block" and out[18].verdict == "block"
     assert out[17].verdict == "allow" and out[8].host == "c.org:443" and out[12].path == "/a/./b/../c" and out[None].verdict == "allow"
     assert len(out) == len(pages)
+
+
+def test_segments_of_any_length_follow_the_index(monkeypatch):
+    """Texts without spaces: the same edges, shared indexes and overlapping windows."""
+    import sentencepiece
+
+    from quiver.llm import sentencepieces
+    from quiver.llm.pieces import MODEL, load_pieces
+
+    pieces, model = load_pieces(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    r = random.Random(1)
+    words = [w for w in (model.id_to_piece(i).replace("▁", "") for i in range(300, 30_000)) if w and not w.startswith("<")]
+    texts = ["".join(r.choice(words) for _ in range(n)) for n in (5, 20, 100, 800)] + ["x" * 3000, "日本語テキスト" * 100, "é😀" * 200, "a\0b" * 40]
+    texts += [" ".join("".join(r.choice(words) for _ in range(15)) for _ in range(40))]
+    for size in (500_000, 97):
+        monkeypatch.setattr(sentencepieces, "INDEX_CHARS", size)
+        ids, begin = sentencepieces.encode_texts(texts, pieces)
+        for t, a, b in zip(texts, begin, begin[1:]):
+            assert ids[a:b].tolist() == model.encode(t)
