@@ -20,7 +20,7 @@ from quiver.session import tune
 
 # The contract's rules (verdict, host, path prefix).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: Rules are a literal in the plan; a longer list is refused rather than collected.
+#: Rules up to which they are a literal in the plan; a longer list is a table that suffixes of the hosts join.
 MAX_RULES = 2000
 _ATTR = r"""=\s*["']?"""
 
@@ -53,14 +53,33 @@ def without_dots(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("/.")), F.array_join(kept, "/")).otherwise(path)
 
 
+def _ranked(rules: Sequence[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    return sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2], r[0]))
+
+
+def with_fit(df: DataFrame, host: str, path: str, rules: Sequence[tuple[str, str, str]], max_rules: int = MAX_RULES) -> DataFrame:
+    """``df`` with ``fit``, the struct of ``fitting_rule``. Of more than ``max_rules`` rules a
+    url tries those of its host's suffixes, found by a join."""
+    if len(rules) <= max_rules:
+        return df.withColumn("fit", fitting_rule(F.col(host), F.col(path), rules))
+    table = df.sparkSession.createDataFrame([(i, h + p, v, h, p) for i, (v, h, p) in enumerate(_ranked(rules))],
+                                            "rank long, rule string, verdict string, host string, path string")
+    urls = df.select(F.col(host).alias("h"), F.col(path).alias("p")).distinct()
+    labels = F.split("h", r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    tried = urls.select("h", "p", F.explode(F.array_distinct(tails)).alias("tail")).join(table, F.col("tail") == F.col("host"))
+    best = tried.where(F.startswith("p", F.col("path"))).groupBy("h", "p").agg(
+        F.min_by(F.struct("rule", "verdict", "host", "path"), "rank").alias("fit"))
+    d = df.alias("d")
+    return d.join(best, F.col(f"d.{host}").eqNullSafe(F.col("h")) & F.col(f"d.{path}").eqNullSafe(F.col("p")), "left").select("d.*", "fit")
+
+
 def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     """Struct (rule, verdict) of the longest rule that fits, else null. Of
     equally long ones the first by text, allow before block."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
     if not rules:
         return F.lit(None).cast("struct<rule:string,verdict:string,host:string,path:string>")
-    ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2], r[0]))
+    ranked = _ranked(rules)
     literal = F.array(*[F.struct(F.lit(h + p).alias("rule"), F.lit(v).alias("verdict"), F.lit(h).alias("host"),
                                  F.lit(p).alias("path")) for v, h, p in ranked])
     fits = F.filter(literal, lambda r: ((host == r["host"]) | F.endswith(host, F.concat(F.lit("."), r["host"])))
@@ -111,7 +130,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     tune(pages.sparkSession)
     url = F.col(url_col).cast("string")
     judged = with_parts(pages.select(F.col(id_col).alias("page_id"), url.alias("url")), "url")
-    judged = judged.withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
+    judged = with_fit(judged, "host", "path", rules)
     judged = judged.select("page_id", "host", "path", "node", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("own"))
     judged = materialize(judged, "judged-urls")
     if html_col is None:
@@ -124,7 +143,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
         # targets of links that are not pages themselves have a verdict, too
         named = judged.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
         targets = edges.select(F.col("b").alias("node"), "to_host", "to_path").distinct()
-        targets = targets.withColumn("fit", fitting_rule(F.col("to_host"), F.col("to_path"), rules)).where("fit.verdict = 'block'")
+        targets = with_fit(targets, "to_host", "to_path", rules).where("fit.verdict = 'block'")
         # a target may have no alias but the page that names it
         outside = targets.select("node").distinct().join(comp, "node", "left").select(F.coalesce("component", "node").alias("component"))
     blocked = named.where("own = 'block'").select("component")

@@ -129,3 +129,18 @@ def test_segments_of_any_length_follow_the_index(monkeypatch):
         ids, begin = sentencepieces.encode_texts(texts, pieces)
         for t, a, b in zip(texts, begin, begin[1:]):
             assert ids[a:b].tolist() == model.encode(t)
+
+
+def test_many_rules_fit_like_few(spark):
+    r = random.Random(6)
+    hosts = ["net", "a.net", "b.a.net", "org", "x.org", "c.d.org", ""]
+    rules = [(r.choice(["block", "allow"]), r.choice(hosts), r.choice(["/", "/p", "/p/q", ""])) for _ in range(25)]
+    rules = list(dict.fromkeys(rules))
+    pages = [(i, r.choice(["a.net", "b.a.net", "z.b.a.net", "ba.net", "x.org", "c.d.org", "e.", "", "A.NET"]), r.choice(["/", "/p/q/r", "", "/q"])) for i in range(80)]
+    df = spark.createDataFrame(pages + pages[:5], "page_id long, host string, path string")
+    few = urls.with_fit(df, "host", "path", rules).select("page_id", "fit.rule", "fit.verdict").collect()
+    many = urls.with_fit(df, "host", "path", rules, max_rules=3).select("page_id", "fit.rule", "fit.verdict").collect()
+    assert sorted(map(repr, few)) == sorted(map(repr, many)) and len(few) == 85
+    some = [("block", f"h{i}.net", "/") for i in range(urls.MAX_RULES)] + list(urls.RULES)
+    df = spark.createDataFrame([(1, "http://q.h7.net/"), (2, "http://example.net/en/"), (3, None)], "page_id long, url string")
+    assert [x.verdict for x in urls.judge_urls(df, some, html_col=None).orderBy("page_id").collect()] == ["block", "allow", "allow"]
