@@ -1,16 +1,16 @@
 """Ensemble regime backtest (J11) and its aggregates.
 
 One DataFrame plan per call, many tickers at once. The daily table is built
-in three projections that all reuse one (ticker, date) exchange and sort:
-rolling frames, then the guarded expanding quantile over them, then the rule
-columns and running equity.
+in three projections that all reuse one exchange by ticker: rolling frames,
+then the guarded expanding quantile over them, then the rule columns and
+running equity.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiver.functions.windows import KEYS, expanding, rolling_mean, rolling_std, rolling_sum, series_window
@@ -123,23 +123,28 @@ ARIMA_FLOOR = -0.05
 MIN_CONFIDENCE = 0.20
 
 
-def regime_signal(prob: str = "predicted_probability_up", arima: str = "arima_mean_forecast_percent",
-                  regime: str = "market_regime", vol: str = GARCH_COL, cutoff: str = "volatility_cutoff",
-                  upper: float = 0.55, lower: float = 0.45, threshold: float = 0.08):
-    """Risk filters, then the uptrend and downtrend rule lists, then no
-    signal against the trend (ordered exactly as the source loop)."""
+def raw_signal(prob: str = "predicted_probability_up", arima: str = "arima_mean_forecast_percent",
+               regime: str = "market_regime", vol: str = GARCH_COL, cutoff: str = "volatility_cutoff",
+               upper: float = 0.55, lower: float = 0.45, threshold: float = 0.08) -> Column:
+    """J13 before the trend filter: risk filters, then the uptrend and downtrend
+    rule lists (ordered exactly as the source loop)."""
     p, a, rg = F.col(prob), F.col(arima), F.col(regime)
     up_rules = (F.when((p > upper) & (a > ARIMA_FLOOR), "UP").when((p < lower) & (a < 0), "DOWN")
                 .when(p > UP_FALLBACK, "UP").when(p < DOWN_FALLBACK, "DOWN").otherwise("NO TRADE"))
     down_rules = (F.when((p < lower) & (a < 0), "DOWN").when((p > DOWNTREND_UP) & (a > ARIMA_FLOOR), "UP")
                   .when(p < DOWN_FALLBACK, "DOWN").when(p > UP_FALLBACK, "UP").otherwise("NO TRADE"))
-    decision = (F.when(p.isNull() | a.isNull() | F.col(vol).isNull(), "NO TRADE")
-                .when(rg == R.RISK_OFF, "NO TRADE")
-                .when(F.col(vol) > F.col(cutoff), "NO TRADE")
-                .when(F.abs(p - 0.5) < threshold, "NO TRADE")
-                .when(rg == R.LOW_VOL_UP, up_rules)
-                .when(rg == R.LOW_VOL_DOWN, down_rules)
-                .otherwise("NO TRADE"))
+    return (F.when(p.isNull() | a.isNull() | F.col(vol).isNull(), "NO TRADE")
+            .when(rg == R.RISK_OFF, "NO TRADE")
+            .when(F.col(vol) > F.col(cutoff), "NO TRADE")
+            .when(F.abs(p - 0.5) < threshold, "NO TRADE")
+            .when(rg == R.LOW_VOL_UP, up_rules)
+            .when(rg == R.LOW_VOL_DOWN, down_rules)
+            .otherwise("NO TRADE"))
+
+
+def regime_signal(regime: str = "market_regime", **rules) -> Column:
+    """The raw signal (options as there), but none against the trend."""
+    decision, rg = raw_signal(regime=regime, **rules), F.col(regime)
     return (F.when((rg == R.LOW_VOL_UP) & (decision == "DOWN"), "NO TRADE")
             .when((rg == R.LOW_VOL_DOWN) & (decision == "UP"), "NO TRADE")
             .otherwise(decision))

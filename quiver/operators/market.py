@@ -2,8 +2,8 @@
 
 The instrument table has one row per calendar date (a pivot of 13 named
 instruments), so its size is bounded by the calendar, not by the data
-volume: a few thousand rows per decade. That bound is what makes the
-broadcast in ``join_market_ffill`` safe at any scale.
+volume: a few thousand rows per decade. No broadcast hint is given: the
+planner decides by the measured size.
 """
 
 from __future__ import annotations

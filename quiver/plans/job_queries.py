@@ -62,7 +62,7 @@ SELECT ticker, date_trunc('hour', ts) AS hour, round(arg_min(value, ts), 6) + 0.
   round(arg_max(value, ts), 6) + 0.0 AS close, count(*) AS volume
 FROM ticks GROUP BY 1, 2""")
 def q_ohlcv_bars_stream(spark, sf_dir):
-    """A4 as a stream: watermark, event-time windows, foreachBatch upserts, availableNow trigger."""
+    """A4 as a stream: partial bars per micro-batch (availableNow trigger), merged when they are read."""
     schema = table(spark, sf_dir, "events").schema
     out = run_bars_stream(spark, sf_dir, schema, scratch(spark, "bars-stream"), file_glob="events.parquet")
     return finish(read_bars(spark, out).withColumn("volume", F.col("volume").cast("long")))

@@ -186,23 +186,10 @@ SELECT ticker, date, d0 AS raw_signal, sig AS trend_filtered_signal FROM bt""")
 def q_regime_signal(spark, sf_dir):
     """Risk filters, regime rule lists and the trend consistency filter."""
     t = regime_table(spark, sf_dir)
-    return finish(t.select("ticker", "date", _unfiltered_signal().alias("raw_signal"),
+    return finish(t.select("ticker", "date", B.raw_signal().alias("raw_signal"),
                            B.regime_signal().alias("trend_filtered_signal")))
 
 
-def _unfiltered_signal():
-    """The J13 decision before the trend-consistency filter."""
-    p, a, rg = F.col("predicted_probability_up"), F.col("arima_mean_forecast_percent"), F.col("market_regime")
-    up_rules = (F.when((p > 0.55) & (a > B.ARIMA_FLOOR), "UP").when((p < 0.45) & (a < 0), "DOWN")
-                .when(p > B.UP_FALLBACK, "UP").when(p < B.DOWN_FALLBACK, "DOWN").otherwise("NO TRADE"))
-    down_rules = (F.when((p < 0.45) & (a < 0), "DOWN").when((p > B.DOWNTREND_UP) & (a > B.ARIMA_FLOOR), "UP")
-                  .when(p < B.DOWN_FALLBACK, "DOWN").when(p > B.UP_FALLBACK, "UP").otherwise("NO TRADE"))
-    return (F.when(p.isNull() | a.isNull() | F.col(G).isNull(), "NO TRADE")
-            .when(rg == "risk_off", "NO TRADE").when(F.col(G) > F.col("volatility_cutoff"), "NO TRADE")
-            .when(F.abs(p - 0.5) < 0.08, "NO TRADE").when(rg == "low_vol_uptrend", up_rules)
-            .when(rg == "low_vol_downtrend", down_rules).otherwise("NO TRADE"))
-
-
 @register("confidence_position", with_recursive(*backtest_sql_ctes()) + f"""
 SELECT ticker, date, regime_aware_signal, {rnd(['conf', 'position'])} FROM bt""")
 def q_confidence_position(spark, sf_dir):
