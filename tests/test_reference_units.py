@@ -174,7 +174,7 @@ def test_forecast_orders_general_and_finite(spark):
     noise = np.random.default_rng(2).normal(size=400) / 100
     df = spark.createDataFrame([(7, day + dt.timedelta(i), float(x)) for i, x in enumerate(noise)], df.schema)
     for order in ((0, 0, 3), (1, 0, 2)):
-        out = RC.forecast_orders(df, order, step=0.9).orderBy("date").collect()
+        out = RC.forecast_orders(df, order).orderBy("date").collect()
         assert all(r.forecast_percent is not None and np.isfinite(r.forecast_percent) for r in out[RC.ARMA_MIN_ROWS:])
 
 
