@@ -1,15 +1,23 @@
 """Operator 1: quality classifier by an interpolated modified Kneser-Ney
 trigram model of trusted text.
 
-Per language a model is fitted on a bounded sample of trusted documents:
-n-gram counts, continuation counts, discounts from counts of counts, and
-back-off weights are grouped aggregations and joins on n-gram hashes. A
-document's perplexity comes from joining its n-grams with the count tables
-and summing log probabilities per document before the shuffle. The perplexity of a
+Every trusted document is used, for one of two things: by a hash of the id, one half is
+fitted on, the other half, which the fit has not seen, gives the quantiles.
+Per language, n-gram counts, continuation counts, discounts from counts of counts, and
+back-off weights of the whole half are grouped aggregations and joins on n-gram hashes.
+
+In back-off form a word's log probability is a sum over the n-grams that end in it:
+each known n-gram adds what its own probability gains over backing off, each known context its
+back-off weight, the rest nothing. So a document's perplexity takes one join of its
+n-grams with one table of these terms, which drops unknown n-grams, and a sum per document; words,
+which have toxic ratios as well, are joined on their own. Small tables are broadcast, large ones
+cut into parts of PART_ROWS rows, so a task's memory is bounded.
+
+The perplexity of a
 few words says little, so a document's mean log probability is first mixed
 with ``prior_words`` words at its language's average. A document is rejected when
-this smoothed perplexity exceeds its language's quantile over all trusted
-documents that the fit could not choose.
+this smoothed perplexity exceeds its language's quantile over the trusted
+documents of the half that the fit has not seen.
 
 Toxic words in normal prose vanish in a document's mean. Word probabilities of the same
 kind, from documents labelled toxic, give every word a log-likelihood ratio
@@ -19,8 +27,8 @@ would hold so many of them with a probability below ``toxic_tail`` (Poisson, at
 documents' rate), so a long clean text with a few is kept. The ratio takes the models' lowest order (distinct
 predecessors of a word): longer n-grams recognise copied passages, not toxic words.
 
-Only the fit is bounded (``max_docs`` and ``max_chars`` per language, whole
-texts, chosen by hash of the id, none above a quarter of ``max_chars``); quantiles and scores use every document.
+Nothing is bounded unless the caller asks for it: ``max_docs`` or ``max_chars`` limit the fit to so much
+per language (``training_sample``); the queries do not.
 """
 
 from __future__ import annotations
@@ -32,7 +40,7 @@ from pyspark.sql import Window as W
 from quiver.llm.common import lower_ascii, materialize, space_words, text_of
 from quiver.session import tune
 
-#: Bounds of the fit for one language.
+#: Bounds of ``training_sample`` for one language.
 MAX_DOCS, MAX_CHARS = 400, 600_000
 #: A document longer than this share of max_chars stays out of the fit.
 MAX_SHARE = 0.25
@@ -44,33 +52,36 @@ TOXIC_QUANTILE, TOXIC_TAIL = 0.99, 0.02
 PRIOR_WORDS = 16
 #: Languages up to which per-language rows are broadcast.
 BROADCAST_LANGS = 10_000
-#: Documents of the fit up to which their ids are broadcast.
+#: Labelled documents up to which their ids are broadcast.
 BROADCAST_IDS = 200_000
-#: Rows of all count tables up to which they are broadcast; beyond, Spark shuffles.
+#: Rows of a model table up to which it is broadcast; beyond, Spark shuffles.
 BROADCAST_ROWS = 4_000_000
+#: Rows of a shuffled n-gram table in one task.
+PART_ROWS = 500_000
 #: Hash that stands for the start of a text.
 START = 0
 
 
 def _ngrams(texts: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each word of ``text``: keep, u, v, w (hashes of the two words before it and its own)."""
+    """A row for each word of ``text``: keep, u, v, w (hashes of the two words before it and its own), last (no word follows)."""
     words = texts.select(*keep, space_words(lower_ascii(F.col("text"))).alias("words"))
     hashed = words.select(*keep, F.transform("words", lambda x: F.xxhash64(x)).alias("w"))
     start = F.lit(START).cast("bigint")
     n = F.size("w")
     u = F.slice(F.concat(F.array(start, start), F.col("w")), F.lit(1), n)
     v = F.slice(F.concat(F.array(start), F.col("w")), F.lit(1), n)
-    return hashed.select(*keep, F.inline(F.arrays_zip(u.alias("u"), v.alias("v"), F.col("w"))))
+    last = F.slice(F.concat(F.array_repeat(F.lit(False), n - 1), F.array(F.lit(True))), F.lit(1), n)
+    return hashed.select(*keep, F.inline(F.arrays_zip(u.alias("u"), v.alias("v"), F.col("w"), last.alias("last"))))
 
 
 def fit_half(doc_id: Column) -> Column:
-    """Trusted documents of this half may be fitted on; the other half, never
+    """Trusted documents of this half are fitted on; the other half, never
     seen by the fit, gives the quantiles."""
     return F.pmod(F.xxhash64(doc_id, F.lit("fit")), F.lit(2)) == 0
 
 
 def training_sample(trusted: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> DataFrame:
-    """Ids of at most max_docs whole documents per language, in
+    """For callers that bound the fit: ids of at most max_docs whole documents per language, in
     the order of the id's hash, as long as their lengths add up to at most max_chars.
 
     Documents above MAX_SHARE of max_chars are left out, so one long text
@@ -108,19 +119,22 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 
 def _discounted(counts: DataFrame, context: list[str], discounts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """From (lang, context..., w, c): (lang, context..., w, share) and (lang,
+    """From (lang, context..., w, c): (lang, context..., w, share, gamma) and (lang,
     context..., gamma): discounted probability and the mass left to the lower order."""
     rows = counts.join(discounts, "lang").withColumn(
         "d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
     total = rows.groupBy("lang", *context).agg(F.sum("c").alias("total"), F.sum("d").alias("cut"))
-    share = rows.join(total, ["lang", *context]).select("lang", *context, "w", ((F.col("c") - F.col("d")) / F.col("total")).alias("share"))
-    return share, total.select("lang", *context, (F.col("cut") / F.col("total")).alias("gamma"))
+    gamma = (F.col("cut") / F.col("total")).alias("gamma")
+    share = rows.join(total, ["lang", *context]).select("lang", *context, "w", ((F.col("c") - F.col("d")) / F.col("total")).alias("share"), gamma)
+    return share, total.select("lang", *context, gamma)
 
 
 def fit(texts: DataFrame) -> dict[str, DataFrame]:
-    """Count tables of (lang, text) rows: share (k, p) of every n-gram, mass
-    (k, g) left by every context, floor (lang, floor) of an unseen word; k
-    hashes the language and one to three words."""
+    """Tables of (lang, text) rows: share (k, p) of every n-gram, mass (k, g) left by
+    every context, words (k, p, g) with both of a word, floor (lang, floor, start) of an unseen word and
+    the log weights of the contexts before a first word; k hashes the language and one to three words. ngrams
+    (k, gain, back): the log of a known word pair's or triple's probability against backing off, and the
+    log weight of a pair as a context."""
     rows = _ngrams(texts, ["lang"])
     c3 = materialize(rows.groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-trigrams")
     # lower orders count distinct predecessors
@@ -131,14 +145,29 @@ def fit(texts: DataFrame) -> dict[str, DataFrame]:
     s3, g3 = _discounted(c3, ["u", "v"], d3)
     s2, g2 = _discounted(c2, ["v"], d2)
     s1, g1 = _discounted(c1, [], d1)
+    g3, g2 = materialize(g3, "kn-pair-mass"), materialize(g2, "kn-word-mass")
     share = [t.select(F.xxhash64("lang", *words, "w").alias("k"), F.col("share").alias("p"))
              for t, words in ((s3, ["u", "v"]), (s2, ["v"]), (s1, []))]
     mass = [t.select(F.xxhash64("lang", *words).alias("k"), F.col("gamma").alias("g"))
             for t, words in ((g3, ["u", "v"]), (g2, ["v"]))]
     v = c1.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    floor = g1.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("floor"))
-    return {"share": materialize(share[0].union(share[1]).union(share[2]), "kn-share"),
-            "words": materialize(share[2], "kn-word-share"), "mass": materialize(mass[0].union(mass[1]), "kn-mass"), "floor": materialize(floor, "kn-floor")}
+    start = g3.where((F.col("u") == START) & (F.col("v") == START)).select("lang", F.log("gamma").alias("pair")).join(
+        g2.where(F.col("v") == START).select("lang", F.log("gamma").alias("word")), "lang").select(
+            "lang", (F.col("pair") + F.col("word")).alias("start"))
+    floor = materialize(g1.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("floor")).join(start, "lang"), "kn-floor")
+    p1 = materialize(s1.join(_bounded(floor, BROADCAST_LANGS), "lang").select("lang", "w", "share", (F.col("share") + F.col("floor")).alias("p1")), "kn-word-p")
+    # a pair's or triple's whole probability is its share and, by gamma, that of the lower order
+    lower = F.col("gamma") * F.col("p1")
+    p2 = materialize(s2.join(_bounded(p1.drop("share"), BROADCAST_ROWS), ["lang", "w"]).select(
+        "lang", "v", "w", (F.col("share") + lower).alias("p2"), F.log1p(F.col("share") / lower).alias("gain")), "kn-pair-p")
+    pairs = p2.join(g3.select("lang", F.col("u").alias("v"), F.col("v").alias("w"), F.log("gamma").alias("back")), ["lang", "v", "w"], "left").select(
+        F.xxhash64("lang", "v", "w").alias("k"), "gain", F.coalesce("back", F.lit(0.0)).alias("back"))
+    triples = s3.join(p2.drop("gain"), ["lang", "v", "w"]).select(
+        F.xxhash64("lang", "u", "v", "w").alias("k"), F.log1p(F.col("share") / (F.col("gamma") * F.col("p2"))).alias("gain"), F.lit(0.0).alias("back"))
+    words = p1.select("lang", "w", "share").join(g2.withColumnRenamed("v", "w"), ["lang", "w"], "left").select(
+        F.xxhash64("lang", "w").alias("k"), F.col("share").alias("p"), F.coalesce("gamma", F.lit(1.0)).alias("g"))
+    return {"share": share[0].union(share[1]).union(share[2]), "mass": mass[0].union(mass[1]), "floor": floor,
+            "words": materialize(words, "kn-words-model"), "ngrams": materialize(pairs.union(triples), "kn-ngrams")}
 
 
 def with_toxic(model: dict[str, DataFrame], texts: DataFrame) -> dict[str, DataFrame]:
@@ -150,35 +179,48 @@ def with_toxic(model: dict[str, DataFrame], texts: DataFrame) -> dict[str, DataF
     cuts = _bounded(_discounts({1: c1, 2: c1.limit(0), 3: c1.limit(0)}).drop("n"), BROADCAST_LANGS)
     share, mass = _discounted(c1, [], cuts)
     both = model["words"].withColumn("t", F.lit(0.0)).union(
-        share.select(F.xxhash64("lang", "w").alias("k"), F.lit(0.0).alias("p"), F.col("share").alias("t")))
+        share.select(F.xxhash64("lang", "w").alias("k"), F.lit(0.0).alias("p"), F.lit(1.0).alias("g"), F.col("share").alias("t")))
     v = c1.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     floor = mass.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("toxic_floor"))
-    return {**model, "words": materialize(both.groupBy("k").agg(F.sum("p").alias("p"), F.sum("t").alias("t")), "kn-words-toxic"),
+    both = both.groupBy("k").agg(F.sum("p").alias("p"), F.min("g").alias("g"), F.sum("t").alias("t"))  # no weight is above 1
+    return {**model, "words": materialize(both, "kn-words-toxic"),
             "floor": materialize(model["floor"].join(floor, "lang", "left"), "kn-floor-toxic")}
 
 
+def _terms(docs: DataFrame, ngrams: DataFrame) -> DataFrame:
+    """(id, terms): summed terms of the known word pairs and triples of ``docs`` (id, lang, text)."""
+    rows = _ngrams(docs, ["id", "lang"]).select(
+        # an even id; one more where no word follows, so that the pair is no context
+        (F.col("id") + F.col("last").cast("bigint")).alias("id"),
+        F.stack(F.lit(2), F.xxhash64("lang", "u", "v", "w"), F.xxhash64("lang", "v", "w")).alias("k"))
+    n = ngrams.count()
+    if n <= BROADCAST_ROWS:
+        found = rows.join(F.broadcast(ngrams), "k")
+    else:
+        parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_ROWS))
+        found = rows.join(ngrams.repartition(parts, "k").hint("shuffle_hash"), "k")
+    term = F.col("gain") + F.when(F.col("id") % 2 == 0, F.col("back")).otherwise(0.0)
+    return found.groupBy((F.col("id") - F.pmod("id", F.lit(2))).alias("id")).agg(F.sum(term).alias("terms"))
+
+
 def perplexities(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     """(doc_id, k, lang, n_words, perplexity, toxicity) of ``docs`` (doc_id, k, lang,
     text) with words and a modelled language; the model is ``with_toxic``."""
-    size = sum(t.count() for t in model.values())
-    share, words, mass, floor = (F.broadcast(t) if size <= BROADCAST_ROWS else t for t in (model[n] for n in ("share", "words", "mass", "floor")))
-    rows = _ngrams(docs, ["doc_id", "k", "lang"]).join(floor, "lang")
-    rows = rows.select("doc_id", F.col("k").alias("text_k"), "lang", "floor", "toxic_floor", (F.col("v") == START).alias("first"), F.xxhash64("lang", "u", "v", "w").alias("a3"),
-                       F.xxhash64("lang", "v", "w").alias("a2"), F.xxhash64("lang", "w").alias("a1"),
-                       F.xxhash64("lang", "u", "v").alias("g3"), F.xxhash64("lang", "v").alias("g2"))
-    # each hash is replaced by what its table holds; three tables serve five joins
-    for col, t, value, absent in (("a3", share, "p", 0.0), ("a2", share, "p", 0.0), ("a1", words, "p", 0.0),
-                                  ("g3", mass, "g", 1.0), ("g2", mass, "g", 1.0)):
-        rest = [F.col(f"r.{c}") for c in rows.columns if c != col]
-        also = [F.coalesce("m.t", F.lit(0.0)).alias("t1")] if col == "a1" else []
-        rows = rows.alias("r").join(t.alias("m"), F.col(f"r.{col}") == F.col("m.k"), "left").select(
-            *rest, F.coalesce(F.col(f"m.{value}"), F.lit(absent)).alias(col), *also)
-    p = F.col("a3") + F.col("g3") * (F.col("a2") + F.col("g2") * (F.col("a1") + F.col("floor")))
-    ratio = (F.col("t1") + F.col("toxic_floor")) / (F.col("a1") + F.col("floor"))
-    return (rows.groupBy("doc_id", F.col("text_k").alias("k"), "lang")
-            # rows that repeat a document each begin once
-            .agg((F.count(F.lit(1)) / F.count_if("first")).cast("bigint").alias("n_words"), F.avg(F.log(p)).alias("mean"), F.max(ratio).alias("ratio"))
-            .select("doc_id", "k", "lang", "n_words", F.exp(-F.col("mean")).alias("perplexity"), F.log("ratio").alias("toxicity")))
+    docs = docs.withColumn("id", F.shiftleft(F.xxhash64("doc_id", "k", "lang"), 1))
+    floor, words = _bounded(model["floor"], BROADCAST_LANGS), _bounded(model["words"], BROADCAST_ROWS)
+    rows = _ngrams(docs, ["doc_id", "k", "lang", "id"]).select(
+        "doc_id", F.col("k").alias("text_k"), "lang", "id", "last", F.xxhash64("lang", "w").alias("a1"))
+    rows = rows.join(floor, "lang").alias("r").join(words.alias("m"), F.col("r.a1") == F.col("m.k"), "left")
+    p, t, g = (F.coalesce(f"m.{c}", F.lit(x)) for c, x in (("p", 0.0), ("t", 0.0), ("g", 1.0)))
+    ratio = (t + F.col("toxic_floor")) / (p + F.col("floor"))
+    # rows that repeat a document each end once
+    own = rows.groupBy("doc_id", F.col("text_k").alias("k"), "lang", "id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("last").alias("copies"), F.first("start").alias("start"), F.max(ratio).alias("ratio"),
+        F.sum(F.log(p + F.col("floor")) + F.when(F.col("last"), 0.0).otherwise(F.log(g))).alias("own"))
+    mean = (F.col("own") + F.coalesce("terms", F.lit(0.0)) + F.col("copies") * F.col("start")) / F.col("n")
+    return own.join(_terms(docs.select("id", "lang", "text"), model["ngrams"]), "id", "left").select(
+        "doc_id", "k", "lang", (F.col("n") / F.col("copies")).cast("bigint").alias("n_words"),
+        F.exp(-mean).alias("perplexity"), F.log("ratio").alias("toxicity"))
 
 
 def suspect_words(docs: DataFrame, flagged: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
@@ -206,16 +248,17 @@ def poisson_tail(k: Column, mean: Column) -> Column:
 
 
 def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN,
-                  max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, prior_words: float = PRIOR_WORDS,
+                  max_docs: int | None = None, max_chars: int | None = None, prior_words: float = PRIOR_WORDS,
                   toxic_quantile: float = TOXIC_QUANTILE, toxic_tail: float = TOXIC_TAIL, id_col: str = "doc_id",
                   text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per input row: doc_id, lang, text_hash, n_words, perplexity, smoothed, threshold, toxicity, toxic_threshold, suspects, kept.
 
     Trusted are documents labelled quality 1 and not toxic; by hash of the
-    id, one half may be fitted on and the other gives the languages' averages and
+    id, one half is fitted on and the other gives the languages' averages and
     thresholds: ``margin`` times the ``quantile`` of their smoothed perplexities, the
-    ``toxic_quantile`` of their toxicities and the rate of suspect words. Documents labelled toxic are halved and bounded alike;
-    a language without any in the fit half has null toxicities, which reject nothing. Texts without words (null, empty)
+    ``toxic_quantile`` of their toxicities and the rate of suspect words. Documents labelled toxic are halved alike;
+    ``max_docs`` and ``max_chars``, if given, bound both fits per language. A
+    language without any in the fit half has null toxicities, which reject nothing. Texts without words (null, empty)
     have no perplexity and are rejected. A language without trusted text
     outside the fit (null included) cannot be judged: smoothed perplexity and threshold are null and
     the document is kept. Repeated rows are judged alike; a label holds for every row of its id;
@@ -229,14 +272,16 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
         F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and coalesce(t, 0) = 0").select("label_id")
     good = materialize(good, "trusted-ids")
     harsh = labels.where("toxic = 1").select(F.col("doc_id").alias("label_id")).distinct()
-    lengths = d.select("doc_id", "lang", F.length(F.btrim("text")).alias("chars"))
-    trusted = materialize(lengths.join(good, F.col("doc_id") == F.col("label_id"), "left_semi"), "trusted")
-    sample = materialize(training_sample(trusted, max_docs, max_chars), "fit-ids")
-    # at most max_docs ids for each language
-    model = fit(d.join(_bounded(sample, BROADCAST_IDS), "doc_id", "left_semi").select("lang", "text"))
-    toxic = materialize(lengths.join(harsh, F.col("doc_id") == F.col("label_id"), "left_semi"), "toxic")
-    toxic = materialize(training_sample(toxic, max_docs, max_chars), "toxic-fit-ids")
-    model = with_toxic(model, d.join(_bounded(toxic, BROADCAST_IDS), "doc_id", "left_semi").select("lang", "text"))
+
+    def fit_texts(ids: DataFrame) -> DataFrame:
+        texts = d.where(fit_half(F.col("doc_id"))).join(_bounded(ids, BROADCAST_IDS), F.col("doc_id") == F.col("label_id"), "left_semi")
+        if max_docs is not None or max_chars is not None:
+            lengths = materialize(texts.select("doc_id", "lang", F.length(F.btrim("text")).alias("chars")), "fit-lengths")
+            few = training_sample(lengths, 2 ** 31 - 1 if max_docs is None else max_docs, 2 ** 62 if max_chars is None else max_chars)
+            texts = texts.join(materialize(few, "fit-ids"), "doc_id", "left_semi")
+        return texts.select("lang", "text")
+
+    model = with_toxic(fit(fit_texts(good)), fit_texts(materialize(harsh, "toxic-ids")))
     scored = materialize(perplexities(d, model), "perplexities")
     unseen = materialize(scored.where(~fit_half(F.col("doc_id"))).join(good, F.col("doc_id") == F.col("label_id"), "left_semi")
                          .select("doc_id", "k", "lang", "n_words", F.log("perplexity").alias("mean"), "toxicity"), "unseen-trusted")
