@@ -391,7 +391,7 @@ def test_long_documents_leave_the_fit(spark):
 def test_queries_and_pipeline(spark):
     import __spark_entry__ as E
     assert set(queries.QUERIES) <= set(E.queries()) and "pipeline" in E.queries()
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in queries.QUERIES) == list(range(1, 14))
     final = {r.doc_id: r for r in corpus_pipeline.run(spark, SF001).collect()}
     d = spark.read.parquet(f"{SF001}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
