@@ -8,11 +8,16 @@ back-off weights of the whole half are grouped aggregations and joins on n-gram
 
 In back-off form a word's log probability is a sum over the n-grams that end in it:
 each known n-gram adds what its own probability gains over backing off, each known context its
-back-off weight, the rest nothing. So a document's perplexity takes one join of its
-n-grams with one table of these terms, which drops unknown n-grams, and a sum per document; words,
+back-off weight, the rest nothing. So a document's perplexity takes a join of its
+n-grams with a table of these terms, which drops unknown n-grams, and a sum per document; words,
 which have toxic ratios as well, are joined on their own. Small tables are broadcast, large ones
 cut into parts of PART_ROWS rows, so a task's memory is bounded.
 
+N-grams of a whole corpus take many times its room on disk. So they are counted and looked up in up to
+SLICES slices, one after another, by the hash of the word before: what is known of
+a triple (u, v, w), of the pair (v, w) and of the context (u, v) depends on no other v, given words' probabilities and
+discounts, which a first round of slices gathers. Every slice is done whole; its tables and shuffle files go before the next.
+
 The perplexity of a
 few words says little, so a document's mean log probability is first mixed
 with ``prior_words`` words at its language's average. A document is rejected when
@@ -33,11 +38,13 @@ per language (``training_sample``); the queries do not.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quiver.llm.common import lower_ascii, materialize, space_words, text_of
+from quiver.llm.common import SPACES, discard, lower_ascii, materialize_lean, space_words, text_of
 from quiver.session import tune
 
 #: Bounds of ``training_sample`` for one language.
@@ -60,12 +67,24 @@ BROADCAST_ROWS = 4_000_000
 PART_ROWS = 500_000
 #: Hash that stands for the start of a text.
 START = 0
+#: Slices that n-grams are counted and looked up in, one after another: more take less disk and more time.
+SLICES = 12
+#: Words of fitted text up to which fewer slices do.
+SLICE_WORDS = 1_000_000
+#: Tells a context's hash from a pair's.
+CONTEXT = "context"
+
+
+def _hashed(texts: DataFrame, keep: list[str]) -> DataFrame:
+    """keep and w, the array of the hashes of the words of ``text``."""
+    text = F.btrim(lower_ascii(F.col("text")), F.lit(SPACES))
+    # trimmed, only a text without words has an empty one
+    words = F.array_remove(F.split(text, r"[ \t\n\x0B\f\r]+"), "")
+    return texts.select(*keep, F.transform(words, lambda x: F.xxhash64(x)).alias("w"))
 
 
-def _ngrams(texts: DataFrame, keep: list[str]) -> DataFrame:
-    """A row for each word of ``text``: keep, u, v, w (hashes of the two words before it and its own), last (no word follows)."""
-    words = texts.select(*keep, space_words(lower_ascii(F.col("text"))).alias("words"))
-    hashed = words.select(*keep, F.transform("words", lambda x: F.xxhash64(x)).alias("w"))
+def _rows(hashed: DataFrame, keep: list[str]) -> DataFrame:
+    """A row for each word of ``w``: keep, u, v, w (hashes of the two words before it and its own), last (no word follows)."""
     start = F.lit(START).cast("bigint")
     n = F.size("w")
     u = F.slice(F.concat(F.array(start, start), F.col("w")), F.lit(1), n)
@@ -74,6 +93,12 @@ def _ngrams(texts: DataFrame, keep: list[str]) -> DataFrame:
     return hashed.select(*keep, F.inline(F.arrays_zip(u.alias("u"), v.alias("v"), F.col("w"), last.alias("last"))))
 
 
+def _slice(rows: DataFrame, slices: int, i: int) -> DataFrame:
+    """The rows of slice ``i``, by the word before. All that is counted of a triple (u, v, w), pair (v, w) and
+    context (u, v) is counted in the slice of v."""
+    return rows if slices == 1 else rows.where(F.pmod("v", F.lit(slices)) == i)
+
+
 def fit_half(doc_id: Column) -> Column:
     """Trusted documents of this half are fitted on; the other half, never
     seen by the fit, gives the quantiles."""
@@ -98,11 +123,14 @@ def training_sample(trusted: DataFrame, max_docs: int = MAX_DOCS, max_chars: int
     return short.union(lone).distinct()
 
 
-def _discounts(orders: dict[int, DataFrame]) -> DataFrame:
-    """(lang, n, d1, d2, d3): discounts of counts 1, 2 and 3 or more of each order n."""
-    parts = [t.select("lang", F.lit(n).alias("n"), "c") for n, t in orders.items()]
-    ones = parts[0].union(parts[1]).union(parts[2]).groupBy("lang", "n").agg(
-        *[F.count_if(F.col("c") == i).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
+def _counts_of_counts(counts: DataFrame, n: int) -> DataFrame:
+    """(lang, n, n1, n2, n3, n4): how many n-grams of order n have a count of 1, 2, 3 and 4."""
+    return counts.groupBy("lang").agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).select(
+        "lang", F.lit(n).alias("n"), "n1", "n2", "n3", "n4")
+
+
+def _discounts(ones: DataFrame) -> DataFrame:
+    """(lang, n, d1, d2, d3): discounts of counts 1, 2 and 3 or more of each order n, from counts of counts."""
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def discount(k: int) -> Column:
@@ -110,7 +138,8 @@ def _discounts(orders: dict[int, DataFrame]) -> DataFrame:
         # a sample without such counts of counts: 0.5, 0.75, 1
         return F.least(F.greatest(F.coalesce(raw, F.lit(0.25 + 0.25 * k)), F.lit(0.05)), F.lit(float(k)))
 
-    return materialize(ones.select("lang", "n", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)]), "kn-discounts")
+    ones = ones.groupBy("lang", "n").agg(*[F.sum(f"n{i}").cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)])
+    return materialize_lean(ones.select("lang", "n", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)]), "kn-discounts")
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -129,86 +158,136 @@ def _discounted(counts: DataFrame, context: list[str], discounts: DataFrame) ->
     return share, total.select("lang", *context, gamma)
 
 
+def _counted(words: DataFrame, slices: int = 1, i: int = 0) -> tuple[DataFrame, DataFrame]:
+    """Counts (lang, u, v, w, c) of the slice's triples and, of distinct predecessors, (lang, v, w, c) of its pairs."""
+    rows = _slice(_rows(words, ["lang"]), slices, i)
+    c3 = materialize_lean(rows.groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-trigrams")
+    return c3, materialize_lean(c3.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-bigrams")
+
+
+def _statistics(c3: DataFrame, c2: DataFrame) -> DataFrame:
+    """What the whole model needs of a slice: (of, lang, w, total, n1, n2, n3, n4) with counts of counts of "3" triples and
+    "2" pairs; "word": distinct words before w; "context": the counts after w; "start": those after the start of a text."""
+    def counts(t: DataFrame, of: str, w: Column, *by: str) -> DataFrame:
+        return t.groupBy("lang", *by).agg(F.sum("c").alias("total"), *[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)],
+                                          F.count(F.lit(1)).alias("n")).select(F.lit(of).alias("of"), "lang", w.alias("w"), "total", "n", "n1", "n2", "n3", "n4")
+
+    zero = F.lit(START).cast("bigint")
+    first = c3.where((F.col("u") == START) & (F.col("v") == START))
+    return (counts(c3, "3", zero).union(counts(c2, "2", zero)).union(counts(c2, "context", F.col("v"), "v"))
+            .union(counts(first, "start", zero)).union(counts(c2, "word", F.col("w"), "w")))
+
+
+def _slices(fitted: DataFrame) -> int:
+    """Number of slices for the words of ``fitted``."""
+    return min(SLICES, 1 + (fitted.agg(F.sum(F.size("w"))).first()[0] or 0) // SLICE_WORDS)
+
+
 def fit(texts: DataFrame) -> dict[str, DataFrame]:
     """Tables of (lang, text) rows: share (k, p) of every n-gram, mass (k, g) left by
     every context, words (k, p, g) with both of a word, floor (lang, floor, start) of an unseen word and
-    the log weights of the contexts before a first word; k hashes the language and one to three words. ngrams
-    (k, gain, back): the log of a known word pair's or triple's probability against backing off, and the
-    log weight of a pair as a context."""
-    rows = _ngrams(texts, ["lang"])
-    c3 = materialize(rows.groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-trigrams")
-    # lower orders count distinct predecessors
-    c2 = materialize(c3.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-bigrams")
-    c1 = materialize(c2.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")), "kn-words")
-    cuts = _discounts({3: c3, 2: c2, 1: c1})
+    the log weights of the contexts before a first word; k hashes the language and one to three words. For
+    ``slice_terms``: fitted (the texts' hashed words), d3, d2 (discounts) and p1 (lang, w, share, p1)."""
+    fitted = materialize_lean(_hashed(texts, ["lang"]), "kn-fit-words")
+    # counts alone take less disk than counts, probabilities and documents
+    slices, parts = -(-_slices(fitted) // 3), []
+    for i in range(slices):
+        c3, c2 = _counted(fitted, slices, i)
+        parts.append(materialize_lean(_statistics(c3, c2), "kn-statistics"))
+        discard(c3, c2)
+    known = reduce(DataFrame.union, parts)
+    c1 = materialize_lean(known.where("of = 'word'").groupBy("lang", "w").agg(F.sum("n").alias("c")), "kn-words")
+    ones = known.where("of in ('2', '3')").select("lang", F.col("of").cast("int").alias("n"), "n1", "n2", "n3", "n4")
+    cuts = _discounts(ones.union(_counts_of_counts(c1, 1)))
     d3, d2, d1 = (_bounded(cuts.where(F.col("n") == n).drop("n"), BROADCAST_LANGS) for n in (3, 2, 1))
-    s3, g3 = _discounted(c3, ["u", "v"], d3)
-    s2, g2 = _discounted(c2, ["v"], d2)
+    # the discounts of a context's counts, from how many are 1, 2 and more
+    gamma = (F.col("n1") * F.col("d1") + F.col("n2") * F.col("d2") + (F.col("n") - F.col("n1") - F.col("n2")) * F.col("d3")) / F.col("total")
+    g2 = materialize_lean(known.where("of = 'context'").join(d2, "lang").select("lang", F.col("w").alias("v"), gamma.alias("gamma")), "kn-word-mass")
+    first = known.where("of = 'start'").join(d3, "lang").select("lang", F.log(gamma).alias("pair"))
+    start = first.join(g2.where(F.col("v") == START).select("lang", F.log("gamma").alias("word")), "lang").select(
+        "lang", (F.col("pair") + F.col("word")).alias("start"))
     s1, g1 = _discounted(c1, [], d1)
-    g3, g2 = materialize(g3, "kn-pair-mass"), materialize(g2, "kn-word-mass")
-    share = [t.select(F.xxhash64("lang", *words, "w").alias("k"), F.col("share").alias("p"))
-             for t, words in ((s3, ["u", "v"]), (s2, ["v"]), (s1, []))]
-    mass = [t.select(F.xxhash64("lang", *words).alias("k"), F.col("gamma").alias("g"))
-            for t, words in ((g3, ["u", "v"]), (g2, ["v"]))]
     v = c1.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
-    start = g3.where((F.col("u") == START) & (F.col("v") == START)).select("lang", F.log("gamma").alias("pair")).join(
-        g2.where(F.col("v") == START).select("lang", F.log("gamma").alias("word")), "lang").select(
-            "lang", (F.col("pair") + F.col("word")).alias("start"))
-    floor = materialize(g1.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("floor")).join(start, "lang"), "kn-floor")
-    p1 = materialize(s1.join(_bounded(floor, BROADCAST_LANGS), "lang").select("lang", "w", "share", (F.col("share") + F.col("floor")).alias("p1")), "kn-word-p")
-    # a pair's or triple's whole probability is its share and, by gamma, that of the lower order
-    lower = F.col("gamma") * F.col("p1")
-    p2 = materialize(s2.join(_bounded(p1.drop("share"), BROADCAST_ROWS), ["lang", "w"]).select(
-        "lang", "v", "w", (F.col("share") + lower).alias("p2"), F.log1p(F.col("share") / lower).alias("gain")), "kn-pair-p")
-    pairs = p2.join(g3.select("lang", F.col("u").alias("v"), F.col("v").alias("w"), F.log("gamma").alias("back")), ["lang", "v", "w"], "left").select(
-        F.xxhash64("lang", "v", "w").alias("k"), "gain", F.coalesce("back", F.lit(0.0)).alias("back"))
-    triples = s3.join(p2.drop("gain"), ["lang", "v", "w"]).select(
-        F.xxhash64("lang", "u", "v", "w").alias("k"), F.log1p(F.col("share") / (F.col("gamma") * F.col("p2"))).alias("gain"), F.lit(0.0).alias("back"))
+    floor = materialize_lean(g1.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("floor")).join(start, "lang"), "kn-floor")
+    p1 = materialize_lean(s1.join(_bounded(floor, BROADCAST_LANGS), "lang").select("lang", "w", "share", (F.col("share") + F.col("floor")).alias("p1")), "kn-word-p")
     words = p1.select("lang", "w", "share").join(g2.withColumnRenamed("v", "w"), ["lang", "w"], "left").select(
         F.xxhash64("lang", "w").alias("k"), F.col("share").alias("p"), F.coalesce("gamma", F.lit(1.0)).alias("g"))
-    return {"share": share[0].union(share[1]).union(share[2]), "mass": mass[0].union(mass[1]), "floor": floor,
-            "words": materialize(words, "kn-words-model"), "ngrams": materialize(pairs.union(triples), "kn-ngrams")}
+    words = materialize_lean(words, "kn-words-model")
+    discard(*parts, c1, g2)
+    # computed when read, in one go
+    c3 = _rows(fitted, ["lang"]).groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c"))
+    s3, g3 = _discounted(c3, ["u", "v"], d3)
+    s2, g2 = _discounted(c3.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c")), ["v"], d2)
+    share = [t.select(F.xxhash64("lang", *by, "w").alias("k"), F.col("share").alias("p")) for t, by in ((s3, ["u", "v"]), (s2, ["v"]), (p1, []))]
+    mass = [t.select(F.xxhash64("lang", *by).alias("k"), F.col("gamma").alias("g")) for t, by in ((g3, ["u", "v"]), (g2, ["v"]))]
+    return {"share": share[0].union(share[1]).union(share[2]), "mass": mass[0].union(mass[1]), "floor": floor, "words": words,
+            "fitted": fitted, "d3": d3, "d2": d2, "p1": p1}
 
 
 def with_toxic(model: dict[str, DataFrame], texts: DataFrame) -> dict[str, DataFrame]:
     """The model with word probabilities of toxic (lang, text) rows: column t
     in words, toxic_floor in floor (null for a language without such texts)."""
-    rows = _ngrams(texts, ["lang"])
+    rows = _rows(_hashed(texts, ["lang"]), ["lang"])
     c2 = rows.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c"))
-    c1 = materialize(c2.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")), "toxic-words")
-    cuts = _bounded(_discounts({1: c1, 2: c1.limit(0), 3: c1.limit(0)}).drop("n"), BROADCAST_LANGS)
+    c1 = materialize_lean(c2.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")), "toxic-words")
+    cuts = _bounded(_discounts(_counts_of_counts(c1, 1)).drop("n"), BROADCAST_LANGS)
     share, mass = _discounted(c1, [], cuts)
     both = model["words"].withColumn("t", F.lit(0.0)).union(
         share.select(F.xxhash64("lang", "w").alias("k"), F.lit(0.0).alias("p"), F.lit(1.0).alias("g"), F.col("share").alias("t")))
     v = c1.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     floor = mass.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("toxic_floor"))
     both = both.groupBy("k").agg(F.sum("p").alias("p"), F.min("g").alias("g"), F.sum("t").alias("t"))  # no weight is above 1
-    return {**model, "words": materialize(both, "kn-words-toxic"),
-            "floor": materialize(model["floor"].join(floor, "lang", "left"), "kn-floor-toxic")}
-
-
-def _terms(docs: DataFrame, ngrams: DataFrame) -> DataFrame:
-    """(id, terms): summed terms of the known word pairs and triples of ``docs`` (id, lang, text)."""
-    rows = _ngrams(docs, ["id", "lang"]).select(
-        # an even id; one more where no word follows, so that the pair is no context
-        (F.col("id") + F.col("last").cast("bigint")).alias("id"),
-        F.stack(F.lit(2), F.xxhash64("lang", "u", "v", "w"), F.xxhash64("lang", "v", "w")).alias("k"))
-    n = ngrams.count()
-    if n <= BROADCAST_ROWS:
-        found = rows.join(F.broadcast(ngrams), "k")
-    else:
-        parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_ROWS))
-        found = rows.join(ngrams.repartition(parts, "k").hint("shuffle_hash"), "k")
-    term = F.col("gain") + F.when(F.col("id") % 2 == 0, F.col("back")).otherwise(0.0)
-    return found.groupBy((F.col("id") - F.pmod("id", F.lit(2))).alias("id")).agg(F.sum(term).alias("terms"))
+    out = {**model, "words": materialize_lean(both, "kn-words-toxic"),
+           "floor": materialize_lean(model["floor"].join(floor, "lang", "left"), "kn-floor-toxic")}
+    discard(c1, model["words"])
+    return out
+
+
+def slice_terms(model: dict[str, DataFrame], slices: int, i: int) -> DataFrame:
+    """(k, gain) of slice ``i`` of ``slices``: the log of a known triple's or pair's probability against backing off, and the
+    log weight of a context of two words (its k: with CONTEXT)."""
+    c3, c2 = _counted(model["fitted"], slices, i)
+    s3, g3 = _discounted(c3, ["u", "v"], model["d3"])
+    s2, _ = _discounted(c2, ["v"], model["d2"])
+    # a pair's or triple's whole probability is its share and, by gamma, that of the lower order
+    lower = F.col("gamma") * F.col("p1")
+    p2 = materialize_lean(s2.join(_bounded(model["p1"].drop("share"), BROADCAST_ROWS), ["lang", "w"]).select(
+        "lang", "v", "w", (F.col("share") + lower).alias("p2"), F.log1p(F.col("share") / lower).alias("gain")), "kn-pair-p")
+    pairs = p2.select(F.xxhash64("lang", "v", "w").alias("k"), "gain")
+    triples = s3.join(p2.drop("gain"), ["lang", "v", "w"]).select(
+        F.xxhash64("lang", "u", "v", "w").alias("k"), F.log1p(F.col("share") / (F.col("gamma") * F.col("p2"))).alias("gain"))
+    # the start's weights are in floor
+    contexts = g3.where(F.col("v") != START).select(F.xxhash64("lang", "u", "v", F.lit(CONTEXT)).alias("k"), F.log("gamma").alias("gain"))
+    terms = materialize_lean(pairs.union(triples).union(contexts), "kn-terms")
+    discard(c3, c2, p2)
+    return terms
+
+
+def _terms(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
+    """(id, terms): summed terms of the known pairs, triples and contexts of ``docs`` (id, lang, w: ``_hashed``), slice after slice."""
+    slices, parts = _slices(model["fitted"]), []
+    for i in range(slices):
+        ngrams = slice_terms(model, slices, i)
+        rows = _slice(_rows(docs, ["id", "lang"]), slices, i).select("id", F.stack(
+            F.lit(3), F.xxhash64("lang", "u", "v", "w"), F.xxhash64("lang", "v", "w"), F.xxhash64("lang", "u", "v", F.lit(CONTEXT))).alias("k"))
+        n = ngrams.count()
+        if n <= BROADCAST_ROWS:
+            found = rows.join(F.broadcast(ngrams), "k")
+        else:
+            shuffled = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_ROWS))
+            found = rows.join(ngrams.repartition(shuffled, "k").hint("shuffle_hash"), "k")
+        parts.append(materialize_lean(found.groupBy("id").agg(F.sum("gain").alias("terms")), "slice-terms"))
+        discard(ngrams)
+    return reduce(DataFrame.union, parts).groupBy("id").agg(F.sum("terms").alias("terms"))
 
 
 def perplexities(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     """(doc_id, k, lang, n_words, perplexity, toxicity) of ``docs`` (doc_id, k, lang,
     text) with words and a modelled language; the model is ``with_toxic``."""
-    docs = docs.withColumn("id", F.shiftleft(F.xxhash64("doc_id", "k", "lang"), 1))
+    keep = ["doc_id", "k", "lang", "id"]
+    docs = materialize_lean(_hashed(docs.withColumn("id", F.xxhash64("doc_id", "k", "lang")), keep), "document-words")
     floor, words = _bounded(model["floor"], BROADCAST_LANGS), _bounded(model["words"], BROADCAST_ROWS)
-    rows = _ngrams(docs, ["doc_id", "k", "lang", "id"]).select(
+    rows = _rows(docs, keep).select(
         "doc_id", F.col("k").alias("text_k"), "lang", "id", "last", F.xxhash64("lang", "w").alias("a1"))
     rows = rows.join(floor, "lang").alias("r").join(words.alias("m"), F.col("r.a1") == F.col("m.k"), "left")
     p, t, g = (F.coalesce(f"m.{c}", F.lit(x)) for c, x in (("p", 0.0), ("t", 0.0), ("g", 1.0)))
@@ -217,8 +296,10 @@ def perplexities(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     own = rows.groupBy("doc_id", F.col("text_k").alias("k"), "lang", "id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("last").alias("copies"), F.first("start").alias("start"), F.max(ratio).alias("ratio"),
         F.sum(F.log(p + F.col("floor")) + F.when(F.col("last"), 0.0).otherwise(F.log(g))).alias("own"))
+    own, terms = materialize_lean(own, "own-terms"), materialize_lean(_terms(docs, model), "terms")
+    discard(docs)
     mean = (F.col("own") + F.coalesce("terms", F.lit(0.0)) + F.col("copies") * F.col("start")) / F.col("n")
-    return own.join(_terms(docs.select("id", "lang", "text"), model["ngrams"]), "id", "left").select(
+    return own.join(terms, "id", "left").select(
         "doc_id", "k", "lang", (F.col("n") / F.col("copies")).cast("bigint").alias("n_words"),
         F.exp(-mean).alias("perplexity"), F.log("ratio").alias("toxicity"))
 
@@ -270,22 +351,23 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
                     text_of(text_col).alias("text")).withColumn("k", F.xxhash64("text"))
     good = labels.groupBy(F.col("doc_id").alias("label_id")).agg(
         F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and coalesce(t, 0) = 0").select("label_id")
-    good = materialize(good, "trusted-ids")
+    good = materialize_lean(good, "trusted-ids")
     harsh = labels.where("toxic = 1").select(F.col("doc_id").alias("label_id")).distinct()
 
     def fit_texts(ids: DataFrame) -> DataFrame:
         texts = d.where(fit_half(F.col("doc_id"))).join(_bounded(ids, BROADCAST_IDS), F.col("doc_id") == F.col("label_id"), "left_semi")
         if max_docs is not None or max_chars is not None:
-            lengths = materialize(texts.select("doc_id", "lang", F.length(F.btrim("text")).alias("chars")), "fit-lengths")
+            lengths = materialize_lean(texts.select("doc_id", "lang", F.length(F.btrim("text")).alias("chars")), "fit-lengths")
             few = training_sample(lengths, 2 ** 31 - 1 if max_docs is None else max_docs, 2 ** 62 if max_chars is None else max_chars)
-            texts = texts.join(materialize(few, "fit-ids"), "doc_id", "left_semi")
+            texts = texts.join(materialize_lean(few, "fit-ids"), "doc_id", "left_semi")
         return texts.select("lang", "text")
 
-    model = with_toxic(fit(fit_texts(good)), fit_texts(materialize(harsh, "toxic-ids")))
-    scored = materialize(perplexities(d, model), "perplexities")
-    unseen = materialize(scored.where(~fit_half(F.col("doc_id"))).join(good, F.col("doc_id") == F.col("label_id"), "left_semi")
+    model = with_toxic(fit(fit_texts(good)), fit_texts(materialize_lean(harsh, "toxic-ids")))
+    scored = materialize_lean(perplexities(d, model), "perplexities")
+    discard(model["fitted"], model["p1"])
+    unseen = materialize_lean(scored.where(~fit_half(F.col("doc_id"))).join(good, F.col("doc_id") == F.col("label_id"), "left_semi")
                          .select("doc_id", "k", "lang", "n_words", F.log("perplexity").alias("mean"), "toxicity"), "unseen-trusted")
-    average = materialize(unseen.groupBy("lang").agg(F.avg("mean").alias("average")), "lang-averages")
+    average = materialize_lean(unseen.groupBy("lang").agg(F.avg("mean").alias("average")), "lang-averages")
 
     def smoothed(mean: Column) -> Column:
         return F.exp((F.col("n_words") * mean + prior_words * F.col("average")) / (F.col("n_words") + prior_words))
@@ -293,13 +375,14 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     limit = (unseen.join(_bounded(average, BROADCAST_LANGS), "lang").groupBy("lang", "average")
              .agg((F.percentile_approx(smoothed(F.col("mean")), quantile, 100_000) * margin).alias("threshold"),
                   F.percentile_approx("toxicity", toxic_quantile, 100_000).alias("toxic_threshold")))
-    limit = _bounded(materialize(limit, "lang-thresholds"), BROADCAST_LANGS)
+    limit = _bounded(materialize_lean(limit, "lang-thresholds"), BROADCAST_LANGS)
     flagged = scored.join(limit, "lang").where("toxicity > toxic_threshold").select("doc_id", "k", "lang", "toxic_threshold")
-    suspects = materialize(suspect_words(d, flagged, model), "suspect-words")
+    suspects = materialize_lean(suspect_words(d, flagged, model), "suspect-words")
+    discard(model["words"])
     # suspect words of the unseen trusted documents and one more, over all their words
     seen = unseen.join(suspects, ["doc_id", "k", "lang"], "left").groupBy("lang").agg(
         ((F.coalesce(F.sum("suspects"), F.lit(0)) + 1) / F.sum("n_words")).alias("rate"))
-    limit = _bounded(materialize(limit.join(seen, "lang"), "lang-limits"), BROADCAST_LANGS)
+    limit = _bounded(materialize_lean(limit.join(seen, "lang"), "lang-limits"), BROADCAST_LANGS)
     scored = scored.alias("s").join(suspects.alias("t"), F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.k") == F.col("t.k"))
                                     & (F.col("s.lang") == F.col("t.lang")), "left").select("s.*", "t.suspects")
     x = d.select("doc_id", "lang", "k", F.btrim("text", F.lit(" \t\n\x0b\f\r")) .alias("t")).select(

@@ -179,3 +179,25 @@ def test_shuffled_models_judge_like_broadcast_ones(spark, monkeypatch):
         monkeypatch.setattr(quality, name, 0)
     monkeypatch.setattr(quality, "PART_ROWS", 50)
     assert judged() == want
+
+
+def test_slices_judge_like_one_and_leave_no_tables(spark, monkeypatch):
+    import pathlib
+
+    rows, labels = _many_trusted()
+    rows, labels = rows[:200] + rows[1000:1200] + [(7, rows[7][1], "en"), (9000, "ab", "en"), (9001, "", "en")], labels[:200]
+    rows += [(i + 10_000, t, "de") for i, t, _ in rows[:40]] + [(20_000, "only here", None)]
+    labels = [(i, q, int(i % 9 == 0)) for i, q, _ in labels] + [(i + 10_000, 1, 0) for i in range(40)]
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")) / "quiver-llm"
+
+    def judged():
+        return sorted(str([round(x, 8) if isinstance(x, float) else x for x in r]) for r in quality.judge_quality(df, lab).collect())
+
+    want, before = judged(), set(folder.iterdir())
+    monkeypatch.setattr(quality, "SLICES", 7)
+    monkeypatch.setattr(quality, "SLICE_WORDS", 1)
+    assert judged() == want
+    left = [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before]
+    assert left.count("slice-terms") == 7  # a sum per document
+    assert not {"kn-fit-words", "kn-trigrams", "kn-bigrams", "kn-pair-p", "kn-terms", "kn-words-toxic", "document-words"} & set(left)
