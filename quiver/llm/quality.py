@@ -62,7 +62,7 @@ BROADCAST_LANGS = 10_000
 #: Labelled documents up to which their ids are broadcast.
 BROADCAST_IDS = 200_000
 #: Rows of a model table up to which it is broadcast; beyond, Spark shuffles.
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 2_000_000
 #: Rows of a shuffled n-gram table in one task.
 PART_ROWS = 500_000
 #: Hash that stands for the start of a text.
