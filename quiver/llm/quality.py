@@ -8,15 +8,15 @@ back-off weights of the whole half are grouped aggregations and joins on n-gram
 
 In back-off form a word's log probability is a sum over the n-grams that end in it:
 each known n-gram adds what its own probability gains over backing off, each known context its
-back-off weight, the rest nothing. So a document's perplexity takes a join of its
-n-grams with a table of these terms, which drops unknown n-grams, and a sum per document; words,
-which have toxic ratios as well, are joined on their own. Small tables are broadcast, large ones
-cut into parts of PART_ROWS rows, so a task's memory is bounded.
+back-off weight, the rest nothing. So a document's perplexity is a sum of what its known n-grams have.
 
-N-grams of a whole corpus take many times its room on disk. So they are counted and looked up in up to
-SLICES slices, one after another, by the hash of the word before: what is known of
+N-grams of a whole corpus as rows take many times its room and time. So texts are cut into packed blocks of
+records (``ngrams``) that are dealt into buckets by the middle word: what is known of
 a triple (u, v, w), of the pair (v, w) and of the context (u, v) depends on no other v, given words' probabilities and
-discounts, which a first round of slices gathers. Every slice is done whole; its tables and shuffle files go before the next.
+discounts. A first round counts the fitted texts' buckets; Spark joins and sums what is known of words over all
+buckets; a second round looks up every document's records in the buckets' tables, a bucket to a task, in up to SLICES slices of the
+buckets, one after another, for the room their blocks take on disk. A bucket has about PART_ROWS fitted
+words, so a task's memory is bounded; commoner words are cut further by the word before them.
 
 The perplexity of a
 few words says little, so a document's mean log probability is first mixed
@@ -38,12 +38,15 @@ per language (``training_sample``); the queries do not.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
+import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quiver.llm import ngrams
 from quiver.llm.common import SPACES, discard, lower_ascii, materialize_lean, space_words, text_of
 from quiver.session import tune
 
@@ -59,20 +62,26 @@ TOXIC_QUANTILE, TOXIC_TAIL = 0.99, 0.02
 PRIOR_WORDS = 16
 #: Languages up to which per-language rows are broadcast.
 BROADCAST_LANGS = 10_000
-#: Labelled documents up to which their ids are broadcast.
-BROADCAST_IDS = 200_000
-#: Rows of a model table up to which it is broadcast; beyond, Spark shuffles.
+#: Labelled or flagged documents up to which their ids are broadcast.
+BROADCAST_IDS = 1_000_000
+#: Rows of other tables up to which they are broadcast.
 BROADCAST_ROWS = 2_000_000
-#: Rows of a shuffled n-gram table in one task.
-PART_ROWS = 500_000
 #: Hash that stands for the start of a text.
 START = 0
-#: Slices that n-grams are counted and looked up in, one after another: more take less disk and more time.
-SLICES = 12
-#: Words of fitted text up to which fewer slices do.
-SLICE_WORDS = 1_000_000
-#: Tells a context's hash from a pair's.
-CONTEXT = "context"
+#: Fitted words of a bucket; a word with over half as many is cut into parts.
+PART_ROWS = 1_500_000
+#: Fitted words of a bucket at least, where more buckets would only serve more tasks.
+LEAST_WORDS = 50_000
+#: Slices of the buckets that documents are looked up in, one after another: more take less disk and more time.
+SLICES = 3
+#: Fitted words up to which fewer slices do.
+SLICE_WORDS = 7_500_000
+#: Size of the filter of known words at most: 64 Kbit times this power of 2.
+FILTER_BITS = 12
+#: Words at most whose keys all tasks have.
+COMMON_WORDS = 1 << 18
+#: Bytes and rows of blocks that are handed to Python at once.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20), "spark.sql.execution.arrow.maxRecordsPerBatch": "200"}
 
 
 def _hashed(texts: DataFrame, keep: list[str]) -> DataFrame:
@@ -93,12 +102,6 @@ def _rows(hashed: DataFrame, keep: list[str]) -> DataFrame:
     return hashed.select(*keep, F.inline(F.arrays_zip(u.alias("u"), v.alias("v"), F.col("w"), last.alias("last"))))
 
 
-def _slice(rows: DataFrame, slices: int, i: int) -> DataFrame:
-    """The rows of slice ``i``, by the word before. All that is counted of a triple (u, v, w), pair (v, w) and
-    context (u, v) is counted in the slice of v."""
-    return rows if slices == 1 else rows.where(F.pmod("v", F.lit(slices)) == i)
-
-
 def fit_half(doc_id: Column) -> Column:
     """Trusted documents of this half are fitted on; the other half, never
     seen by the fit, gives the quantiles."""
@@ -158,166 +161,204 @@ def _discounted(counts: DataFrame, context: list[str], discounts: DataFrame) ->
     return share, total.select("lang", *context, gamma)
 
 
-def _counted(words: DataFrame, slices: int = 1, i: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Counts (lang, u, v, w, c) of the slice's triples and, of distinct predecessors, (lang, v, w, c) of its pairs."""
-    rows = _slice(_rows(words, ["lang"]), slices, i)
-    c3 = materialize_lean(rows.groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-trigrams")
-    return c3, materialize_lean(c3.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c")), "kn-bigrams")
-
-
-def _statistics(c3: DataFrame, c2: DataFrame) -> DataFrame:
-    """What the whole model needs of a slice: (of, lang, w, total, n1, n2, n3, n4) with counts of counts of "3" triples and
-    "2" pairs; "word": distinct words before w; "context": the counts after w; "start": those after the start of a text."""
-    def counts(t: DataFrame, of: str, w: Column, *by: str) -> DataFrame:
-        return t.groupBy("lang", *by).agg(F.sum("c").alias("total"), *[F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)],
-                                          F.count(F.lit(1)).alias("n")).select(F.lit(of).alias("of"), "lang", w.alias("w"), "total", "n", "n1", "n2", "n3", "n4")
-
-    zero = F.lit(START).cast("bigint")
-    first = c3.where((F.col("u") == START) & (F.col("v") == START))
-    return (counts(c3, "3", zero).union(counts(c2, "2", zero)).union(counts(c2, "context", F.col("v"), "v"))
-            .union(counts(first, "start", zero)).union(counts(c2, "word", F.col("w"), "w")))
-
-
-def _slices(fitted: DataFrame) -> int:
-    """Number of slices for the words of ``fitted``."""
-    return min(SLICES, 1 + (fitted.agg(F.sum(F.size("w"))).first()[0] or 0) // SLICE_WORDS)
+def _in_python(df: DataFrame, name: str) -> DataFrame:
+    """``materialize_lean`` of a plan that hands blocks to Python."""
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in BATCH}
+    for k, v in BATCH.items():
+        conf.set(k, v)
+    try:
+        return materialize_lean(df, name)
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
+
+
+def _dealing(texts: DataFrame) -> DataFrame:
+    """How n-grams are dealt: (key, first, parts) of very common words: their parts' numbers; key END: buckets and slices."""
+    spark = texts.sparkSession
+    often = texts.select("lang", "text").mapInArrow(ngrams.census, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    most = max(1, PART_ROWS // 2)
+    n = {r.key: r.n for r in often.where((F.col("n") > most) | (F.col("key") == ngrams.END)).collect()}
+    words = n.pop(ngrams.END, 0)
+    slices = min(SLICES, 1 + words // SLICE_WORDS)
+    each = max(1 + words // (PART_ROWS * slices), min(2 * spark.sparkContext.defaultParallelism, 1 + words // LEAST_WORDS))
+    rows, first = [(ngrams.END, slices * each, slices)], 1
+    for key in sorted(n):
+        rows.append((key, first, 1 + n[key] // most))
+        first += rows[-1][2]
+    return spark.createDataFrame(rows, "key bigint, first bigint, parts bigint")
+
+
+def _dealt(dealing: DataFrame) -> tuple[int, int, dict[int, tuple[int, int]]]:
+    """(buckets, slices, parts of very common words)."""
+    rows = {key: (first, parts) for key, first, parts in dealing.collect()}
+    buckets, slices = rows.pop(ngrams.END)
+    return buckets, slices, {k % 2 ** 64: x for k, x in rows.items()}
+
+
+def _counted(texts: DataFrame, dealing: DataFrame, only_words: bool = False) -> DataFrame:
+    """``ngrams.COUNTED`` rows of the (lang, text) rows, by bucket."""
+    buckets, _, hot = _dealt(dealing)
+    blocks = texts.select("lang", "text").mapInArrow(partial(ngrams.fit_blocks, buckets=buckets, hot=hot), "bucket int, lang string, part int, data binary")
+    blocks = blocks.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "lang", "part")
+    return _in_python(blocks.mapInArrow(partial(ngrams.count_buckets, only_words=only_words), ngrams.COUNTED), "kn-counted")
 
 
 def fit(texts: DataFrame) -> dict[str, DataFrame]:
     """Tables of (lang, text) rows: share (k, p) of every n-gram, mass (k, g) left by
-    every context, words (k, p, g) with both of a word, floor (lang, floor, start) of an unseen word and
+    every context, words (k, p, g, lang) with both of a word, floor (lang, floor, start) of an unseen word and
     the log weights of the contexts before a first word; k hashes the language and one to three words. For
-    ``slice_terms``: fitted (the texts' hashed words), d3, d2 (discounts) and p1 (lang, w, share, p1)."""
-    fitted = materialize_lean(_hashed(texts, ["lang"]), "kn-fit-words")
-    # counts alone take less disk than counts, probabilities and documents
-    slices, parts = -(-_slices(fitted) // 3), []
-    for i in range(slices):
-        c3, c2 = _counted(fitted, slices, i)
-        parts.append(materialize_lean(_statistics(c3, c2), "kn-statistics"))
-        discard(c3, c2)
-    known = reduce(DataFrame.union, parts)
-    c1 = materialize_lean(known.where("of = 'word'").groupBy("lang", "w").agg(F.sum("n").alias("c")), "kn-words")
-    ones = known.where("of in ('2', '3')").select("lang", F.col("of").cast("int").alias("n"), "n1", "n2", "n3", "n4")
+    ``slice_terms``: dealing, counted, d3, d2 (discounts) and p1 (lang, w, share, p1, c; w hashes the language, too)."""
+    dealing = _dealing(texts)
+    counted = _counted(texts, dealing)
+    c1 = materialize_lean(counted.where("kind = 'W'").groupBy("lang", F.col("key").alias("w")).agg(F.sum("n").alias("c")), "kn-words")
+    ones = counted.where("kind in ('2', '3')").select("lang", F.col("kind").cast("int").alias("n"), "n1", "n2", "n3", "n4")
     cuts = _discounts(ones.union(_counts_of_counts(c1, 1)))
     d3, d2, d1 = (_bounded(cuts.where(F.col("n") == n).drop("n"), BROADCAST_LANGS) for n in (3, 2, 1))
     # the discounts of a context's counts, from how many are 1, 2 and more
     gamma = (F.col("n1") * F.col("d1") + F.col("n2") * F.col("d2") + (F.col("n") - F.col("n1") - F.col("n2")) * F.col("d3")) / F.col("total")
-    g2 = materialize_lean(known.where("of = 'context'").join(d2, "lang").select("lang", F.col("w").alias("v"), gamma.alias("gamma")), "kn-word-mass")
-    first = known.where("of = 'start'").join(d3, "lang").select("lang", F.log(gamma).alias("pair"))
-    start = first.join(g2.where(F.col("v") == START).select("lang", F.log("gamma").alias("word")), "lang").select(
+
+    def weight(kind: str, cuts: DataFrame) -> DataFrame:
+        rows = counted.where(F.col("kind") == kind).select("lang", F.col("key").alias("w"), "total", "n", "n1", "n2")
+        return rows.join(cuts, "lang").select("lang", "w", gamma.alias("gamma"))
+
+    g2 = materialize_lean(weight("V", d2), "kn-word-mass")
+    first = weight("start", d3).select("lang", F.log("gamma").alias("pair"))
+    start = first.join(g2.where(F.col("w") == F.xxhash64("lang", F.lit(START).cast("bigint"))).select("lang", F.log("gamma").alias("word")), "lang").select(
         "lang", (F.col("pair") + F.col("word")).alias("start"))
     s1, g1 = _discounted(c1, [], d1)
+    s1 = s1.join(c1, ["lang", "w"])
     v = c1.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     floor = materialize_lean(g1.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("floor")).join(start, "lang"), "kn-floor")
-    p1 = materialize_lean(s1.join(_bounded(floor, BROADCAST_LANGS), "lang").select("lang", "w", "share", (F.col("share") + F.col("floor")).alias("p1")), "kn-word-p")
-    words = p1.select("lang", "w", "share").join(g2.withColumnRenamed("v", "w"), ["lang", "w"], "left").select(
-        F.xxhash64("lang", "w").alias("k"), F.col("share").alias("p"), F.coalesce("gamma", F.lit(1.0)).alias("g"))
+    p1 = materialize_lean(s1.join(_bounded(floor, BROADCAST_LANGS), "lang").select("lang", "w", "share", (F.col("share") + F.col("floor")).alias("p1"), "c"), "kn-word-p")
+    words = p1.select("lang", "w", "share").join(g2, ["lang", "w"], "left").select(
+        F.col("w").alias("k"), F.col("share").alias("p"), F.coalesce("gamma", F.lit(1.0)).alias("g"), "lang")
     words = materialize_lean(words, "kn-words-model")
-    discard(*parts, c1, g2)
+    discard(c1, g2)
     # computed when read, in one go
-    c3 = _rows(fitted, ["lang"]).groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c"))
+    c3 = _rows(_hashed(texts, ["lang"]), ["lang"]).groupBy("lang", "u", "v", "w").agg(F.count(F.lit(1)).alias("c"))
     s3, g3 = _discounted(c3, ["u", "v"], d3)
     s2, g2 = _discounted(c3.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c")), ["v"], d2)
-    share = [t.select(F.xxhash64("lang", *by, "w").alias("k"), F.col("share").alias("p")) for t, by in ((s3, ["u", "v"]), (s2, ["v"]), (p1, []))]
+    share = [t.select(F.xxhash64("lang", *by, "w").alias("k"), F.col("share").alias("p")) for t, by in ((s3, ["u", "v"]), (s2, ["v"]))]
     mass = [t.select(F.xxhash64("lang", *by).alias("k"), F.col("gamma").alias("g")) for t, by in ((g3, ["u", "v"]), (g2, ["v"]))]
-    return {"share": share[0].union(share[1]).union(share[2]), "mass": mass[0].union(mass[1]), "floor": floor, "words": words,
-            "fitted": fitted, "d3": d3, "d2": d2, "p1": p1}
+    return {"share": share[0].union(share[1]).union(p1.select("w", "share")), "mass": mass[0].union(mass[1]), "floor": floor, "words": words,
+            "dealing": dealing, "counted": counted, "d3": d3, "d2": d2, "p1": p1}
 
 
 def with_toxic(model: dict[str, DataFrame], texts: DataFrame) -> dict[str, DataFrame]:
     """The model with word probabilities of toxic (lang, text) rows: column t
     in words, toxic_floor in floor (null for a language without such texts)."""
-    rows = _rows(_hashed(texts, ["lang"]), ["lang"])
-    c2 = rows.groupBy("lang", "v", "w").agg(F.count(F.lit(1)).alias("c"))
-    c1 = materialize_lean(c2.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")), "toxic-words")
+    counted = _counted(texts, model["dealing"], only_words=True)
+    c1 = materialize_lean(counted.groupBy("lang", F.col("key").alias("w")).agg(F.sum("n").alias("c")), "toxic-words")
     cuts = _bounded(_discounts(_counts_of_counts(c1, 1)).drop("n"), BROADCAST_LANGS)
     share, mass = _discounted(c1, [], cuts)
     both = model["words"].withColumn("t", F.lit(0.0)).union(
-        share.select(F.xxhash64("lang", "w").alias("k"), F.lit(0.0).alias("p"), F.lit(1.0).alias("g"), F.col("share").alias("t")))
+        share.select(F.col("w").alias("k"), F.lit(0.0).alias("p"), F.lit(1.0).alias("g"), "lang", F.col("share").alias("t")))
     v = c1.groupBy("lang").agg(F.count(F.lit(1)).alias("v"))
     floor = mass.join(v, "lang").select("lang", (F.col("gamma") / (F.col("v") + 1)).alias("toxic_floor"))
-    both = both.groupBy("k").agg(F.sum("p").alias("p"), F.min("g").alias("g"), F.sum("t").alias("t"))  # no weight is above 1
+    both = both.groupBy("k", "lang").agg(F.sum("p").alias("p"), F.min("g").alias("g"), F.sum("t").alias("t"))  # no weight is above 1
     out = {**model, "words": materialize_lean(both, "kn-words-toxic"),
            "floor": materialize_lean(model["floor"].join(floor, "lang", "left"), "kn-floor-toxic")}
-    discard(c1, model["words"])
+    discard(counted, c1, model["words"])
     return out
 
 
-def slice_terms(model: dict[str, DataFrame], slices: int, i: int) -> DataFrame:
-    """(k, gain) of slice ``i`` of ``slices``: the log of a known triple's or pair's probability against backing off, and the
-    log weight of a context of two words (its k: with CONTEXT)."""
-    c3, c2 = _counted(model["fitted"], slices, i)
-    s3, g3 = _discounted(c3, ["u", "v"], model["d3"])
-    s2, _ = _discounted(c2, ["v"], model["d2"])
-    # a pair's or triple's whole probability is its share and, by gamma, that of the lower order
-    lower = F.col("gamma") * F.col("p1")
-    p2 = materialize_lean(s2.join(_bounded(model["p1"].drop("share"), BROADCAST_ROWS), ["lang", "w"]).select(
-        "lang", "v", "w", (F.col("share") + lower).alias("p2"), F.log1p(F.col("share") / lower).alias("gain")), "kn-pair-p")
-    pairs = p2.select(F.xxhash64("lang", "v", "w").alias("k"), "gain")
-    triples = s3.join(p2.drop("gain"), ["lang", "v", "w"]).select(
-        F.xxhash64("lang", "u", "v", "w").alias("k"), F.log1p(F.col("share") / (F.col("gamma") * F.col("p2"))).alias("gain"))
-    # the start's weights are in floor
-    contexts = g3.where(F.col("v") != START).select(F.xxhash64("lang", "u", "v", F.lit(CONTEXT)).alias("k"), F.log("gamma").alias("gain"))
-    terms = materialize_lean(pairs.union(triples).union(contexts), "kn-terms")
-    discard(c3, c2, p2)
-    return terms
+def _ratio() -> Column:
+    """A word's toxic ratio against that of an unknown word; 1 without toxic texts."""
+    return F.coalesce((F.col("t") / F.col("toxic_floor") + 1) / (F.col("p") / F.col("floor") + 1), F.lit(1.0))
+
+
+def _toxicity(ratio: Column) -> Column:
+    """Log-likelihood ratio of toxic to trusted text, from a ``_ratio``."""
+    return F.log(ratio) + F.log(F.col("toxic_floor") / F.col("floor"))
+
+
+def word_filters(model: dict[str, DataFrame]) -> Broadcast:
+    """Of the model's words: a filter's bits, never 0 for one of them (``ngrams.known``), and the keys of the commonest."""
+    words = model["words"].select("k")
+    # eight bits a word; a full filter only excludes fewer words
+    power = min(FILTER_BITS, max(1, (8 * words.count() >> ngrams.SEGMENT).bit_length()))
+    rows = words.repartition(F.shiftrightunsigned("k", 64 - power)).mapInArrow(
+        partial(ngrams.filter_segments, segments=1 << power), "segment int, bits binary")
+    size = 1 << ngrams.SEGMENT - 3
+    bits = np.zeros(size << power, np.uint8)
+    for segment, part in rows.collect():
+        bits[segment * size:(segment + 1) * size] = np.frombuffer(part, np.uint8)
+    # blocks need no keys of these; as many counts, from the top, as there is room for
+    counts = model["p1"].groupBy(F.least("c", F.lit(COMMON_WORDS)).alias("c")).count().orderBy(F.desc("c")).collect()
+    least, n = COMMON_WORDS + 1, 0
+    for c, rows in counts:
+        n += rows
+        if n > COMMON_WORDS:
+            break
+        least = c
+    common = model["p1"].where(F.col("c") >= least).select("w", "c").toArrow()
+    common = common["w"].to_numpy()[np.argsort(-common["c"].to_numpy(), kind="stable")].astype(np.int64).view(np.uint64)
+    return words.sparkSession.sparkContext.broadcast((bits, common))
+
+
+def slice_terms(docs: DataFrame, model: dict[str, DataFrame], i: int, filters: Broadcast) -> DataFrame:
+    """(id, n, terms, ratio) of ``docs`` (id, lang, text) with words from the buckets of slice ``i`` (filters: ``word_filters``): number of words, summed terms and
+    the largest of the words' ``_ratio``. Terms are the log of a known triple's or pair's probability against backing off, the log
+    weights of contexts of one and two words and the log of a known word's probability against an unknown one's."""
+    buckets, slices, hot = _dealt(model["dealing"])
+    here = F.pmod("bucket", F.lit(slices)) == i
+    counted = model["counted"].where(here)
+    nothing = F.lit(0.0)
+    p1 = counted.where("kind = 'W'").select("bucket", "lang", F.col("key").alias("w")).join(model["p1"].select("lang", "w", "p1"), ["lang", "w"]).select(
+        F.lit(1).alias("kind"), "bucket", "lang", F.col("w").alias("key"), F.col("p1").alias("a"), nothing.alias("b"), nothing.alias("c"))
+    words = model["words"].withColumn("bucket", F.pmod("k", F.lit(buckets)).cast("int")).where(here).join(_bounded(model["floor"], BROADCAST_LANGS), "lang").select(
+        F.lit(0).alias("kind"), "bucket", "lang", "k", F.log1p(F.col("p") / F.col("floor")), _ratio(), F.log("g"))
+    tables = words.toDF(*p1.columns).union(p1).mapInArrow(ngrams.pack_tables, ngrams.LOOKED_UP)
+    cuts = model["d2"].join(model["d3"].toDF("lang", "e1", "e2", "e3"), "lang")
+    blocks = counted.where("kind in ('C', 'T')").join(_bounded(cuts, BROADCAST_LANGS), "lang")
+    tables = tables.union(blocks.select("bucket", "lang", F.when(F.col("kind") == "C", -1).otherwise(F.col("part")), F.when(F.col("kind") == "C", 2).otherwise(3),
+                                        F.lit(0).cast("bigint"), "data", "d1", "d2", "d3", "e1", "e2", "e3"))
+    texts = docs.select("lang", "text", "id").mapInArrow(partial(ngrams.text_blocks, buckets=buckets, hot=hot, slices=slices, i=i, filters=filters), ngrams.LOOKED_UP)
+    dealt = tables.union(texts).repartitionById(buckets // slices, F.floor(F.col("bucket") / slices).cast("int"))
+    found = dealt.sortWithinPartitions("bucket", "lang", "part", "kind").mapInArrow(partial(ngrams.look_up, filters=filters), "unit bigint, kind int, data binary")
+    sums = found.repartition("unit").sortWithinPartitions("unit", "kind").mapInArrow(ngrams.sum_texts, "id bigint, n bigint, terms double, ratio double")
+    # rows that repeat a document have the same
+    return _in_python(sums.groupBy("id").agg(F.max("n").alias("n"), F.avg("terms").alias("terms"), F.max("ratio").alias("ratio")), "slice-terms")
 
 
 def _terms(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
-    """(id, terms): summed terms of the known pairs, triples and contexts of ``docs`` (id, lang, w: ``_hashed``), slice after slice."""
-    slices, parts = _slices(model["fitted"]), []
-    for i in range(slices):
-        ngrams = slice_terms(model, slices, i)
-        rows = _slice(_rows(docs, ["id", "lang"]), slices, i).select("id", F.stack(
-            F.lit(3), F.xxhash64("lang", "u", "v", "w"), F.xxhash64("lang", "v", "w"), F.xxhash64("lang", "u", "v", F.lit(CONTEXT))).alias("k"))
-        n = ngrams.count()
-        if n <= BROADCAST_ROWS:
-            found = rows.join(F.broadcast(ngrams), "k")
-        else:
-            shuffled = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // PART_ROWS))
-            found = rows.join(ngrams.repartition(shuffled, "k").hint("shuffle_hash"), "k")
-        parts.append(materialize_lean(found.groupBy("id").agg(F.sum("gain").alias("terms")), "slice-terms"))
-        discard(ngrams)
-    return reduce(DataFrame.union, parts).groupBy("id").agg(F.sum("terms").alias("terms"))
+    """``slice_terms`` of all slices, one slice after another."""
+    filters = word_filters(model)
+    parts = [slice_terms(docs, model, i, filters) for i in range(_dealt(model["dealing"])[1])]
+    filters.destroy()
+    return reduce(DataFrame.union, parts).groupBy("id").agg(F.max("n").alias("n"), F.sum("terms").alias("terms"), F.max("ratio").alias("ratio"))
 
 
 def perplexities(docs: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     """(doc_id, k, lang, n_words, perplexity, toxicity) of ``docs`` (doc_id, k, lang,
     text) with words and a modelled language; the model is ``with_toxic``."""
-    keep = ["doc_id", "k", "lang", "id"]
-    docs = materialize_lean(_hashed(docs.withColumn("id", F.xxhash64("doc_id", "k", "lang")), keep), "document-words")
-    floor, words = _bounded(model["floor"], BROADCAST_LANGS), _bounded(model["words"], BROADCAST_ROWS)
-    rows = _rows(docs, keep).select(
-        "doc_id", F.col("k").alias("text_k"), "lang", "id", "last", F.xxhash64("lang", "w").alias("a1"))
-    rows = rows.join(floor, "lang").alias("r").join(words.alias("m"), F.col("r.a1") == F.col("m.k"), "left")
-    p, t, g = (F.coalesce(f"m.{c}", F.lit(x)) for c, x in (("p", 0.0), ("t", 0.0), ("g", 1.0)))
-    ratio = (t + F.col("toxic_floor")) / (p + F.col("floor"))
-    # rows that repeat a document each end once
-    own = rows.groupBy("doc_id", F.col("text_k").alias("k"), "lang", "id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("last").alias("copies"), F.first("start").alias("start"), F.max(ratio).alias("ratio"),
-        F.sum(F.log(p + F.col("floor")) + F.when(F.col("last"), 0.0).otherwise(F.log(g))).alias("own"))
-    own, terms = materialize_lean(own, "own-terms"), materialize_lean(_terms(docs, model), "terms")
-    discard(docs)
-    mean = (F.col("own") + F.coalesce("terms", F.lit(0.0)) + F.col("copies") * F.col("start")) / F.col("n")
-    return own.join(terms, "id", "left").select(
-        "doc_id", "k", "lang", (F.col("n") / F.col("copies")).cast("bigint").alias("n_words"),
-        F.exp(-mean).alias("perplexity"), F.log("ratio").alias("toxicity"))
+    floor = _bounded(model["floor"], BROADCAST_LANGS)
+    docs = docs.join(floor.select("lang"), "lang", "left_semi").withColumn("id", F.xxhash64("doc_id", "k", "lang"))
+    own = docs.select("doc_id", "k", "lang", "id").dropDuplicates(["id"])
+    found = own.join(_terms(docs, model), "id").join(floor, "lang")
+    mean = (F.col("terms") + F.col("start")) / F.col("n") + F.log("floor")
+    return found.select("doc_id", "k", "lang", F.col("n").alias("n_words"), F.exp(-mean).alias("perplexity"), _toxicity(F.col("ratio")).alias("toxicity"))
 
 
 def suspect_words(docs: DataFrame, flagged: DataFrame, model: dict[str, DataFrame]) -> DataFrame:
     """(doc_id, k, lang, suspects): words of the ``flagged`` documents (doc_id, k, lang,
     toxic_threshold) whose toxic ratio is above the threshold."""
-    d, f = docs.alias("d"), flagged.alias("f")
+    limits = flagged.select("lang", "toxic_threshold").distinct().join(model["floor"], "lang").withColumn(
+        "unknown", _toxicity(F.lit(1.0)) > F.col("toxic_threshold"))
+    limits = _bounded(materialize_lean(limits, "toxic-limits"), BROADCAST_LANGS)
+    # the words that differ from unknown ones: few, unless unknown words are suspect
+    odd = model["words"].join(limits, "lang").where((_toxicity(_ratio()) > F.col("toxic_threshold")) != F.col("unknown")).select(F.col("k").alias("odd"))
+    odd = materialize_lean(odd, "odd-words")
+    d, f = docs.alias("d"), _bounded(flagged, BROADCAST_IDS).alias("f")
     texts = d.join(f, F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.k") == F.col("f.k")) & (F.col("d.lang") == F.col("f.lang")))
-    texts = texts.select(*[F.col(f"d.{c}") for c in ("doc_id", "k", "lang", "text")], "toxic_threshold")
-    words = texts.select("doc_id", F.col("k").alias("text_k"), "lang", "toxic_threshold",
-                         F.posexplode(space_words(lower_ascii(F.col("text")))).alias("at", "w"))
-    words = words.withColumn("a1", F.xxhash64("lang", F.xxhash64("w"))).join(model["floor"], "lang")
-    m = _bounded(model["words"], BROADCAST_ROWS).alias("m")
-    words = words.join(m, F.col("a1") == F.col("m.k"), "left")
-    ratio = (F.coalesce("m.t", F.lit(0.0)) + F.col("toxic_floor")) / (F.coalesce("m.p", F.lit(0.0)) + F.col("floor"))
-    return words.groupBy("doc_id", F.col("text_k").alias("k"), "lang").agg(
-        (F.count_if(F.log(ratio) > F.col("toxic_threshold")) / F.count_if(F.col("at") == 0)).cast("bigint").alias("suspects"))
+    words = texts.select("d.doc_id", F.col("d.k").alias("text_k"), "d.lang", F.posexplode(space_words(lower_ascii(F.col("d.text")))).alias("at", "w"))
+    words = words.withColumn("a1", F.xxhash64("lang", F.xxhash64("w"))).join(_bounded(odd, BROADCAST_ROWS), F.col("a1") == F.col("odd"), "left")
+    counts = words.groupBy("doc_id", F.col("text_k").alias("k"), "lang").agg(
+        F.count(F.lit(1)).alias("n"), F.count("odd").alias("odd"), F.count_if(F.col("at") == 0).alias("copies"))
+    return counts.join(limits, "lang").select(
+        "doc_id", "k", "lang", (F.when(F.col("unknown"), F.col("n") - F.col("odd")).otherwise(F.col("odd")) / F.col("copies")).cast("bigint").alias("suspects"))
 
 
 def poisson_tail(k: Column, mean: Column) -> Column:
@@ -355,6 +396,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
     harsh = labels.where("toxic = 1").select(F.col("doc_id").alias("label_id")).distinct()
 
     def fit_texts(ids: DataFrame) -> DataFrame:
+        ids = ids.where(fit_half(F.col("label_id")))
         texts = d.where(fit_half(F.col("doc_id"))).join(_bounded(ids, BROADCAST_IDS), F.col("doc_id") == F.col("label_id"), "left_semi")
         if max_docs is not None or max_chars is not None:
             lengths = materialize_lean(texts.select("doc_id", "lang", F.length(F.btrim("text")).alias("chars")), "fit-lengths")
@@ -364,7 +406,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
 
     model = with_toxic(fit(fit_texts(good)), fit_texts(materialize_lean(harsh, "toxic-ids")))
     scored = materialize_lean(perplexities(d, model), "perplexities")
-    discard(model["fitted"], model["p1"])
+    discard(model["counted"], model["p1"])
     unseen = materialize_lean(scored.where(~fit_half(F.col("doc_id"))).join(good, F.col("doc_id") == F.col("label_id"), "left_semi")
                          .select("doc_id", "k", "lang", "n_words", F.log("perplexity").alias("mean"), "toxicity"), "unseen-trusted")
     average = materialize_lean(unseen.groupBy("lang").agg(F.avg("mean").alias("average")), "lang-averages")
@@ -377,6 +419,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE
                   F.percentile_approx("toxicity", toxic_quantile, 100_000).alias("toxic_threshold")))
     limit = _bounded(materialize_lean(limit, "lang-thresholds"), BROADCAST_LANGS)
     flagged = scored.join(limit, "lang").where("toxicity > toxic_threshold").select("doc_id", "k", "lang", "toxic_threshold")
+    flagged = materialize_lean(flagged, "flagged")
     suspects = materialize_lean(suspect_words(d, flagged, model), "suspect-words")
     discard(model["words"])
     # suspect words of the unseen trusted documents and one more, over all their words

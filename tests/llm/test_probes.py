@@ -201,3 +201,87 @@ def test_slices_judge_like_one_and_leave_no_tables(spark, monkeypatch):
     left = [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before]
     assert left.count("slice-terms") == 7  # a sum per document
     assert not {"kn-fit-words", "kn-trigrams", "kn-bigrams", "kn-pair-p", "kn-terms", "kn-words-toxic", "document-words"} & set(left)
+
+
+def _by_hand(fitted, texts):
+    """Perplexities of (lang, text) rows by an interpolated modified Kneser-Ney model of the ``fitted`` ones, n-gram by n-gram."""
+    import collections
+    import math
+
+    counts = {n: collections.defaultdict(collections.Counter) for n in (1, 2, 3)}  # (lang, context) -> word -> count
+    triples = collections.Counter()
+    for lang, text in fitted:
+        w = ["<s>", "<s>", *text.lower().split()]
+        triples.update((lang, *w[i - 2:i + 1]) for i in range(2, len(w)))
+    for (lang, u, v, w), c in triples.items():
+        counts[3][lang, u, v][w] = c
+        counts[2][lang, v][w] += 1
+    for (lang, _), following in counts[2].items():
+        for w in following:
+            counts[1][lang,][w] += 1
+    cuts = {}
+    for n, lang in ((n, lang) for n in counts for lang in {x for x, _ in fitted}):
+        t = collections.Counter(min(c, 5) for of, following in counts[n].items() if of[0] == lang for c in following.values())
+        y = t[1] / (t[1] + 2 * t[2]) if t[1] + 2 * t[2] else None
+        raw = [k - (k + 1) * y * t[k + 1] / t[k] if y is not None and t[k] else 0.25 + 0.25 * k for k in (1, 2, 3)]
+        cuts[n, lang] = [min(max(x, 0.05), k) for k, x in enumerate(raw, 1)]
+
+    def p(lang, w, *context):
+        n = len(context) + 1
+        of = counts[n].get((lang, *context))
+        if of is None:
+            return p(lang, w, *context[1:])
+        total, d = sum(of.values()), cuts[n, lang]
+        gamma = sum(d[min(c, 3) - 1] for c in of.values()) / total
+        share = (of[w] - d[min(of[w], 3) - 1]) / total if w in of else 0
+        return share + gamma * (p(lang, w, *context[1:]) if context else 1 / (len(of) + 1))
+
+    out = []
+    for lang, text in texts:
+        w = ["<s>", "<s>", *text.lower().split()]
+        out.append(math.exp(-sum(math.log(p(lang, w[i], w[i - 2], w[i - 1])) for i in range(2, len(w))) / (len(w) - 2)))
+    return out
+
+
+def test_blocks_judge_like_a_model_by_hand(spark, monkeypatch):
+    r = random.Random(8)
+    words = ["The", "of", "Äpfel", "x" * 40, *("".join(r.choice("abcde") for _ in range(2)) for _ in range(40))]
+
+    def text(n):
+        return "".join(words[min(int(r.expovariate(0.2)), len(words) - 1)] + r.choice([" ", " ", "\n", "\t "]) for _ in range(n))
+
+    rows = [(i, text(1 + i % 70), ("en", "de")[i % 3 == 0]) for i in range(160)] + [(500, "\u00a0 the", "en"), (501, " \n", "de"), (502, "the of never seen", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([(i, 1, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    half = {x[0] for x in df.where(quality.fit_half(F.col("doc_id"))).select("doc_id").collect()}
+    judged = [x for x in rows if x[1].strip(" \n")]
+    # only A-Z have a small letter, only ASCII white space ends a word
+    plain = {i: "".join(c.lower() if c.isascii() else c for c in t).replace("\u00a0", "\u00a1") for i, t, _ in judged}
+    want = dict(zip((i for i, *_ in judged), _by_hand([(x, plain[i]) for i, _, x in rows if i < 120 and i in half], [(x, plain[i]) for i, _, x in judged])))
+    for rows_of_part, slice_words in ((quality.PART_ROWS, quality.SLICE_WORDS), (100, 500)):
+        monkeypatch.setattr(quality, "PART_ROWS", rows_of_part)
+        monkeypatch.setattr(quality, "SLICE_WORDS", slice_words)
+        dealing = quality._dealing(df.where("doc_id < 120").where(quality.fit_half(F.col("doc_id"))))
+        assert (dealing.count() > 1) == (rows_of_part == 100)  # common words are cut into parts
+        got = {x.doc_id: x.perplexity for x in quality.judge_quality(df, lab).collect() if x.perplexity is not None}
+        assert got.keys() == want.keys() and all(abs(got[i] / want[i] - 1) < 1e-9 for i in want)
+
+
+def test_texts_travel_as_blocks_of_a_few_bytes_a_word(spark):
+    """Rows of n-grams took 40 bytes a word and three rows, again for every slice."""
+    from functools import partial
+
+    from quiver.llm import ngrams
+
+    r = random.Random(9)
+    rows = [(i, "en", " ".join(f"w{int(r.paretovariate(0.7)) % 50_000}" for _ in range(400))) for i in range(500)]
+    docs = spark.createDataFrame(rows, "id long, lang string, text string").select("lang", "text", "id").coalesce(1)
+    keys = sorted({w for _, _, t in rows for w in t.split()})
+    words = spark.createDataFrame([("en", w) for w in keys], "lang string, w string").select(F.xxhash64("lang", F.xxhash64("w")).alias("k"))
+    filters = quality.word_filters({"words": words, "p1": words.select(F.col("k").alias("w"), F.col("k").bitwiseAND(F.lit(7)).alias("c"))})
+    blocks = docs.mapInArrow(partial(ngrams.text_blocks, buckets=4, hot={}, slices=2, i=0, filters=filters), ngrams.LOOKED_UP)
+    blocks = blocks.union(docs.mapInArrow(partial(ngrams.text_blocks, buckets=4, hot={}, slices=2, i=1, filters=filters), ngrams.LOOKED_UP)).where("kind = 4").collect()
+    assert len(blocks) == 4 and {x.bucket for x in blocks} == {0, 1, 2, 3}
+    # no word is lost: each is the middle of one record, and so is each start
+    assert sum(int(ngrams.unpacked(bytes(x.data))[6].sum()) for x in blocks) == 500 * 401
+    assert sum(len(x.data) for x in blocks) < 6 * 500 * 400
